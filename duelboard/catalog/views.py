@@ -24,10 +24,7 @@ BASE_TABLES = (
 
 def label_case(expression: str) -> str:
     """One of the ten verdict labels, or a junk label, from an integer."""
-    branches = " ".join(
-        f"when {i} then '{label}'" for i, label in enumerate(K.LABEL_SCORES)
-    )
-    return f"case ({expression}) % 11 {branches} else 'junk' end"
+    return f"@LABEL({expression})"
 
 
 def category_case(expression: str) -> str:
@@ -102,7 +99,7 @@ select cast(doc_id as @STR) uid, game_no, {category_case('doc_id')} category,
                 when 3 then 'no label here'
                 when 4 then concat('[[]] [[', {label_case('doc_id * 3 + game_no')}, ']] done')
                 else 'my final [A]' end) reply
-from (select doc_id, text, @INTS(2) + 1 game_no from {{documents}}) d""",
+from (select doc_id, text, k + 1 game_no from (select doc_id, text, @INTS(2) k from {{documents}}) e) d""",
     "comparison_replies": """
 select concat('instr-', cast(doc_id as @STR)) instruction, doc_id ord,
        case doc_id % 9
@@ -215,18 +212,20 @@ where coalesce(question_id, id) is not null""",
 VIEWS = [*_SHARED, *_DUCKDB_ONLY]
 
 
-def _spell(text: str, string_type: str, ints: str) -> str:
+def _spell(text: str, string_type: str, ints: str, label: str) -> str:
     import re
 
     text = re.sub(r"@DOC\((\w+)\)", r"cast(floor(\1 / 10.0) as bigint)", text)
     text = re.sub(r"@INTS\((\d+)\)", lambda m: ints.format(n=m.group(1), last=int(m.group(1)) - 1), text)
+    labels = ", ".join(f"'{label}'" for label in (*K.LABEL_SCORES, "junk"))
+    text = re.sub(r"@LABEL\(([^()]*(?:\([^()]*\)[^()]*)*)\)", lambda m: label.format(e=m.group(1), labels=labels), text)
     return text.replace("@STR", string_type)
 
 
 def duckdb_view(name: str) -> str:
     if name in _DUCKDB_ONLY:
         return _DUCKDB_ONLY[name].strip()
-    text = _spell(_SHARED[name], "varchar", "unnest(range({n}))")
+    text = _spell(_SHARED[name], "varchar", "unnest(range({n}))", "[{labels}][({e}) % 11 + 1]")
     for table in BASE_TABLES:
         text = text.replace("{" + table + "}", table)
     return text.strip()
@@ -243,7 +242,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def view(self, name: str, parallel: bool = True) -> DataFrame:
-        text = _spell(_SHARED[name], "string", "explode(sequence(0, {last}))").strip()
+        label = "element_at(array({labels}), cast(({e}) % 11 + 1 as int))"
+        text = _spell(_SHARED[name], "string", "explode(sequence(0, {last}))", label).strip()
         used = [t for t in BASE_TABLES if "{" + t + "}" in text]
         aliases = {}
         for t in used:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,12 +45,13 @@ def _count_if(items: Column, test) -> Column:
 
 def header_counts(markers: Column) -> Column:
     """MAP h1..h6 -> count."""
+
+    def level_count(marker: str) -> Column:
+        return _count_if(markers, lambda x: x == marker)
+
     entries = []
     for level, name in enumerate(HEADER_LEVELS, start=1):
-        entries += [
-            F.lit(name),
-            _count_if(markers, lambda x, n=level: x == "#" * n),
-        ]
+        entries += [F.lit(name), level_count("#" * level)]
     return F.create_map(*entries)
 
 
@@ -157,10 +161,6 @@ def tokenizer_length(tokenizer_factory):
     ``tokenizer_factory`` returns an object with ``encode(text) -> list``. Its
     vocabulary files must be on every executor.
     """
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = tokenizer_factory()

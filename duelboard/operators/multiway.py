@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,8 +109,6 @@ def twister_order(outputs: Column, instruction: Column, seed: int) -> Column:
 
     Only needed to continue such a run; returns the same array reordered.
     """
-    import pandas as pd
-
     @F.pandas_udf("array<int>")
     def permutation(sizes: pd.Series, seeds: pd.Series) -> pd.Series:
         import random

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,10 +125,6 @@ def batch_scores(make_scorer: Callable):
     ``make_scorer()`` runs once per Python worker and returns
     ``f(list[(prompt, response)]) -> list[float]``.
     """
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         scorer = make_scorer()
