@@ -12,4 +12,4 @@ def load_catalog():
     return QUERIES, ORACLES
 
 
-MODULES = ("scan_queries", "column_queries", "join_queries")
+MODULES = ("scan_queries", "column_queries", "join_queries", "score_queries", "flow_queries")

@@ -63,7 +63,7 @@ select concat('f', cast(k as @STR)) file_name,
                  when k = 1 and doc_id % 31 = 7 then doc_id - 1 else doc_id end as @STR) uid,
        doc_id ord,
        concat(case when (doc_id + k) % 3 = 0 then concat('# Title', chr(10)) else '' end,
-              case when (doc_id + k) % 4 = 0 then concat('- item', chr(10), '  1. step', chr(10)) else '' end,
+              case when (doc_id * 3 + k) % 9 = 0 then concat('- item', chr(10), '  1. step', chr(10)) else '' end,
               case when (doc_id * 7 + k) % 6 = 0 then concat(text, ' ', text) else text end,
               case when (doc_id + k) % 5 = 0 then ' **bold** __b__' else '' end,
               case when (doc_id + 2 * k) % 7 = 0
@@ -78,7 +78,7 @@ select cast(@DOC(event_id) as @STR) uid,
        case when event_id % 101 = 0 then null else {label_case('event_id * 5 + user_id * 2 + 1')} end g2,
        case when event_id % 103 = 1 then 1 when event_id % 107 = 2 then 0 else 2 end n_games,
        case when event_id % 109 = 3 then 1 else 0 end null_game,
-       cast(value * 10 as bigint) prompt_tokens,
+       cast(floor(value * 10) as bigint) prompt_tokens,
        ts, event_id ord
 from {{events}}""",
     "shipments": f"""
@@ -241,15 +241,18 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def view(self, name: str, parallel: bool = True) -> DataFrame:
+    def view(self, name: str, sources: dict[str, DataFrame] | None = None) -> DataFrame:
         label = "element_at(array({labels}), cast(({e}) % 11 + 1 as int))"
         text = _spell(_SHARED[name], "string", "explode(sequence(0, {last}))", label).strip()
         used = [t for t in BASE_TABLES if "{" + t + "}" in text]
         aliases = {}
         for t in used:
             text = text.replace("{" + t + "}", f"__src_{t}")
-            source = self.table(t)
-            aliases[t] = spread(source) if parallel and t == "documents" else source
+            if sources and t in sources:
+                aliases[t] = sources[t]
+            else:
+                source = self.table(t)
+                aliases[t] = spread(source) if t == "documents" else source
         text = text.replace("{", "{{").replace("}", "}}")
         for t in used:
             text = text.replace(f"__src_{t}", "{" + t + "}")
@@ -259,7 +262,10 @@ class Tables:
 
     def judgments(self) -> DataFrame:
         """Judgment records with their array of games."""
-        raw = self.view("judgments_raw")
+        return self.judgments_from(self.table("events"))
+
+    def judgments_from(self, events: DataFrame) -> DataFrame:
+        raw = self.view("judgments_raw", {"events": events})
         game = lambda c: F.struct(F.col(c).alias("score"))
         second = F.when(F.col("null_game") == 0, game("g2"))
         games = F.slice(F.array(game("g1"), second), F.lit(1), F.col("n_games"))

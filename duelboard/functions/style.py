@@ -32,8 +32,8 @@ def markdown_markers(text: Column) -> Column:
     either way, and staying on one line keeps the scan linear.
     """
     pattern = (
-        rf"(?md)^(?:#{{1,6}}|[{K.SPACE_CLASS_IN_LINE}]*+(?:\p{{Nd}}+\.|[-*+]))"
-        rf"[{K.SPACE_CLASS}]"
+        rf"(?mdU)^(?:#{{1,6}}|[{K.UNICODE_SPACE}&&[^\n]]*+(?:\p{{Nd}}+\.|[-*+]))"
+        rf"[{K.UNICODE_SPACE}]"
     )
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.transform(hits, lambda x: strip(x))

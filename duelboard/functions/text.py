@@ -45,7 +45,7 @@ def clean_content(text: Column) -> Column:
 
 def compact_spaces(text: Column) -> Column:
     """Join the whitespace-separated words with single blanks."""
-    return strip(F.regexp_replace(text, f"[{K.SPACE_CLASS}]+", " "))
+    return strip(F.regexp_replace(text, f"(?U)[{K.UNICODE_SPACE}]+", " "))
 
 
 def preview(text: Column, limit: int = 240) -> Column:
@@ -65,7 +65,7 @@ def summarize(text: Column, max_chars: int = 512) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words."""
-    return F.regexp_count(text, F.lit(f"[^{K.SPACE_CLASS}]+"))
+    return F.regexp_count(text, F.lit(f"(?U)[^{K.UNICODE_SPACE}]+"))
 
 
 def short_model_name(model: Column) -> Column:

@@ -161,36 +161,51 @@ def fit_rounds(
     seed: int = 42,
     group: str = "category",
     ridge: float = 1e-6,
-    tolerance: float = 1e-8,
+    tolerance: float = 3e-5,
     max_passes: int = 25,
 ) -> Fit:
     """Fit the full sample and ``rounds`` resamples of every group together.
 
     ``battles``: group, model (baseline excluded), score, count, row_key and the
-    feature columns. Column 0 of the result is the full-sample fit.
+    feature columns. Column 0 of the result is the full-sample fit. Newton steps
+    shrink quadratically, so a last step below ``tolerance`` leaves an error of
+    about its square.
     """
+    # Spread by row key: every pass is Python work, and the joins before it may have
+    # left the rows in few or uneven partitions.
+    spark = battles.sparkSession
+    parts = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    rows = (
+        battles.select(group, "model", "score", "count", "row_key", *features)
+        .repartition(parts, "row_key")
+        .persist()
+    )
+    try:
+        return _fit_persisted(rows, features, rounds, seed, group, ridge, tolerance, max_passes)
+    finally:
+        rows.unpersist()
+
+
+def _list_models(rows: DataFrame, group: str) -> dict[str, list[str]]:
+    """Sorted models per group; refuses more than MAX_MODELS."""
     listed = (
-        battles.groupBy(group, "model").count().orderBy(group, "model").limit(MAX_MODELS + 1)
+        rows.select(group, "model").distinct().orderBy(group, "model").limit(MAX_MODELS + 1)
     ).collect()
     if len(listed) > MAX_MODELS:
         raise ValueError(f"more than {MAX_MODELS} models to fit")
     models: dict[str, list[str]] = {}
     for row in listed:
         models.setdefault(row[group], []).append(row["model"])
-    if not models:
-        return Fit({}, {}, {}, {}, 0)
+    return models
 
-    flat = [(g, m, i) for g, names in models.items() for i, m in enumerate(names)]
-    indexed = battles.join(
-        F.broadcast(  # at most MAX_MODELS short rows, checked above
-            battles.sparkSession.createDataFrame(
-                flat, f"`{group}` string, model string, model_index int"
-            )
-        ),
-        [group, "model"],
-    ).select(group, "model_index", "score", "count", "row_key", *features)
-    indexed = indexed.persist()
 
+def _fit_persisted(rows, features, rounds, seed, group, ridge, tolerance, max_passes) -> Fit:
+    models = _list_models(rows, group)
+    if not models:
+        return Fit({}, {}, {}, {}, 0)
+    index = {g: {m: i for i, m in enumerate(names)} for g, names in models.items()}
     k = len(features)
     width = max(_stat_width(len(names), k) for names in models.values())
     strengths = {g: np.zeros((rounds + 1, len(names))) for g, names in models.items()}
@@ -199,47 +214,45 @@ def fit_rounds(
     schema = f"`{group}` string, round int, " + ", ".join(f"{c} double" for c in columns)
 
     passes = 0
-    try:
-        for passes in range(1, max_passes + 1):
-            current = {g: (strengths[g], effects[g]) for g in models}
-
-            def scan(batches, current=current):
-                import pandas as pd
-
-                sums = {}
-                for pdf in batches:
-                    for name, part in pdf.groupby(group, sort=False):
-                        for at in range(0, len(part), 4096):
-                            piece = _partial_sums(
-                                part.iloc[at : at + 4096], current[name], features, rounds, seed
-                            )
-                            sums[name] = sums[name] + piece if name in sums else piece
-                for name, total in sums.items():
-                    padded = np.zeros((rounds + 1, width))
-                    padded[:, : total.shape[1]] = total
-                    frame = pd.DataFrame(padded, columns=columns)
-                    frame.insert(0, "round", np.arange(rounds + 1, dtype="int32"))
-                    frame.insert(0, group, name)
-                    yield frame
-
-            summed = (
-                indexed.mapInPandas(scan, schema)
-                .groupBy(group, "round")
-                .agg(*[F.sum(c).alias(c) for c in columns])
-                .toPandas()
+    for passes in range(1, max_passes + 1):
+        current = {g: (strengths[g], effects[g]) for g in models}
+
+        def scan(batches, current=current):
+            import pandas as pd
+
+            sums = {}
+            for pdf in batches:
+                for name, part in pdf.groupby(group, sort=False):
+                    part = part.assign(model_index=part["model"].map(index[name]))
+                    for at in range(0, len(part), 4096):
+                        piece = _partial_sums(
+                            part.iloc[at : at + 4096], current[name], features, rounds, seed
+                        )
+                        sums[name] = sums[name] + piece if name in sums else piece
+            for name, total in sums.items():
+                padded = np.zeros((rounds + 1, width))
+                padded[:, : total.shape[1]] = total
+                frame = pd.DataFrame(padded, columns=columns)
+                frame.insert(0, "round", np.arange(rounds + 1, dtype="int32"))
+                frame.insert(0, group, name)
+                yield frame
+
+        summed = (
+            rows.mapInPandas(scan, schema)
+            .groupBy(group, "round")
+            .agg(*[F.sum(c).alias(c) for c in columns])
+            .toPandas()
+        )
+        change = 0.0
+        for name, part in summed.groupby(group):
+            stats = part.sort_values("round")[columns].to_numpy("float64")
+            m = len(models[name])
+            strengths[name], effects[name], moved = _newton_step(
+                stats[:, : _stat_width(m, k)], m, k, strengths[name], effects[name], ridge
             )
-            change = 0.0
-            for name, part in summed.groupby(group):
-                stats = part.sort_values("round")[columns].to_numpy("float64")
-                m = len(models[name])
-                strengths[name], effects[name], moved = _newton_step(
-                    stats[:, : _stat_width(m, k)], m, k, strengths[name], effects[name], ridge
-                )
-                change = max(change, moved)
-            if change < tolerance:
-                break
-    finally:
-        indexed.unpersist()
+            change = max(change, moved)
+        if change < tolerance:
+            break
 
     separated = {g: (np.abs(strengths[g]) > 8.0).any(axis=0) for g in models}
     return Fit(models, strengths, effects, separated, passes)
