@@ -8,6 +8,7 @@ from duelboard import constants as K
 from duelboard.catalog.column_queries import LABEL_SQL, sql_fill
 from duelboard.catalog.join_queries import _COMMON_SQL, _JUDGED_SQL, _ORDER_SQL, _PAIRED_SQL, TARGET, _judged
 from duelboard.catalog.registry import query
+from duelboard.catalog.views import as_event_time, as_plain_time
 from duelboard.functions.verdicts import parse_label
 from duelboard.operators import pairs as P
 from duelboard.operators import replies as R
@@ -296,7 +297,13 @@ def _event_stream(t):
     """Judgments as a stream over the events table, in the stored shape."""
     schema = t.table("events").schema
     events = ST.file_stream(t.spark, t.sf_dir, schema, "parquet", "events.parquet")
-    return t.judgments_from(events)
+    return t.judgments_from(events).withColumn("ts", as_event_time(F.col("ts")))
+
+
+def _plain_times(df):
+    """Timestamp columns as the zone-less times of the events table."""
+    times = [n for n, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({n: as_plain_time(F.col(n)) for n in times})
 
 
 @query(
@@ -358,7 +365,7 @@ def _(t):
     path, checkpoint = scratch_dir(t.spark, "tumbling"), scratch_dir(t.spark, "tumbling-state")
     windows = ST.throughput(_event_stream(t), "ts", "1 hour", "1 day")
     ST.replace_per_batch(windows, path, checkpoint)
-    return t.spark.read.parquet(path)
+    return _plain_times(t.spark.read.parquet(path))
 
 
 @query(
@@ -371,7 +378,7 @@ def _(t):
     path, checkpoint = scratch_dir(t.spark, "sliding"), scratch_dir(t.spark, "sliding-state")
     windows = ST.throughput(_event_stream(t), "ts", "1 hour", "2 days", "1 day")
     ST.replace_per_batch(windows, path, checkpoint)
-    return t.spark.read.parquet(path)
+    return _plain_times(t.spark.read.parquet(path))
 
 
 @query(
@@ -386,7 +393,7 @@ def _(t):
     path, checkpoint = scratch_dir(t.spark, "sessions"), scratch_dir(t.spark, "sessions-state")
     rows = ST.sessions(_event_stream(t), "ts", "1 hour", "15 minutes")
     ST.replace_per_batch(rows, path, checkpoint)
-    return t.spark.read.parquet(path)
+    return _plain_times(t.spark.read.parquet(path))
 
 
 @query(

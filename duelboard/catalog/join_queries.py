@@ -292,7 +292,7 @@ select model, max(file_name) file_name, count(*) n, min(first_file) first_file f
   using (model, file_name)) group by 1""",
 )
 def _(t):
-    rows = KY.last_file_per_model(t.view("answers_raw"))
+    rows = KY.current_files(t.view("answers_raw"))
     return rows.groupBy("model").agg(
         F.max("file_name").alias("file_name"), F.count(F.lit(1)).alias("n"), F.min("first_file").alias("first_file")
     )

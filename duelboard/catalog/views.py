@@ -231,6 +231,16 @@ def duckdb_view(name: str) -> str:
     return text.strip()
 
 
+def as_event_time(ts: Column) -> Column:
+    """Zone-less time as an event time that reads the same in UTC."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
+
+
+def as_plain_time(ts: Column) -> Column:
+    """Back from an event time to the zone-less time."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
 class Tables:
     """Given tables and derived inputs of one data directory."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,34 +27,31 @@ def keep_last(df: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
     return _pick(df, keys, order, F.max_by)
 
 
-def last_file_per_model(df: DataFrame, model: str = "model", file: str = "file_name") -> DataFrame:
-    """Rows of the alphabetically last file of each model, plus ``first_file``.
+def file_table(rows: DataFrame, file: str = "file_name", order: str = "ord") -> DataFrame:
+    """One row per answer file: its model and whether it is the model's current file.
 
-    A later file with the same model name replaces the earlier one as a whole.
-    The winners are one row per model, found by mergeable extremes;
-    ``first_file`` remembers when the model name first appeared.
+    A file's first row names its model (else the file stem does). A later file of
+    the same model replaces the earlier one as a whole; ``first_file`` remembers
+    when the model name first appeared. Everything after the first aggregate works
+    on one row per file.
     """
-    winners = df.groupBy(model).agg(F.max(file).alias(file), F.min(file).alias("first_file"))
-    return df.join(winners, [model, file])
-
-
-def file_model(df: DataFrame, file: str = "file_name", order: str = "ord") -> DataFrame:
-    """Apply the model of a file's first row (else the file stem) to all its rows."""
-    heads = df.groupBy(file).agg(F.min_by(F.struct("model"), order)["model"].alias("_model"))
-    named = heads.select(
+    heads = rows.groupBy(file).agg(F.min_by(F.struct("model"), order)["model"].alias("model"))
+    model = F.coalesce("model", F.regexp_replace(file, r"\.jsonl$", ""))
+    per_model = Window.partitionBy("model")
+    return heads.withColumn("model", model).select(
         file,
-        F.coalesce(F.col("_model"), F.regexp_replace(file, r"\.jsonl$", "")).alias(
-            "_model"
-        ),
-    )
-    return (
-        df.join(named, file)
-        .withColumn("model", F.col("_model"))
-        .drop("_model")
-        .select(*df.columns)
+        "model",
+        F.min(file).over(per_model).alias("first_file"),
+        (F.col(file) == F.max(file).over(per_model)).alias("current"),
     )
 
 
+def current_files(rows: DataFrame, file: str = "file_name", order: str = "ord") -> DataFrame:
+    """Rows of each model's current file, with the file's model and ``first_file``."""
+    files = file_table(rows, file, order).where("current").drop("current")
+    return rows.drop("model").join(files, file)
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], keep: Column | None = None) -> DataFrame:
     """Existing rows that satisfy ``keep`` stay; new rows fill the other keys."""
     kept = existing if keep is None else existing.where(keep)

@@ -82,7 +82,7 @@ def poisson_weights(keys: np.ndarray, counts: np.ndarray, rounds: int, seed: int
 # -- one pass -----------------------------------------------------------------
 
 
-def _partial_sums(pdf, coefficients, features, rounds, seed):
+def _partial_sums(pdf, coefficients, moments, features, rounds, seed):
     """Gradient and curvature sums of one batch and group.
 
     Layout per round: gradient (models, features), then curvature: model diagonal,
@@ -90,7 +90,8 @@ def _partial_sums(pdf, coefficients, features, rounds, seed):
     """
     strengths, effects = coefficients
     n_models, n_features = strengths.shape[1], effects.shape[1]
-    z = pdf[features].to_numpy("float64") if n_features else np.zeros((len(pdf), 0))
+    means, deviations = moments
+    z = (pdf[features].to_numpy("float64") - means) / deviations
     index = pdf["model_index"].to_numpy("int64")
     y = pdf["score"].to_numpy("float64")[:, None]
     weights = poisson_weights(
@@ -166,10 +167,10 @@ def fit_rounds(
 ) -> Fit:
     """Fit the full sample and ``rounds`` resamples of every group together.
 
-    ``battles``: group, model (baseline excluded), score, count, row_key and the
-    feature columns. Column 0 of the result is the full-sample fit. Newton steps
-    shrink quadratically, so a last step below ``tolerance`` leaves an error of
-    about its square.
+    ``battles``: group, model, own (the candidate is the baseline), score, count,
+    row_key and the raw feature columns, which are standardised per group. Column
+    0 of the result is the full-sample fit. Newton steps shrink quadratically, so a
+    last step below ``tolerance`` leaves an error of about its square.
     """
     # Spread by row key: every pass is Python work, and the joins before it may have
     # left the rows in few or uneven partitions.
@@ -178,7 +179,7 @@ def fit_rounds(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
     rows = (
-        battles.select(group, "model", "score", "count", "row_key", *features)
+        battles.select(group, "model", "own", "score", "count", "row_key", *features)
         .repartition(parts, "row_key")
         .persist()
     )
@@ -188,24 +189,43 @@ def fit_rounds(
         rows.unpersist()
 
 
-def _list_models(rows: DataFrame, group: str) -> dict[str, list[str]]:
-    """Sorted models per group; refuses more than MAX_MODELS."""
-    listed = (
-        rows.select(group, "model").distinct().orderBy(group, "model").limit(MAX_MODELS + 1)
-    ).collect()
+def _describe(rows: DataFrame, features: list[str], group: str):
+    """Models and feature moments per group from one small aggregate.
+
+    Moments follow all battles, a group's models only those that enter the fit.
+    A deviation of zero, or of a single battle, counts as one.
+    """
+    n = F.col("count")
+    sums = [F.sum(n).alias("n")]
+    for f in features:
+        sums += [F.sum(n * F.col(f)).alias(f"{f}_1"), F.sum(n * F.col(f) * F.col(f)).alias(f"{f}_2")]
+    listed = rows.groupBy(group, "model", "own").agg(*sums).limit(MAX_MODELS + 1).collect()
     if len(listed) > MAX_MODELS:
         raise ValueError(f"more than {MAX_MODELS} models to fit")
     models: dict[str, list[str]] = {}
-    for row in listed:
-        models.setdefault(row[group], []).append(row["model"])
-    return models
+    totals: dict[str, np.ndarray] = {}
+    for row in sorted(listed, key=lambda r: (r[group], r["model"])):
+        if not row["own"]:
+            models.setdefault(row[group], []).append(row["model"])
+        part = np.array([row["n"], *[row[f"{f}_{p}"] for p in (1, 2) for f in features]], "float64")
+        totals[row[group]] = totals.get(row[group], 0.0) + part
+    moments = {}
+    k = len(features)
+    for name, total in totals.items():
+        battles = total[0]
+        mean = total[1 : k + 1] / battles
+        square = np.maximum(total[k + 1 :] - battles * mean * mean, 0.0)
+        deviation = np.sqrt(square / (battles - 1)) if battles > 1 else np.ones(k)
+        moments[name] = (mean, np.where(deviation < 1e-9, 1.0, deviation))
+    return models, moments
 
 
 def _fit_persisted(rows, features, rounds, seed, group, ridge, tolerance, max_passes) -> Fit:
-    models = _list_models(rows, group)
+    models, moments = _describe(rows, features, group)
     if not models:
         return Fit({}, {}, {}, {}, 0)
     index = {g: {m: i for i, m in enumerate(names)} for g, names in models.items()}
+    rows = rows.where(~F.col("own"))
     k = len(features)
     width = max(_stat_width(len(names), k) for names in models.values())
     strengths = {g: np.zeros((rounds + 1, len(names))) for g, names in models.items()}
@@ -226,7 +246,12 @@ def _fit_persisted(rows, features, rounds, seed, group, ridge, tolerance, max_pa
                     part = part.assign(model_index=part["model"].map(index[name]))
                     for at in range(0, len(part), 4096):
                         piece = _partial_sums(
-                            part.iloc[at : at + 4096], current[name], features, rounds, seed
+                            part.iloc[at : at + 4096],
+                            current[name],
+                            moments[name],
+                            features,
+                            rounds,
+                            seed,
                         )
                         sums[name] = sums[name] + piece if name in sums else piece
             for name, total in sums.items():

@@ -24,16 +24,18 @@ def control_columns(controls) -> list[str]:
 
 
 def style_lookup(answers: DataFrame) -> DataFrame:
-    """uid, model (short), features struct: one row per model and question.
+    """uid, styles: a map from short model name to the style features.
 
-    Two models that share the last name segment collide: the one whose first file
-    sorts last replaces the other as a whole. ``answers`` carries first_file.
+    One row per question holds all its models (a handful), so the candidate's and
+    the baseline's style come from a single join. Two models that share the last
+    name segment collide; the one whose first file sorts last wins as a whole,
+    also for questions it did not answer.
     """
     named = answers.withColumn("_short", short_model_name(F.col("model")))
-    winners = named.groupBy("_short").agg(F.max("first_file").alias("first_file"))
-    return named.join(winners, ["_short", "first_file"], "left_semi").select(
-        "uid", F.col("_short").alias("model"), "features"
-    )
+    newest = named.groupBy("_short").agg(F.max("first_file").alias("_newest"))
+    kept = named.join(newest, "_short").where(F.col("first_file") == F.col("_newest"))
+    entries = F.collect_list(F.struct("_short", "features"))
+    return kept.groupBy("uid").agg(F.map_from_entries(entries).alias("styles"))
 
 
 def counted_battles(valid: DataFrame) -> DataFrame:
@@ -71,18 +73,15 @@ def with_style_difference(battles: DataFrame, lookup: DataFrame, settings: DataF
     base_of = F.broadcast(
         settings.select("category", F.col("baseline_short").alias("baseline"))
     )
-    candidate = lookup.select("uid", "model", F.col("features").alias("_candidate"))
-    baseline = lookup.select(
-        "uid", F.col("model").alias("baseline"), F.col("features").alias("_baseline")
+    joined = battles.join(base_of, "category").join(lookup, "uid")
+    candidate = F.try_element_at("styles", F.col("model"))
+    baseline = F.try_element_at("styles", F.col("baseline"))
+    both = joined.withColumns({"_c": candidate, "_b": baseline}).where(
+        F.col("_c").isNotNull() & F.col("_b").isNotNull()
     )
-    joined = (
-        battles.join(base_of, "category")
-        .join(candidate, ["uid", "model"])
-        .join(baseline, ["uid", "baseline"])
+    return both.withColumn("_d", style_difference(F.col("_c"), F.col("_b"))).select(
+        *battles.columns, "baseline", *[f"_d.{f}" for f in FEATURES]
     )
-    return joined.withColumn(
-        "_d", style_difference(F.col("_candidate"), F.col("_baseline"))
-    ).select(*battles.columns, "baseline", *[f"_d.{f}" for f in FEATURES])
 
 
 def feature_moments(battles: DataFrame, features=FEATURES, group="category") -> DataFrame:
@@ -108,24 +107,18 @@ def feature_moments(battles: DataFrame, features=FEATURES, group="category") ->
     return battles.groupBy(group).agg(*aggregates).select(group, "battles", *columns)
 
 
-def standardize(battles: DataFrame, features=FEATURES, group="category") -> DataFrame:
-    """z-scored features; the moments are one row per category."""
-    moments = feature_moments(battles, features, group).drop("battles")
-    z = {f: (F.col(f) - F.col(f"{f}_mean")) / F.col(f"{f}_std") for f in features}
-    return battles.join(moments, group).withColumns(z).select(*battles.columns)
-
-
-def fit_input(
-    valid: DataFrame, lookup: DataFrame, settings: DataFrame
-) -> DataFrame:
-    """Standardised battles ready for the fit, with a stable key per row.
+def fit_input(valid: DataFrame, lookup: DataFrame, settings: DataFrame) -> DataFrame:
+    """Battles ready for the fit, with a stable key per row.
 
-    A candidate that is its own baseline carries no information and is left out.
+    A candidate that is its own baseline carries no information: it counts for
+    the feature moments and is marked ``own`` so that the fit leaves it out.
     """
     battles = with_style_difference(counted_battles(valid), lookup, settings)
-    ready = standardize(battles)
-    return ready.where(F.col("model") != F.col("baseline")).withColumn(
-        "row_key", F.xxhash64("category", "model", "uid", "score")
+    return battles.withColumns(
+        {
+            "own": F.col("model") == F.col("baseline"),
+            "row_key": F.xxhash64("category", "model", "uid", "score"),
+        }
     )
 
 

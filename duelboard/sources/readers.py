@@ -15,11 +15,10 @@ from duelboard import schemas
 from duelboard.functions.text import is_blank, is_falsy
 from duelboard.functions.transcripts import parse_transcript, prompt_example
 from duelboard.operators.keyed import (
-    file_model,
+    current_files,
     first_rows,
     keep_first,
     keep_last,
-    last_file_per_model,
 )
 
 
@@ -105,9 +104,8 @@ def resolve_answers(rows: DataFrame) -> DataFrame:
     a later file replaces an earlier one of the same model, and the last row of a
     uid wins.
     """
-    named = file_model(rows)
-    current = last_file_per_model(named)
-    return keep_last(current.where(F.col("uid").isNotNull()), ["model", "uid"])
+    current = current_files(rows).where(F.col("uid").isNotNull())
+    return keep_last(current, ["model", "uid"])
 
 
 def read_answers(spark: SparkSession, directory: str) -> DataFrame:
