@@ -336,11 +336,11 @@ def _(t):
 @query(
     "a16_unpadded_tokens",
     """
-select source, count(*) sequences, sum(length(text) - length(replace(text, ' ', ''))) tokens from documents group by 1""",
+select source, count(*) sequences, sum(len(list_filter(string_split(text, ' '), lambda x: x <> ''))) tokens from documents group by 1""",
 )
 def _(t):
-    """Ids are 1 for a blank and 0 (padding) for any other character."""
-    ids = F.transform(F.split("text", ""), lambda c: F.when(c == " ", 1).otherwise(0))
+    """Ids are word lengths; 0 (from a doubled blank) is padding."""
+    ids = F.transform(F.split("text", " "), lambda w: F.length(w))
     rows = t.table("documents").select("source", ids.alias("ids"))
     return P.token_totals(rows, ["source"], "ids", pad=0)
 

@@ -21,6 +21,8 @@ BASE_TABLES = (
     "documents", "events", "conversations", "lineitem", "labels", "benchmark", "orders", "pages",
 )
 
+SPREAD = ("documents", "events")
+
 
 def label_case(expression: str) -> str:
     """One of the ten verdict labels, or a junk label, from an integer."""
@@ -212,10 +214,10 @@ where coalesce(question_id, id) is not null""",
 VIEWS = [*_SHARED, *_DUCKDB_ONLY]
 
 
-def _spell(text: str, string_type: str, ints: str, label: str) -> str:
+def _spell(text: str, string_type: str, ints: str, label: str, divide: str) -> str:
     import re
 
-    text = re.sub(r"@DOC\((\w+)\)", r"cast(floor(\1 / 10.0) as bigint)", text)
+    text = re.sub(r"@DOC\((\w+)\)", rf"(\1 {divide} 10)", text)
     text = re.sub(r"@INTS\((\d+)\)", lambda m: ints.format(n=m.group(1), last=int(m.group(1)) - 1), text)
     labels = ", ".join(f"'{label}'" for label in (*K.LABEL_SCORES, "junk"))
     text = re.sub(r"@LABEL\(([^()]*(?:\([^()]*\)[^()]*)*)\)", lambda m: label.format(e=m.group(1), labels=labels), text)
@@ -225,7 +227,7 @@ def _spell(text: str, string_type: str, ints: str, label: str) -> str:
 def duckdb_view(name: str) -> str:
     if name in _DUCKDB_ONLY:
         return _DUCKDB_ONLY[name].strip()
-    text = _spell(_SHARED[name], "varchar", "unnest(range({n}))", "[{labels}][({e}) % 11 + 1]")
+    text = _spell(_SHARED[name], "varchar", "unnest(range({n}))", "[{labels}][({e}) % 11 + 1]", "//")
     for table in BASE_TABLES:
         text = text.replace("{" + table + "}", table)
     return text.strip()
@@ -253,7 +255,7 @@ class Tables:
 
     def view(self, name: str, sources: dict[str, DataFrame] | None = None) -> DataFrame:
         label = "element_at(array({labels}), cast(({e}) % 11 + 1 as int))"
-        text = _spell(_SHARED[name], "string", "explode(sequence(0, {last}))", label).strip()
+        text = _spell(_SHARED[name], "string", "explode(sequence(0, {last}))", label, "div").strip()
         used = [t for t in BASE_TABLES if "{" + t + "}" in text]
         aliases = {}
         for t in used:
@@ -262,7 +264,7 @@ class Tables:
                 aliases[t] = sources[t]
             else:
                 source = self.table(t)
-                aliases[t] = spread(source) if t == "documents" else source
+                aliases[t] = spread(source) if t in SPREAD else source
         text = text.replace("{", "{{").replace("}", "}}")
         for t in used:
             text = text.replace(f"__src_{t}", "{" + t + "}")

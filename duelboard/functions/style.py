@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from duelboard import constants as K
+from duelboard.functions.binding import let
 from duelboard.functions.text import strip, word_count
 
 HEADER_LEVELS = ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -88,15 +89,20 @@ def style_metadata(text: Column, token_len: Column | None = None) -> Column:
     The length is taken on the raw text, the counts on the text without fenced
     bodies. ``token_len`` may bring a tokenizer's count; words are the fallback.
     """
-    length = word_count(text) if token_len is None else token_len
-    cleaned = drop_fenced(text)
-    markers = markdown_markers(cleaned)
-    return F.struct(
-        length.cast("bigint").alias("token_len"),
-        header_counts(markers).alias("header_count"),
-        list_counts(markers).alias("list_count"),
-        bold_counts(cleaned).alias("bold_count"),
-    )
+    length = (word_count(text) if token_len is None else token_len).cast("bigint")
+
+    def counts(cleaned: Column) -> Column:
+        return let(
+            markdown_markers(cleaned),
+            lambda markers: F.struct(
+                length.alias("token_len"),
+                header_counts(markers).alias("header_count"),
+                list_counts(markers).alias("list_count"),
+                bold_counts(cleaned).alias("bold_count"),
+            ),
+        )
+
+    return let(drop_fenced(text), counts)
 
 
 def feature_vector(text: Column) -> Column:
@@ -105,24 +111,29 @@ def feature_vector(text: Column) -> Column:
     Same numbers as ``metadata_features(style_metadata(text))`` without building
     the maps, for reports that never look at single levels.
     """
-    cleaned = drop_fenced(text)
-    markers = markdown_markers(cleaned)
-    headers = F.size(F.filter(markers, lambda x: x.startswith("#")))
-
-    def bold(marker: str, pattern: str) -> Column:
+    def bold(cleaned: Column, marker: str, pattern: str) -> Column:
         return F.when(
             F.contains(cleaned, F.lit(marker)),
             F.regexp_count(cleaned, F.lit(pattern)),
         ).otherwise(F.lit(0))
 
-    return F.struct(
-        word_count(text).cast("double").alias("length"),
-        headers.cast("double").alias("headers"),
-        (F.size(markers) - headers).cast("double").alias("lists"),
-        (bold("**", K.BOLD_STAR_PATTERN) + bold("__", K.BOLD_UNDERSCORE_PATTERN))
-        .cast("double")
-        .alias("bolds"),
-    )
+    def totals(cleaned: Column) -> Column:
+        bolds = bold(cleaned, "**", K.BOLD_STAR_PATTERN) + bold(
+            cleaned, "__", K.BOLD_UNDERSCORE_PATTERN
+        )
+
+        def features(markers: Column) -> Column:
+            headers = F.size(F.filter(markers, lambda x: x.startswith("#")))
+            return F.struct(
+                word_count(text).cast("double").alias("length"),
+                headers.cast("double").alias("headers"),
+                (F.size(markers) - headers).cast("double").alias("lists"),
+                bolds.cast("double").alias("bolds"),
+            )
+
+        return let(markdown_markers(cleaned), features)
+
+    return let(drop_fenced(text), totals)
 
 
 def _map_total(counts: Column) -> Column:

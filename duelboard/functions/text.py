@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from duelboard import constants as K
+from duelboard.functions.binding import let
 
 
 def strip(text: Column) -> Column:
@@ -50,9 +51,11 @@ def compact_spaces(text: Column) -> Column:
 
 def preview(text: Column, limit: int = 240) -> Column:
     """Compact one-line excerpt of at most ``limit`` characters."""
-    compact = compact_spaces(text)
-    return F.when(F.length(compact) <= limit, compact).otherwise(
-        F.concat(F.left(compact, F.lit(limit - 3)), F.lit("..."))
+    return let(
+        compact_spaces(text),
+        lambda compact: F.when(F.length(compact) <= limit, compact).otherwise(
+            F.concat(F.left(compact, F.lit(limit - 3)), F.lit("..."))
+        ),
     )
 
 

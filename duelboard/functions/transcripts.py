@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from duelboard.functions.binding import let
 from duelboard.functions.text import normalize_newlines, strip
 
 MESSAGES_TYPE = "array<struct<role:string,content:string>>"
@@ -18,7 +19,8 @@ def parse_transcript(text: Column) -> Column:
     """
     body = F.concat(F.lit("\n\n"), normalize_newlines(text))
     parts = F.split(body, r"\n\n(?=(?:Human|Assistant):)")
-    tagged = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    # the end of an array is far enough for any split result
+    tagged = F.slice(parts, F.lit(2), F.lit(2**30))
 
     def message(part: Column) -> Column:
         human = part.startswith("Human:")
@@ -47,9 +49,11 @@ def render_transcript(messages: Column) -> Column:
 
 def render_prompt(messages: Column) -> Column:
     """Rendered history followed by the assistant cue."""
-    history = render_transcript(messages)
-    return F.when(history == "", F.lit("Assistant:")).otherwise(
-        F.concat(history, F.lit("\n\nAssistant:"))
+    return let(
+        render_transcript(messages),
+        lambda history: F.when(history == "", F.lit("Assistant:")).otherwise(
+            F.concat(history, F.lit("\n\nAssistant:"))
+        ),
     )
 
 
@@ -74,19 +78,23 @@ def is_example(messages: Column, single_turn_only: bool) -> Column:
 
 def prompt_example(messages: Column, single_turn_only: bool) -> Column:
     """STRUCT<prompt_messages, instruction, output>, null when not eligible."""
-    prompt = all_but_last(messages)
-    if single_turn_only:
-        instruction = F.try_element_at(prompt, F.lit(1))["content"]
-    else:
-        instruction = render_prompt(prompt)
-    return F.when(
-        is_example(messages, single_turn_only),
-        F.struct(
-            prompt.alias("prompt_messages"),
-            instruction.alias("instruction"),
-            last_message(messages)["content"].alias("output"),
-        ),
-    )
+
+    def example(m: Column) -> Column:
+        prompt = all_but_last(m)
+        if single_turn_only:
+            instruction = F.try_element_at(prompt, F.lit(1))["content"]
+        else:
+            instruction = render_prompt(prompt)
+        return F.when(
+            is_example(m, single_turn_only),
+            F.struct(
+                prompt.alias("prompt_messages"),
+                instruction.alias("instruction"),
+                last_message(m)["content"].alias("output"),
+            ),
+        )
+
+    return let(messages, example)
 
 
 def prompt_and_reference(messages: Column) -> Column:
@@ -94,14 +102,16 @@ def prompt_and_reference(messages: Column) -> Column:
 
     ``prompt_messages`` is null unless what remains ends on a user turn.
     """
-    ends_on_answer = F.coalesce(
-        last_message(messages)["role"] == "assistant", F.lit(False)
-    )
-    rest = F.when(ends_on_answer, all_but_last(messages)).otherwise(messages)
-    return F.struct(
-        F.when(last_message(rest)["role"] == "user", rest).alias("prompt_messages"),
-        F.when(ends_on_answer, last_message(messages)["content"]).alias("reference"),
-    )
+
+    def halves(m: Column) -> Column:
+        ends_on_answer = F.coalesce(last_message(m)["role"] == "assistant", F.lit(False))
+        rest = F.when(ends_on_answer, all_but_last(m)).otherwise(m)
+        return F.struct(
+            F.when(last_message(rest)["role"] == "user", rest).alias("prompt_messages"),
+            F.when(ends_on_answer, last_message(m)["content"]).alias("reference"),
+        )
+
+    return let(messages, halves)
 
 
 def has_raw_tags(messages: Column) -> Column:

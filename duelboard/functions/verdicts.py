@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from duelboard import constants as K
+from duelboard.functions.binding import let
 from duelboard.functions.text import strip
 
 
@@ -50,14 +51,17 @@ def label_weight(label: Column) -> Column:
     )
 
 
-def label_votes(label: Column, score: float) -> Column:
-    """Number of battles with the given score a label contributes."""
-    votes = F.lit(0)
-    for weight in (1, 3):
-        labels = _labels_where(lambda s, w: s == score and w == weight)
-        if labels:
-            votes = F.when(label.isin(labels), weight).otherwise(votes)
-    return votes
+def label_code(label: Column) -> Column:
+    """Position of the label in the table of fixed values, 0 if unknown."""
+    return F.coalesce(
+        F.array_position(F.array(*[F.lit(x) for x in K.LABEL_SCORES]), label), F.lit(0)
+    ).cast("int")
+
+
+def code_votes(code: Column, score: float) -> Column:
+    """Battles with the given score that a label code stands for."""
+    weights = [w if s == score else 0 for s, w in K.LABEL_SCORES.values()]
+    return F.get(F.array(*[F.lit(w).cast("bigint") for w in (0, *weights)]), code)
 
 
 def normalize_winner(value: Column) -> Column:
@@ -100,28 +104,46 @@ def parse_comparison(reply: Column) -> Column:
     falls through to a search for ``"winner": "X"`` and then for a bare A, B, C
     or TIE anywhere in the text (which also accepts the article "a").
     """
-    text = strip(reply)
-    payload = F.when(text.startswith("{"), F.try_parse_json(text))
-    comparisons = _line_value(text, "comparison")
-    winners = _line_value(text, "winner")
-    comparison = F.when(
-        F.size(comparisons) > 0, strip(F.element_at(comparisons, -1))
-    ).otherwise(strip(_json_text(payload, "comparison")))
-    stated = F.when(
-        F.size(winners) > 0, normalize_winner(F.element_at(winners, -1))
-    ).otherwise(normalize_winner(_json_text(payload, "winner")))
-    quoted = F.regexp_extract(
-        text, rf'(?i)"winner"[{K.SPACE_CLASS}]*:[{K.SPACE_CLASS}]*"(A|B|C|TIE)"', 1
-    )
-    bare = F.regexp_extract(
-        text, r"(?i)(?<![\p{L}\p{N}_])(A|B|C|TIE)(?![\p{L}\p{N}_])", 1
-    )
-    winner = F.coalesce(
-        stated, F.upper(F.nullif(quoted, F.lit(""))), F.upper(F.nullif(bare, F.lit("")))
-    )
-    return F.struct(
-        F.when(text != "", comparison).alias("comparison"), winner.alias("winner")
-    )
+
+    def winner_of(text: Column, payload: Column) -> Column:
+        stated = let(
+            _line_value(text, "winner"),
+            lambda lines: F.when(
+                F.size(lines) > 0, normalize_winner(F.element_at(lines, -1))
+            ).otherwise(normalize_winner(_json_text(payload, "winner"))),
+        )
+        space = K.SPACE_CLASS
+        quoted = F.regexp_extract(
+            text, rf'(?i)"winner"[{space}]*:[{space}]*"(A|B|C|TIE)"', 1
+        )
+        bare = F.regexp_extract(
+            text, r"(?i)(?<![\p{L}\p{N}_])(A|B|C|TIE)(?![\p{L}\p{N}_])", 1
+        )
+        return F.coalesce(
+            stated,
+            F.upper(F.nullif(quoted, F.lit(""))),
+            F.upper(F.nullif(bare, F.lit(""))),
+        )
+
+    def comparison_of(text: Column, payload: Column) -> Column:
+        stated = let(
+            _line_value(text, "comparison"),
+            lambda lines: F.when(F.size(lines) > 0, strip(F.element_at(lines, -1))).otherwise(
+                strip(_json_text(payload, "comparison"))
+            ),
+        )
+        return F.when(text != "", stated)
+
+    def read(text: Column) -> Column:
+        payload = F.when(text.startswith("{"), F.try_parse_json(text))
+        return let(
+            payload,
+            lambda p: F.struct(
+                comparison_of(text, p).alias("comparison"), winner_of(text, p).alias("winner")
+            ),
+        )
+
+    return let(strip(reply), read)
 
 
 def settle_winner(winner: Column, labels: Column) -> Column:

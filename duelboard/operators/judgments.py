@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from duelboard import constants as K
 from duelboard.functions.text import short_model_name
 from duelboard.functions.verdicts import (
+    code_votes,
     is_known_label,
+    label_code,
     label_score,
-    label_votes,
     label_weight,
 )
 from duelboard.operators.keyed import preview_with_remainder
 
 
 def _game(games: Column, index: int) -> Column:
-    return F.try_element_at(games, F.lit(index))
+    return F.get(games, F.lit(index - 1))
 
 
 def _game_count(games: Column) -> Column:
@@ -51,11 +52,26 @@ def reject_reason(games: Column) -> Column:
     )
 
 
+def is_scorable(games: Column) -> Column:
+    """Same as having no reject reason, in the few tests a filter needs.
+
+    A missing or null game has a null score.
+    """
+    first, second = _game(games, 1)["score"], _game(games, 2)["score"]
+    return (
+        first.isNotNull()
+        & second.isNotNull()
+        & (is_known_label(first) | is_known_label(second))
+    )
+
+
 def split_judgments(judgments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(scorable rows, rejected rows with their reason)."""
-    tagged = judgments.withColumn("reason", reject_reason(F.col("games")))
-    valid = tagged.where(F.col("reason").isNull()).drop("reason")
-    return valid, tagged.where(F.col("reason").isNotNull())
+    reason = reject_reason(F.col("games"))
+    return (
+        judgments.where(is_scorable(F.col("games"))),
+        judgments.withColumn("reason", reason).where(F.col("reason").isNotNull()),
+    )
 
 
 def reject_preview(rejects: DataFrame) -> DataFrame:
@@ -98,16 +114,14 @@ def battle_rows(valid: DataFrame) -> DataFrame:
 
 def battle_votes(valid: DataFrame) -> DataFrame:
     """Per judgment the number of battles won, tied and lost by the candidate."""
-    wins = label_votes(_label(2), 1.0) + label_votes(_label(1), 0.0)
-    ties = label_votes(_label(2), 0.5) + label_votes(_label(1), 0.5)
-    losses = label_votes(_label(2), 0.0) + label_votes(_label(1), 1.0)
-    return with_short_model(valid).withColumns(
-        {
-            "wins": wins.cast("bigint"),
-            "ties": ties.cast("bigint"),
-            "losses": losses.cast("bigint"),
-        }
+    coded = with_short_model(valid).withColumns(
+        {"_first": label_code(_label(1)), "_second": label_code(_label(2))}
     )
+    votes = {
+        name: code_votes(F.col("_second"), score) + code_votes(F.col("_first"), 1.0 - score)
+        for name, score in (("wins", 1.0), ("ties", 0.5), ("losses", 0.0))
+    }
+    return coded.withColumns(votes).drop("_first", "_second")
 
 
 def battle_tallies(valid: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duelboard.functions.binding import let
 from duelboard.functions.text import effectively_empty
 from duelboard.functions.transcripts import has_raw_tags, parse_transcript, prompt_and_reference
 
@@ -126,22 +127,27 @@ def preference_pairs(
     ranked: DataFrame, metadata: Column, seed: int = 42, allow_equal: bool = True
 ) -> DataFrame:
     """Pairs from prompt_id, prompt_messages, responses, kept, scores."""
-    chosen = ranked.withColumn(
-        "_w",
-        best_and_worst_in_row(F.col("kept"), F.col("scores"), F.col("prompt_id"), seed),
-    )
-    if not allow_equal:
-        chosen = chosen.where(F.col("_w.best") != F.col("_w.worst"))
 
-    def reply(side: str) -> Column:
-        text = F.element_at("responses", F.col(f"_w.{side}") + 1)
-        return F.array(F.struct(F.lit("assistant").alias("role"), text.alias("content")))
+    def sides(w: Column) -> Column:
+        def reply(position: Column) -> Column:
+            text = F.element_at(F.col("responses"), position + 1)
+            return F.array(F.struct(F.lit("assistant").alias("role"), text.alias("content")))
 
-    return chosen.select(
+        return F.struct(
+            reply(w["best"]).alias("chosen"),
+            reply(w["worst"]).alias("rejected"),
+            (w["best"] == w["worst"]).alias("equal"),
+        )
+
+    picked = best_and_worst_in_row(F.col("kept"), F.col("scores"), F.col("prompt_id"), seed)
+    paired = ranked.withColumn("_p", let(picked, sides))
+    if not allow_equal:
+        paired = paired.where(~F.col("_p.equal"))
+    return paired.select(
         "prompt_id",
         "prompt_messages",
-        reply("best").alias("chosen"),
-        reply("worst").alias("rejected"),
+        F.col("_p.chosen").alias("chosen"),
+        F.col("_p.rejected").alias("rejected"),
         metadata.alias("metadata"),
     )
 

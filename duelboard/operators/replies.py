@@ -137,4 +137,6 @@ def batch_scores(make_scorer: Callable):
             values = list(scorer(pairs)) if pairs else []
             yield pd.Series([values[a:b] for a, b in spans])
 
-    return score
+    # A model call must not be repeated by the optimizer: as a deterministic
+    # function it would be copied into every filter pushed below it.
+    return score.asNondeterministic()

@@ -83,8 +83,8 @@ def position_consistency(valid: DataFrame, keys: list[str]) -> DataFrame:
 
     A judge is consistent when the candidate's score is the same in both games.
     """
-    first = label_score(F.col("games")[0]["score"])
-    second = label_score(F.col("games")[1]["score"])
+    first = label_score(F.get("games", F.lit(0))["score"])
+    second = label_score(F.get("games", F.lit(1))["score"])
     return (
         valid.where(first.isNotNull() & second.isNotNull())
         .groupBy(*keys)
