@@ -95,7 +95,7 @@ join answers b on b.uid = q.uid and b.model = s.baseline"""
 )
 def _(t):
     questions = Q.with_settings(t.view("questions"), t.settings())
-    paired = Q.with_answers(questions, t.answers(), TARGET)
+    paired = Q.with_answers(questions, t.answers(), TARGET, Q.baseline_models(t.settings()))
     return paired.select(
         "uid",
         "baseline",

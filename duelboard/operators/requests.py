@@ -72,12 +72,24 @@ def unjudged(questions: DataFrame, judged: DataFrame, target: str, settings: Dat
     return pending.join(complete, "uid", "left_anti")
 
 
-def with_answers(pending: DataFrame, answers: DataFrame, target: str) -> DataFrame:
-    """Pending questions with the target's and the baseline's answer text."""
+def baseline_models(settings: DataFrame) -> list[str]:
+    """The baselines in use: at most one per category."""
+    return sorted({row["baseline"] for row in settings.select("baseline").collect()})
+
+
+def with_answers(
+    pending: DataFrame, answers: DataFrame, target: str, baselines: list[str] | None = None
+) -> DataFrame:
+    """Pending questions with the target's and the baseline's answer text.
+
+    Each side reads only the models it needs; with ``baselines`` given, the
+    filter reaches the scan and prunes a layout partitioned by model.
+    """
     own = answers.where(F.col("model") == target).select(
         "uid", F.col("answer").alias("target_answer")
     )
-    base = answers.select(
+    others = answers if baselines is None else answers.where(F.col("model").isin(baselines))
+    base = others.select(
         "uid",
         F.col("model").alias("baseline"),
         F.col("answer").alias("baseline_answer"),

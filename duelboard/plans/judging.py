@@ -22,7 +22,8 @@ def pending_games(
 ) -> DataFrame:
     """Both games of every question that still needs judging."""
     pending = Q.unjudged(questions, judged, target, settings)
-    return Q.swapped_games(Q.with_answers(pending, answers, target))
+    paired = Q.with_answers(pending, answers, target, Q.baseline_models(settings))
+    return Q.swapped_games(paired)
 
 
 def require_coverage(questions, answers, target, settings) -> None:
