@@ -152,7 +152,8 @@ scored as (select *, coalesce(s1, case when rn % 5 <> 0 then 'A=B' end) score fr
 @query("f3_judge_calls", f"with {_GAMES_SQL} select uid, game_no, reply, score from scored")
 def _(t):
     games = pending_games(t.view("questions"), t.answers(), _judged(t), TARGET, t.settings())
-    return judge_games(games, stub_judge, stub_repair).select("uid", "game_no", "reply", "score")
+    scored = judge_games(games, stub_judge, scratch_dir(t.spark, "games"), stub_repair)
+    return scored.select("uid", "game_no", "reply", "score")
 
 
 @query(
@@ -224,11 +225,8 @@ def _(t):
     """Pending games, judged, repaired, assembled and merged with stored rows."""
     stored = _judged(t).withColumn("baseline", F.lit(None).cast("string"))
     games = pending_games(t.view("questions"), t.answers(), stored, TARGET, t.settings())
-    scored = judge_games(games, stub_judge, stub_repair)
-    # replies of a model cannot be repeated: store them before they are used
-    path = scratch_dir(t.spark, "scored")
-    scored.write.parquet(path)
-    merged = merge_judgments(stored, t.spark.read.parquet(path), "gpt-4.1", TARGET)
+    scored = judge_games(games, stub_judge, scratch_dir(t.spark, "games"), stub_repair)
+    merged = merge_judgments(stored, scored, "gpt-4.1", TARGET)
     return merged.select(
         "uid",
         F.col("games")[0]["score"].alias("g1"),
@@ -268,7 +266,9 @@ select key, n, (select cast(sum(n) as bigint) from c) total,
 )
 def _(t):
     done = t.view("results").where("ord % 3 = 0")
-    rows = comparison_round(t.view("candidates"), NAMES, stub_winner, "judge-x", done)
+    rows = comparison_round(
+        t.view("candidates"), NAMES, stub_winner, "judge-x", done, store=scratch_dir(t.spark, "round")
+    )
     return win_table(rows, NAMES).withColumn("win_rate", F.round("win_rate", 9))
 
 

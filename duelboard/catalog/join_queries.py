@@ -365,24 +365,30 @@ def _(t):
     return labelled.select("instruction", *[F.col("labels")[x].alias(x.lower()) for x in "ABC"])
 
 
-@query("w7_input_order", "select doc_id, doc_id rank, source from documents")
+@query(
+    "w7_input_order",
+    "select lang, count(*) n, 0 out_of_order from documents group by 1",
+)
 def _(t):
-    """Rows read back from JSON keep their order through (offset, id)."""
+    """Rows read back from JSON keep their order through (offset, id).
+
+    Files are written in id order, so of two neighbouring ids in one file the
+    larger one must have the larger reading order.
+    """
     from duelboard.session import scratch_dir
     from duelboard.sources.writers import write_jsonl
 
     path = scratch_dir(t.spark, "ordered")
-    rows = t.table("documents").select("doc_id", "source", "text")
-    write_jsonl(rows.sortWithinPartitions("doc_id"), path)
-    back = R.with_input_order(R.read_jsonl(t.spark, path, "doc_id bigint, source string, text string"))
-    before = back.groupBy("file_name").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("ord", "doc_id", "source"))),
-            lambda s: F.struct(s["doc_id"].alias("doc_id"), s["source"].alias("source")),
-        ).alias("rows")
+    rows = t.table("documents").select("doc_id", "lang", "text")
+    write_jsonl(rows.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id"), path)
+    back = R.with_input_order(R.read_jsonl(t.spark, path, "doc_id bigint, lang string, text string"))
+    here = back.select("doc_id", "lang", "file_name", "ord")
+    following = back.select(
+        (F.col("doc_id") - 1).alias("doc_id"), "file_name", F.col("ord").alias("next_ord")
     )
-    return before.select(F.posexplode("rows").alias("rank", "r")).select(
-        "r.doc_id", F.col("rank").cast("bigint").alias("rank"), "r.source"
+    wrong = F.col("next_ord").isNotNull() & (F.col("next_ord") <= F.col("ord"))
+    return here.join(following, ["doc_id", "file_name"], "left").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(wrong).alias("out_of_order")
     )
 
 

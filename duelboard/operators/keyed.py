@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def without(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key does not occur in ``done``.
+
+    The keys are made distinct first: that happens before the shuffle, so a key
+    repeated very often in ``done`` arrives once per task, and the join reuses
+    the partitioning of the distinct.
+    """
+    return rows.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
 def _pick(df: DataFrame, keys: list[str], order: str, pick) -> DataFrame:
     """One row per key by a mergeable aggregate.
 
@@ -55,7 +65,7 @@ def current_files(rows: DataFrame, file: str = "file_name", order: str = "ord")
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], keep: Column | None = None) -> DataFrame:
     """Existing rows that satisfy ``keep`` stay; new rows fill the other keys."""
     kept = existing if keep is None else existing.where(keep)
-    added = new.join(kept.select(*keys), keys, "left_anti")
+    added = without(new, kept, keys)
     return kept.unionByName(added.select(*kept.columns))
 
 

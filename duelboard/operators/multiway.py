@@ -10,7 +10,7 @@ from duelboard import constants as K
 from duelboard.functions.prompts import comparison_prompt
 from duelboard.functions.text import is_falsy, seed_from_key
 from duelboard.functions.verdicts import parse_comparison, settle_winner
-from duelboard.operators.keyed import first_rows, keep_first
+from duelboard.operators.keyed import first_rows, keep_first, without
 
 
 def select_candidates(paths: dict[str, str | None], keys: list[str]) -> list[str]:
@@ -84,8 +84,7 @@ def first_instructions(common: DataFrame, limit: int | None) -> DataFrame:
 
 def unseen(common: DataFrame, results: DataFrame) -> DataFrame:
     """Instructions that have no stored result."""
-    done = results.where(~is_falsy(F.col("instruction"))).select("instruction")
-    return common.join(done, "instruction", "left_anti")
+    return without(common, results.where(~is_falsy(F.col("instruction"))), ["instruction"])
 
 
 def hashed_order(outputs: Column, instruction: Column, seed: int) -> Column:

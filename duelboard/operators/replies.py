@@ -96,24 +96,29 @@ def apply_repairs(
 
 
 def judgment_rows(scored: DataFrame, judge: str, model: str) -> DataFrame:
-    """One row per question with both games in order; two rows meet per key.
+    """One row per question with both games in order.
 
-    Questions with a game that could not be scored are left for the next run.
+    The two scores meet through mergeable aggregates. Questions with a game that
+    could not be scored are left for the next run.
     """
-    games = F.array_sort(F.collect_list(F.struct("game_no", "score")))
-    assembled = (
-        scored.where(F.col("score").isNotNull())
-        .groupBy("uid", "category", "baseline")
-        .agg(games.alias("_games"))
-        .where(F.size("_games") == 2)
+
+    def score(number: int):
+        return F.max(F.when(F.col("game_no") == number, F.col("score")))
+
+    both = (
+        scored.groupBy("uid", "category", "baseline")
+        .agg(score(1).alias("_first"), score(2).alias("_second"))
+        .where(F.col("_first").isNotNull() & F.col("_second").isNotNull())
     )
-    return assembled.select(
+    return both.select(
         "uid",
         "category",
         F.lit(judge).alias("judge"),
         F.lit(model).alias("model"),
         "baseline",
-        F.transform("_games", lambda g: F.struct(g["score"].alias("score"))).alias("games"),
+        F.array(
+            F.struct(F.col("_first").alias("score")), F.struct(F.col("_second").alias("score"))
+        ).alias("games"),
     )
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from duelboard.functions.prompts import judge_messages, judge_prompt, message
 from duelboard.functions.style import style_metadata
 from duelboard.operators.judgments import is_complete
+from duelboard.operators.keyed import without
 
 
 def unanswered(questions: DataFrame, answers: DataFrame) -> DataFrame:
     """Questions without an answer row."""
-    return questions.join(answers.select("uid"), "uid", "left_anti")
+    return without(questions, answers, ["uid"])
 
 
 def with_settings(questions: DataFrame, settings: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def coverage_gaps(questions: DataFrame, answers: DataFrame, target: str, setting
             )
         ).alias("model"),
     )
-    return expected.join(answers.select("uid", "model"), ["uid", "model"], "left_anti")
+    return without(expected, answers, ["uid", "model"])
 
 
 def missing_baselines(questions: DataFrame, answers: DataFrame, target: str, settings: DataFrame) -> DataFrame:
@@ -62,14 +63,14 @@ def missing_baselines(questions: DataFrame, answers: DataFrame, target: str, set
         .distinct()
         .where(F.col("model") != target)
     )
-    return needed.join(answers.select("model").distinct(), "model", "left_anti")
+    return without(needed, answers, ["model"])
 
 
 def unjudged(questions: DataFrame, judged: DataFrame, target: str, settings: DataFrame) -> DataFrame:
     """Questions without a complete judgment whose baseline is not the target."""
-    complete = judged.where(is_complete(F.col("games"))).select("uid")
+    complete = judged.where(is_complete(F.col("games")))
     pending = with_settings(questions, settings).where(F.col("baseline") != target)
-    return pending.join(complete, "uid", "left_anti")
+    return without(pending, complete, ["uid"])
 
 
 def baseline_models(settings: DataFrame) -> list[str]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from duelboard.operators import multiway as M
 from duelboard.operators.replies import call_judge
 from duelboard.operators.tally import win_rates, winner_counts
+from duelboard.plans.judging import stored
 
 
 def comparison_round(
@@ -20,14 +21,20 @@ def comparison_round(
     limit: int | None = None,
     seed: int = 42,
     order: str = "hash",
+    store: str | None = None,
 ) -> DataFrame:
-    """Newly judged rows for the instructions all candidates share."""
+    """Newly judged rows for the instructions all candidates share.
+
+    With ``store`` the replies are written there once and read back, so that
+    nothing downstream can send a request again.
+    """
     common = M.first_instructions(M.common_instructions(candidates, names), limit)
     if results is not None:
         common = M.unseen(common, results)
     requests = M.comparison_requests(M.label_candidates(common, seed, order), len(names))
     replies = call_judge(requests, make_reply, ["instruction", "labels", "prompt"])
-    return M.read_results(replies.drop("prompt"), model)
+    replies = replies.drop("prompt")
+    return M.read_results(replies if store is None else stored(replies, store), model)
 
 
 def win_table(results: DataFrame, names: list[str]) -> DataFrame:

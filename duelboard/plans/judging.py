@@ -37,25 +37,37 @@ def require_coverage(questions, answers, target, settings) -> None:
         raise ValueError("Missing answer rows required for judging: " + row["preview"])
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows, written once and read back.
+
+    A model's reply cannot be had twice: whatever reads it again, or recomputes a
+    lost partition, must find the stored one.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def judge_games(
     games: DataFrame,
     make_reply: Callable,
+    store: str,
     make_repair: Callable | None = None,
 ) -> DataFrame:
     """uid, category, baseline, game_no, round_label, reply, score, failure.
 
-    Replies are stored by the caller before this is used again: a model call is
-    not repeatable, so downstream steps should read the written replies.
+    Replies and repair replies are stored below ``store`` (a folder all executors
+    share), so every request is sent once.
     """
     requests = Q.judge_requests(games)
     columns = ["uid", "category", "baseline", "game_no", "round_label", "messages"]
-    labelled = R.with_labels(R.call_judge(requests, make_reply, columns).drop("messages"))
+    replies = R.call_judge(requests, make_reply, columns).drop("messages")
+    labelled = R.with_labels(stored(replies, f"{store}/replies"))
     if make_repair is None:
         return labelled.withColumn("failure", F.col("error"))
     repairs = R.call_judge(
         R.repair_requests(labelled), make_repair, ["uid", "game_no", "messages"]
     ).select("uid", "game_no", F.col("reply").alias("repair_reply"))
-    return R.apply_repairs(labelled, repairs)
+    return R.apply_repairs(labelled, stored(repairs, f"{store}/repairs"))
 
 
 def merge_judgments(judged: DataFrame, scored: DataFrame, judge: str, target: str) -> DataFrame:

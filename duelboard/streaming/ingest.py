@@ -20,7 +20,7 @@ from duelboard.operators.judgments import (
     mean_score,
     split_judgments,
 )
-from duelboard.operators.keyed import keep_last
+from duelboard.operators.keyed import keep_last, without
 from duelboard.operators.tally import tally_key
 from duelboard.sources.readers import path_exists
 
@@ -149,7 +149,7 @@ def merge_batches(
         complete = keep_last(fresh.where(is_complete(F.col("games"))), keys, order)
         if batch_id > 0 and path_exists(batch.sparkSession, table):
             stored = batch.sparkSession.read.parquet(table).where(F.col("batch") < batch_id)
-            complete = complete.join(stored.select(*keys), keys, "left_anti")
+            complete = without(complete, stored, keys)
         complete.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     query = (

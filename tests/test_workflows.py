@@ -33,7 +33,7 @@ def stored(spark, rows):
     return spark.createDataFrame(rows, JUDGED)
 
 
-def test_two_games_are_judged_repaired_and_merged(spark):
+def test_two_games_are_judged_repaired_and_merged(spark, tmp_path):
     questions, answers, settings = setup(spark)
     old = stored(spark, [("0", "math", "j", "org/m", "b", [("A>B",), ("A>B",)]), ("1", "math", "j", "org/m", "b", [("A>B",), (None,)])])
     games = judging.pending_games(questions, answers, old, "org/m", settings)
@@ -45,7 +45,7 @@ def test_two_games_are_judged_repaired_and_merged(spark):
     def make_repair():
         return lambda pdf: ["[A=B]" for _ in range(len(pdf))]
 
-    scored = judging.judge_games(games, make_reply, make_repair)
+    scored = judging.judge_games(games, make_reply, str(tmp_path / "store"), make_repair)
     merged = judging.merge_judgments(old, scored, "j", "org/m")
     rows = {r["uid"]: [g["score"] for g in r["games"]] for r in merged.collect()}
     assert rows["0"] == ["A>B", "A>B"] and rows["1"] == ["A=B", "A=B"] and len(rows) == 6
