@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from duelboard import constants as K
 from duelboard import schemas
 from duelboard.catalog.registry import query
 from duelboard.functions.text import safe_name
@@ -109,8 +110,8 @@ def _(t):
 
 @query(
     "s7_questions_legacy",
-    """
-select uid, prompt, coalesce(nullif(category, ''), 'arena-hard-v0.1') category, cluster, ord
+    f"""
+select uid, prompt, coalesce(nullif(category, ''), '{K.LEGACY_CATEGORY}') category, cluster, ord
 from questions_raw where uid is not null and trim(prompt, chr(32) || chr(10)) <> ''""",
 )
 def _(t):

@@ -16,6 +16,7 @@ from duelboard.operators import pairwise_fit as PF
 from duelboard.operators import style_board as SB
 from duelboard.operators import tally as TA
 from duelboard.plans.report import leaderboard_report
+from duelboard.session import broadcast_if_small
 from duelboard.sources.readers import resolve_answers
 
 NAMES = ["chosen", "sft", "beta_dpo"]
@@ -193,7 +194,7 @@ def _(t):
     columns = models.groupBy("category").agg(
         F.array_join(F.array_sort(F.collect_set("model")), ",").alias("columns")
     )
-    joined = battles.join(F.broadcast(base), "category").join(columns, "category")
+    joined = battles.join(broadcast_if_small(base), "category").join(columns, "category")
     return joined.where(F.col("model") != F.col("baseline")).select(
         "category", "uid", "model", "score", "columns", F.lit(1).alias("own"), F.lit(-1).alias("base"), "count"
     )
@@ -229,7 +230,7 @@ from (select category, model, avg(score) score from battles group by 1, 2) join
 )
 def _(t):
     scores = L.model_scores(_valid(t)).withColumn("strength", F.col("score") * 4)
-    base = F.broadcast(t.settings().select("category", "baseline_short"))
+    base = broadcast_if_small(t.settings().select("category", "baseline_short"))
     chance = F.when(F.col("model") == F.col("baseline_short"), 0.5).otherwise(
         PF.win_probability(F.col("strength"), F.lit(2.0))
     )

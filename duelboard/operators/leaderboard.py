@@ -9,6 +9,7 @@ from duelboard import constants as K
 from duelboard.functions.prompts import interval_text, percent
 from duelboard.functions.text import short_model_name
 from duelboard.operators.judgments import battle_tallies, battles_of, mean_score
+from duelboard.session import work_partitions
 
 KEYS = ["category", "model"]
 _BLOCK = 65_536
@@ -123,7 +124,7 @@ def bootstrap_rounds_draws(
                 F.sequence(F.lit(0), ((F.col("total") - 1) / _BLOCK).cast("bigint"))
             ).alias("_block"),
         )
-        .repartition(*keys, "round", "_block")
+        .repartition(work_partitions(tallies.sparkSession), *keys, "round", "_block")
     )
     start = F.col("_block") * _BLOCK
     stop = F.least(start + _BLOCK, F.col("total")) - 1

@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duelboard.session import work_partitions
+
 MAX_MODELS = 1_000
 MAX_STRENGTH = 20.0
 _SMALL_COUNT = 64
@@ -174,13 +176,9 @@ def fit_rounds(
     """
     # Spread by row key: every pass is Python work, and the joins before it may have
     # left the rows in few or uneven partitions.
-    spark = battles.sparkSession
-    parts = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
     rows = (
         battles.select(group, "model", "own", "score", "count", "row_key", *features)
-        .repartition(parts, "row_key")
+        .repartition(work_partitions(battles.sparkSession), "row_key")
         .persist()
     )
     try:

@@ -9,6 +9,7 @@ from duelboard.functions.prompts import judge_messages, judge_prompt, message
 from duelboard.functions.style import style_metadata
 from duelboard.operators.judgments import is_complete
 from duelboard.operators.keyed import without
+from duelboard.session import broadcast_if_small
 
 
 def unanswered(questions: DataFrame, answers: DataFrame) -> DataFrame:
@@ -19,14 +20,14 @@ def unanswered(questions: DataFrame, answers: DataFrame) -> DataFrame:
 def with_settings(questions: DataFrame, settings: DataFrame) -> DataFrame:
     """Questions with their category's baseline and system prompt.
 
-    ``settings`` holds one row per category (a handful), so it is broadcast.
+    ``settings`` holds one row per category, so it is broadcast after a check.
     """
-    return questions.join(F.broadcast(settings), "category")
+    return questions.join(broadcast_if_small(settings), "category")
 
 
 def unknown_categories(questions: DataFrame, settings: DataFrame) -> DataFrame:
     """Questions whose category has no settings (null included)."""
-    known = F.broadcast(settings.select("category"))
+    known = broadcast_if_small(settings.select("category"))
     return questions.join(known, "category", "left_anti")
 
 
@@ -66,6 +67,12 @@ def missing_baselines(questions: DataFrame, answers: DataFrame, target: str, set
     return without(needed, answers, ["model"])
 
 
+def is_own_baseline(questions: DataFrame, target: str, settings: DataFrame) -> bool:
+    """True when the target is the baseline of every question."""
+    others = with_settings(questions, settings).where(F.col("baseline") != target)
+    return others.isEmpty()
+
+
 def unjudged(questions: DataFrame, judged: DataFrame, target: str, settings: DataFrame) -> DataFrame:
     """Questions without a complete judgment whose baseline is not the target."""
     complete = judged.where(is_complete(F.col("games")))

@@ -11,6 +11,7 @@ from duelboard.functions.text import short_model_name
 from duelboard.operators import pairwise_fit
 from duelboard.operators.judgments import battle_votes
 from duelboard.operators.leaderboard import interval
+from duelboard.session import broadcast_if_small
 
 CONTROLS = {"length": ("length",), "markdown": ("headers", "lists", "bolds")}
 
@@ -68,9 +69,9 @@ def with_style_difference(battles: DataFrame, lookup: DataFrame, settings: DataF
     """Battles joined with the candidate's and the baseline's style.
 
     Battles whose candidate or baseline answer is missing drop out. ``settings``
-    has one short row per category, hence the broadcast.
+    has one short row per category and is broadcast after a check.
     """
-    base_of = F.broadcast(
+    base_of = broadcast_if_small(
         settings.select("category", F.col("baseline_short").alias("baseline"))
     )
     joined = battles.join(base_of, "category").join(lookup, "uid")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from duelboard.operators import replies as R
 from duelboard.operators import requests as Q
 from duelboard.operators.judgments import is_complete
-from duelboard.operators.keyed import upsert
+from duelboard.operators.keyed import in_question_order, preview_with_remainder, upsert
 
 
 def pending_games(
@@ -30,8 +30,6 @@ def require_coverage(questions, answers, target, settings) -> None:
     """Raise when an answer that judging needs is missing."""
     gaps = Q.coverage_gaps(questions, answers, target, settings)
     text = F.concat(F.lit("uid="), F.col("uid"), F.lit(" model="), F.col("model"))
-    from duelboard.operators.keyed import preview_with_remainder
-
     row = preview_with_remainder(gaps, text, ["ord", "model"]).first()
     if row["total"]:
         raise ValueError("Missing answer rows required for judging: " + row["preview"])
@@ -75,3 +73,37 @@ def merge_judgments(judged: DataFrame, scored: DataFrame, judge: str, target: st
     fresh = R.judgment_rows(scored, judge, target)
     kept = judged.select(*fresh.columns)
     return upsert(kept, fresh, ["uid"], is_complete(F.col("games")))
+
+
+def judge_target(
+    questions: DataFrame,
+    answers: DataFrame,
+    judged: DataFrame,
+    target: str,
+    judge: str,
+    settings: DataFrame,
+    make_reply: Callable,
+    store: str,
+    make_repair: Callable | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(judgments in question order, failed games) for one target model.
+
+    Checks that categories and answers are complete, judges what has no complete
+    judgment yet, and merges. Failed games stay pending for the next run instead
+    of stopping this one. A target that is the baseline of every question has
+    nothing to be compared with and gets an empty result.
+    """
+    Q.require_known_categories(questions, settings)
+    if Q.is_own_baseline(questions, target, settings):
+        games = pending_games(questions, answers, judged, target, settings)
+        nothing = judged.limit(0)
+        return nothing, games.limit(0)
+    absent = [r["model"] for r in Q.missing_baselines(questions, answers, target, settings).collect()]
+    if absent:
+        raise ValueError("Missing baseline answers required for judging: " + ", ".join(sorted(absent)))
+    require_coverage(questions, answers, target, settings)
+    games = pending_games(questions, answers, judged, target, settings)
+    scored = judge_games(games, make_reply, store, make_repair)
+    merged = merge_judgments(judged, scored, judge, target)
+    ordered = in_question_order(merged, questions).drop("question_ord")
+    return ordered, scored.where(F.col("score").isNull())

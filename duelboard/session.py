@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "duelboard", **conf: str) -> SparkSession:
@@ -54,3 +55,22 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
+
+
+def work_partitions(spark: SparkSession) -> int:
+    """Partitions for work whose cost the row bytes do not show.
+
+    Adaptive execution merges partitions by size; a few bytes that expand into
+    much computation must keep an explicit count of one to two per core.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(cores, wanted), 2 * cores)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000) -> DataFrame:
+    """Broadcast hint for a table shown to have at most ``max_rows`` rows.
+
+    Larger tables are returned as they are, so the join shuffles them.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from duelboard import constants as K
 from duelboard import schemas
 from duelboard.sources import readers as R
 from duelboard.sources import writers as W
@@ -64,7 +65,7 @@ def test_questions(spark, tmp_path):
     assert sorted((r["uid"], r["category"]) for r in got) == [("2", "c"), ("3", None)]
     assert [r["uid"] for r in R.read_questions(spark, str(tmp_path / "q.jsonl"), 1).collect()] == ["2"]
     legacy = R.normalize_legacy_questions(R.with_input_order(R.read_jsonl(spark, str(tmp_path / "q.jsonl"), schemas.QUESTION)))
-    assert {r["uid"]: r["category"] for r in legacy.collect()} == {"2": "c", "3": "arena-hard-v0.1"}
+    assert {r["uid"]: r["category"] for r in legacy.collect()} == {"2": "c", "3": K.LEGACY_CATEGORY}
     write(tmp_path / "empty.jsonl", [{"uid": "1", "prompt": ""}])
     with pytest.raises(ValueError):
         R.read_questions(spark, str(tmp_path / "empty.jsonl"))

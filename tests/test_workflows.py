@@ -57,6 +57,31 @@ def test_two_games_are_judged_repaired_and_merged(spark, tmp_path):
     )
 
 
+def test_judge_target(spark, tmp_path):
+    questions, answers, settings = setup(spark)
+    reply = lambda: (lambda pdf: ["[[B>A]]" if u != "4" else "?" for u in pdf["uid"]])
+    rows, failed = judging.judge_target(
+        questions, answers, stored(spark, []), "org/m", "j", settings, reply, str(tmp_path / "a")
+    )
+    assert [r["uid"] for r in rows.collect()] == ["0", "1", "2", "3", "5"]
+    assert failed.count() == 2
+    with pytest.raises(ValueError, match="gemini"):
+        judging.judge_target(
+            questions, answers.where("model not like 'gemini%'"), stored(spark, []), "org/m", "j", settings, reply, str(tmp_path / "b")
+        )
+    only = questions.where("category = 'math'")
+    own, none = judging.judge_target(
+        only, answers, stored(spark, []), "o3-mini-2025-01-31", "j", settings, reply, str(tmp_path / "c")
+    )
+    assert own.count() == 0 and none.count() == 0
+
+
+def test_legacy_settings(spark):
+    settings = baselines(spark, K.LEGACY_CATEGORY_SETTINGS)
+    df = spark.createDataFrame([("1", "p", K.LEGACY_CATEGORY, 0)], "uid string, prompt string, category string, ord bigint")
+    assert Q.with_settings(df, settings).first()["baseline"] == "gpt-4-0314"
+
+
 def test_failed_calls_become_error_rows(spark):
     requests = spark.createDataFrame([(str(i),) for i in range(5)], "uid string")
 
