@@ -37,6 +37,12 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from duelboard.llm.bagminhash import near_duplicate_classes
+
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_digest_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from duelboard.llm.digest_filter import judge_urls, write_rules
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_pu_toxicity,
         op3_rendezvous_shards,
+        op5_bagminhash,
         op6_digest_url_filter,
         op7_chunked_bpe,
     )
