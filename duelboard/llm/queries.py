@@ -37,6 +37,12 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from duelboard.llm.edit_decontam import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from duelboard.llm.bagminhash import near_duplicate_classes
 
@@ -59,14 +65,22 @@ def op7_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
+def op10_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from duelboard.llm.license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_pu_toxicity,
         op3_rendezvous_shards,
+        op4_edit_decontamination,
         op5_bagminhash,
         op6_digest_url_filter,
         op7_chunked_bpe,
+        op10_license_windows,
     )
 }
 
