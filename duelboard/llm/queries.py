@@ -65,6 +65,12 @@ def op7_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
+def op9_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from duelboard.llm.ppm import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from duelboard.llm.license_scan import scan_licenses
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_bagminhash,
         op6_digest_url_filter,
         op7_chunked_bpe,
+        op9_ppm_scores,
         op10_license_windows,
     )
 }
