@@ -25,6 +25,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_pq_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from duelboard.llm.pq_dedup import vector_links
+
+    return vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op2_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from duelboard.llm.pu_toxicity import score_documents
 
@@ -80,6 +86,7 @@ def op10_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_pq_links,
         op2_pu_toxicity,
         op3_rendezvous_shards,
         op4_edit_decontamination,
@@ -92,6 +99,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    # float components as doubles; equal vectors are linked whatever their rounded cosine
+    "op1_pq_links": r"""
+with recursive good as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as v
+  from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b
+  from good a join good b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(a, b) as (
+  select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b
+)
+select e.vec_id, coalesce(n.n, 0)::bigint as n_links, least(e.vec_id, coalesce(c.low, e.vec_id)) as component_id,
+  e.vec_id = least(e.vec_id, coalesce(c.low, e.vec_id)) as kept
+from embeddings e
+left join (select a, count(*) as n from links group by a) n on n.a = e.vec_id
+left join (select a, min(b) as low from reach group by a) c on c.a = e.vec_id
+""",
     "op6_digest_url_filter": r"""
 with parts as (
   select page_id,
