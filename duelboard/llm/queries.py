@@ -17,6 +17,9 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 
+#: Key of the registered queries; a real corpus uses a secret of its own.
+SURROGATE_KEY = "registered queries"
+
 
 def vocabulary_path() -> str:
     """Place of the installed public byte-level vocabulary."""
@@ -71,6 +74,12 @@ def op7_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from duelboard.llm.surrogates import replace_entities
+
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY, count="n_entities")
+
+
 def op9_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from duelboard.llm.ppm import score_texts
 
@@ -93,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_bagminhash,
         op6_digest_url_filter,
         op7_chunked_bpe,
+        op8_surrogates,
         op9_ppm_scores,
         op10_license_windows,
     )
