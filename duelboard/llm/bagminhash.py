@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,13 +32,13 @@ SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^25 = 5e-5.
 BAND_ROWS, BANDS = 5, 25
 REGISTERS = BAND_ROWS * BANDS
-#: Sketches that agree in fewer registers than this cannot, but for one in 10^5, be 0.8 similar.
-SKETCH_LEAST = int(REGISTERS * (SIMILARITY - 4.3 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5))
+#: Shingles of a bucket's members that one group compares.
+CHUNK_SHINGLES = 200_000
 #: Candidate texts looked up by a broadcast of their keys up to this many, by a shuffle beyond.
 BROADCAST_KEYS = 1_000_000
 
 
-_SIGNED = T.StructType().add("weight", "long").add("bands", T.ArrayType(T.LongType())).add("sketch", T.BinaryType())
+_SIGNED = T.StructType().add("weight", "long").add("bands", T.ArrayType(T.LongType()))
 
 
 def bags(texts: list[str | None], size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,21 +123,13 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         texts = texts.tolist()
-        parts = [pd.DataFrame({"weight": [], "bands": [], "sketch": []})]
+        parts = [pd.DataFrame({"weight": [], "bands": []})]
         for a, b in in_blocks(texts, 1_000_000):
             doc, keys, counts = bags(texts[a:b])
             registers = signatures(doc, keys, counts, b - a)
             weight = np.bincount(doc, counts, b - a).astype(np.int64)
             bands = band_keys(registers)
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "weight": weight,
-                        "bands": [row if w else row[:0] for row, w in zip(bands, weight)],
-                        "sketch": [row.astype(np.uint32).tobytes() for row in registers],
-                    }
-                )
-            )
+            parts.append(pd.DataFrame({"weight": weight, "bands": [row if w else row[:0] for row, w in zip(bands, weight)]}))
         yield pd.concat(parts[1:] or parts, ignore_index=True)
 
 
@@ -153,13 +146,52 @@ def _similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.S
         yield pd.Series(out, dtype="float64")
 
 
-@F.pandas_udf(T.IntegerType())
-def _agreeing(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Registers in which two sketches agree."""
-    if not len(left):
-        return pd.Series([], dtype="int32")
-    a, b = (np.frombuffer(b"".join(s), np.uint32).reshape(len(s), -1) for s in (left, right))
-    return pd.Series((a == b).sum(axis=1).astype(np.int32))
+@F.pandas_udf(T.BinaryType())
+def _packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Bag of each text as bytes: sorted keys, then multiplicities."""
+    for texts in batches:
+        packed = []
+        for text in texts:
+            _, keys, counts = bags([text])
+            packed.append(keys.tobytes() + counts.astype(np.uint64).tobytes())
+        yield pd.Series(packed, dtype="object")
+
+
+def _joined_by_links(rows: pa.Table, similarity: float) -> pa.Table:
+    """Links (a, b) that join different classes among the members of a bucket's chunks.
+
+    Members of the left chunk are compared with those of the right one, each pair only
+    in the first band that it shares. Pairs already in one class are passed over, also
+    when links found here have joined them, so at most one link per member comes back.
+    """
+    size = len(rows)
+    node, label, weight = (rows.column(c).to_numpy() for c in ("node", "component", "weight"))
+    left = rows.column("left").to_numpy(zero_copy_only=False)
+    right = rows.column("right").to_numpy(zero_copy_only=False)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(size, BANDS)
+    band = rows.column("band")[0].as_py()
+    parts = [np.frombuffer(b, np.uint64) for b in rows.column("bag").to_pylist()]
+    keys = [p[: len(p) // 2] for p in parts]
+    counts = [p[len(p) // 2 :].astype(np.int64) for p in parts]
+    owner = np.repeat(np.arange(size), [len(k) for k in keys])
+    all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
+    found_a, found_b = [], []
+    for i in np.flatnonzero(left):
+        other = right & (label != label[i]) & (similarity * np.maximum(weight, weight[i]) <= np.minimum(weight, weight[i]))
+        other[i] = False
+        other &= ~(bands[:, :band] == bands[i, :band]).any(axis=1)
+        if not other.any():
+            continue
+        chosen = other[owner]
+        at = np.minimum(np.searchsorted(keys[i], all_keys[chosen]), len(keys[i]) - 1)
+        same = keys[i][at] == all_keys[chosen]
+        shared = np.bincount(owner[chosen][same], np.minimum(counts[i][at[same]], all_counts[chosen][same]), size)
+        for j in np.flatnonzero(other & (shared >= similarity * (weight + weight[i] - shared))):
+            if label[j] != label[i]:
+                found_a.append(node[i])
+                found_b.append(node[j])
+                label = np.where(label == label[j], label[i], label)
+    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
 
 def text_node(text: Column) -> tuple[Column, Column]:
@@ -179,13 +211,13 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     the id is null and all its rows are kept. Repeated ids get one row each.
 
     Copies are one node each. Members of a band bucket are compared with its best
-    connected member; then members that still lie in different classes are compared with
-    one another if their sketches allow it, so no link between buckets' members is lost.
+    connected member. In buckets whose members still lie in different classes, all of
+    these are compared, chunk by chunk, so no link between a bucket's members is lost.
     """
     column_id, text = column(docs, "doc_id"), column(docs, "text")
     node, check = text_node(F.coalesce(text, F.lit("\u0000null")))
     signed = docs.select(column_id.alias("doc_id"), node.alias("node"), check.alias("check"), _signed(text).alias("s"))
-    signed = cut(signed.select("doc_id", "node", "check", "s.weight", "s.bands", "s.sketch"), "signed")
+    signed = cut(signed.select("doc_id", "node", "check", "s.bands"), "signed")
 
     # exact copies: one representative per text; hash collisions of the first key stand apart
     firsts = signed.groupBy("node", "check").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
@@ -193,7 +225,7 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     firsts = cut(firsts.join(main.withColumn("main", F.lit(True)), ["node", "check"], "left"), "firsts")
 
     # buckets with at least two different texts
-    rows = signed.select("node", F.explode("bands").alias("bucket"))
+    rows = signed.select("node", F.posexplode("bands").alias("band", "bucket"))
     mixed = rows.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low < high")
     members = cut(rows.join(mixed.select("bucket", "size"), "bucket").distinct(), "members")
 
@@ -203,32 +235,16 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     top = ranked.groupBy("bucket").agg(F.max("degree").alias("degree"))
     leaders = ranked.join(top, ["bucket", "degree"]).groupBy("bucket").agg(F.min("node").alias("leader"))
     tested = cut(
-        _verified(members.join(leaders, "bucket").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), texts),
+        _verified(members.select("bucket", "node").join(leaders, "bucket").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), texts),
         "tested",
     )
     linked = tested.where(F.col("similarity") >= similarity)
     labels = components(linked)
 
-    # what the leaders left apart: pairs of a bucket in different classes, by sketch, then exactly
-    labelled = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    open_ = labelled.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("bucket")
-    rest = cut(labelled.join(open_, "bucket"), "rest")
-    other = rest.select("bucket", F.col("node").alias("b"), F.col("component").alias("c"))
-    pairs = rest.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and component <> c").select("a", "b").distinct()
-    known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    sketches = texts.select("node", "sketch", "weight")
-    pairs = (
-        pairs.join(known, ["a", "b"], "left_anti")
-        .join(sketches.toDF("a", "sketch_a", "weight_a"), "a")
-        .join(sketches.toDF("b", "sketch_b", "weight_b"), "b")
-        .where(F.least("weight_a", "weight_b") >= similarity * F.greatest("weight_a", "weight_b"))
-        .where(_agreeing("sketch_a", "sketch_b") >= SKETCH_LEAST)
-        .select("a", "b")
-    )
-    more = cut(_verified(pairs, texts).where(F.col("similarity") >= similarity), "more")
+    # what the leaders left apart: all members of different classes, exactly
+    more = cut(_rest(members, labels, texts, similarity), "more")
     if not more.isEmpty():
-        linked = linked.select("a", "b").unionByName(more.select("a", "b"))
-        labels = components(linked)
+        labels = components(linked.select("a", "b").unionByName(more))
 
     # back to documents
     own = firsts.where("main").join(labels, "node").select("node", "check", "component", "first_id", "n")
@@ -238,15 +254,42 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     return signed.select("doc_id", "node", "check").join(classes, ["node", "check"]).select("doc_id", "class_id", "n_class", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
+def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between members of a bucket that ``labels`` leaves in different classes."""
+    labelled = members.select("bucket", "band", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_ = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    rest = cut(labelled.join(open_, "bucket").join(texts.select("node", "weight"), "node"), "rest")
+    chunks = rest.groupBy("bucket").agg(F.ceil(F.sum("weight") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    bags_ = cut(texts.join(rest.select("node").distinct(), "node", "left_semi").select("node", "bands", _packed("text").alias("bag")), "bags")
+    # each pair of chunks is a group; a member goes to all pairs with its own chunk
+    own = rest.join(chunks, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    placed = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "bucket",
+        "band",
+        "node",
+        "component",
+        "weight",
+        F.least("own", "other").alias("c0"),
+        F.greatest("own", "other").alias("c1"),
+        (F.col("own") <= F.col("other")).alias("left"),
+        (F.col("own") >= F.col("other")).alias("right"),
+    )
+    return (
+        placed.join(bags_, "node")
+        .groupBy("bucket", "c0", "c1")
+        .applyInArrow(lambda rows: _joined_by_links(rows, similarity), "a long, b long")
+    )
+
+
 def _candidate_texts(docs: DataFrame, node: Column, check: Column, wanted: DataFrame, firsts: DataFrame) -> DataFrame:
-    """node, text, weight, sketch of the wanted nodes, one row each, written to the shared folder."""
+    """node, text, weight, bands of the wanted nodes, one row each, written to the shared folder."""
     wanted = wanted.join(firsts.where("main").select("node", "check", "first_id"), "node")
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
     rows = docs.select(column(docs, "doc_id").alias("first_id"), node.alias("node"), check.alias("check"), column(docs, "text").alias("text"))
     # one row each, but for rows without an id and repeated rows
     found = rows.join(wanted.withColumnRenamed("first_id", "id"), ["node", "check"]).where(F.col("first_id").eqNullSafe(F.col("id")))
-    found = cut(found.select("node", "text"), "texts").dropDuplicates(["node"])
-    return cut(found.select("node", "text", _signed("text").alias("s")).select("node", "text", "s.weight", "s.sketch"), "texts")
+    found = found.select("node", "text").dropDuplicates(["node"])
+    return cut(found.select("node", "text", _signed("text").alias("s")).select("node", "text", "s.weight", "s.bands"), "texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
