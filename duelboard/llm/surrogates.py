@@ -55,7 +55,8 @@ def _digits(raw: Column) -> Column:
 def entity_parts(raw: Column) -> Column:
     """Array of (kind, canon, gender): what must be replaced alike wherever it occurs.
 
-    Case and format do not tell entities apart. A person has a given and a family name,
+    Case and format do not tell entities apart, nor does a country code: a phone number
+    is its last ten digits. A person has a given and a family name,
     or only the latter, so "Mr. Smith" shares the family name of "Mr. John Smith".
     """
     kind = entity_kind(raw)
@@ -74,7 +75,8 @@ def entity_parts(raw: Column) -> Column:
         ),
     ).otherwise(F.array(part(F.concat(F.lit("family-"), script(family)), F.lower(family), none)))
     value = F.regexp_replace(raw, "^(?:AKIA|" + SECRET_HEAD + ")", "")
-    canon = F.when(kind == "email", F.lower(raw)).when(kind == "secret", value).when(kind == "ip", raw).otherwise(_digits(raw))
+    canon = F.when(kind == "email", F.lower(raw)).when(kind == "secret", value).when(kind == "ip", raw)
+    canon = canon.when(kind == "phone", F.right(_digits(raw), F.lit(10))).otherwise(_digits(raw))
     return F.when(kind == "person", person).otherwise(F.array(part(kind, canon, none)))
 
 
@@ -127,7 +129,6 @@ def surrogate(kind: Column, canon: Column, gender: Column, attempt: Column, key:
     n = F.length(canon)
     from_two = lambda i: (_draw(stream, i) % 8 + 2).cast("string")
     ten = F.substring(F.concat(from_two(0), _random_digits(stream, F.lit(2), 1), from_two(3), _random_digits(stream, F.lit(6), 4)), F.lit(1), F.least(n, F.lit(10)))
-    phone = F.concat(F.substring(canon, F.lit(1), F.greatest(n - 10, F.lit(0))), ten)
     body = F.concat(F.substring(canon, 1, 1), _random_digits(stream, n - 2, 1))
     ip = F.concat_ws(".", *[(_draw(stream, i) % 254 + 1).cast("string") for i in range(4)])
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
@@ -136,7 +137,7 @@ def surrogate(kind: Column, canon: Column, gender: Column, attempt: Column, key:
     below = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 2, F.lit(0)))
     sub = F.when(F.size(below) > 0, F.concat(_shaped(F.array_join(below, "."), stream, 32), F.lit("."))).otherwise("")
     email = F.concat(_shaped(local, stream), more, F.lit("@"), sub, F.lit("example."), F.element_at(labels, -1))
-    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone).when(kind == "card", F.concat(body, _luhn(body)))
+    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", ten).when(kind == "card", F.concat(body, _luhn(body)))
     out = out.when(kind == "ssn", F.concat((_draw(stream, 0) % 8 + 1).cast("string"), _random_digits(stream, F.lit(8), 1)))
     out = out.when(kind == "secret", _shaped(canon, stream))
     for script, female, male, family, syllables, ends in (
@@ -150,7 +151,9 @@ def surrogate(kind: Column, canon: Column, gender: Column, attempt: Column, key:
 
 def _in_format(raw: Column, kind: Column, piece: Column) -> Column:
     """A canonical surrogate in the format of the raw entity (of one part)."""
-    digit = lambda c, i: F.when(c.rlike("[0-9]"), F.substring(piece, F.length(_digits(F.substring(raw, F.lit(1), i + 1))), F.lit(1))).otherwise(c)
+    own = _digits(raw)  # digits before the part that has a surrogate, a country code, stay
+    digits = F.concat(F.substring(own, F.lit(1), F.greatest(F.length(own) - F.length(piece), F.lit(0))), piece)
+    digit = lambda c, i: F.when(c.rlike("[0-9]"), F.substring(digits, F.length(_digits(F.substring(raw, F.lit(1), i + 1))), F.lit(1))).otherwise(c)
     numbers = F.array_join(F.transform(F.split(raw, ""), digit), "")
     head = F.regexp_extract(raw, "^(?:AKIA|" + SECRET_HEAD + ")", 0)
     return F.when(kind.isin("phone", "card", "ssn"), numbers).when(kind == "secret", F.concat(head, piece)).when((kind == "email") & (raw == F.upper(raw)), F.upper(piece)).otherwise(piece)
