@@ -26,26 +26,37 @@ CYRILLIC_MALE = ["Антон", "Борис", "Виктор", "Денис", "Ив
 CYRILLIC_FAMILY = ["Белов", "Волков", "Громов", "Козлов", "Лебедев", "Морозов", "Орлов", "Соколов"]
 LATIN_SYLLABLES = ["ba", "de", "fi", "go", "hu", "ka", "le", "mi", "no", "pu", "ra", "se", "ti", "vo", "wa", "zu"]
 CYRILLIC_SYLLABLES = ["ба", "де", "фи", "го", "ху", "ка", "ле", "ми", "но", "пу", "ра", "се", "ти", "во", "ва", "зу"]
-SECRET_HEAD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+_SECRET_WORD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)"
+#: What stays of a secret: the sign and quote before it, or the prefix of an access key.
+SECRET_HEAD = r"[=:]\s{0,3}[\"']?|AKIA"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_TITLE = "|".join(sorted(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES, key=len, reverse=True))
+# Each pattern but the first starts with one sign of a small class, which fails fast, and
+# looks behind that sign afterwards.
 PATTERNS = {
     "email": r"(?<![\w.+-])[\w.+-]++@[\w-]+(?:\.[\w-]+)+",
-    "secret": r"(?<!\w)(?:AKIA(?=[0-9A-Z]{16}(?!\w))|" + SECRET_HEAD + r")[^\s\"']{6,}",
-    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
-    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w)",
-    "person": r"(?<![\p{L}])(?:" + "|".join(sorted(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES, key=len, reverse=True)) + r")\.? " + _NAME + "(?: " + _NAME + ")?",
+    "secret": r"A(?<!\wA)KIA[0-9A-Z]{16}(?!\w)|[=:](?<=" + _SECRET_WORD + r"\s{0,3}[=:])\s{0,3}[\"']?[^\s\"']{6,}",
+    "ip": r"\d(?<![\w.]\d)\d{0,2}(?:\.\d{1,3}){3}(?!\w|\.\d)",
+    "ssn": r"\d(?<![\w-]\d)\d{2}-\d{2}-\d{4}(?![\w-])",
+    "card": r"\d(?<![\w+-]\d)(?:[ -]?\d){12,18}(?![\w-])",
+    "phone": r"[+(\d](?<![\w+][+(\d])(?:(?<=\+)\d{1,3}[ .-]?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])|(?<=\()\d{2,4}\) ?|(?<=\d)\d{1,3}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w)",
+    "person": r"[" + "".join(sorted({t[0] for t in FEMALE_TITLES + MALE_TITLES + OTHER_TITLES})) + r"](?<!\p{L}.)(?<=(?=(?:" + _TITLE + r")(?!\p{L})).)\p{L}*\.? " + _NAME + "(?: " + _NAME + ")?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: A text without any of these holds no entity; one pass over a text tells.
+HINT = r"[0-9@=:]|AKIA|" + PATTERNS["person"]
+
+
+def holds_entity(text: Column) -> Column:
+    return F.coalesce(F.when(text.rlike(HINT), text.rlike(ENTITY)), F.lit(False))
 
 
 def entity_kind(raw: Column) -> Column:
     """Kind of an entity that the pattern found."""
     kind = F.lit("person")
-    for name, pattern in reversed([p for p in PATTERNS.items() if p[0] != "person"]):
+    for name, pattern in reversed([p for p in PATTERNS.items() if p[0] not in ("person", "secret")]):
         kind = F.when(raw.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
-    return kind
+    return F.when(raw.rlike("^(?:" + SECRET_HEAD + ")"), "secret").otherwise(kind)
 
 
 def _digits(raw: Column) -> Column:
@@ -74,7 +85,7 @@ def entity_parts(raw: Column) -> Column:
             part(F.concat(F.lit("family-"), script(family)), F.lower(family), none),
         ),
     ).otherwise(F.array(part(F.concat(F.lit("family-"), script(family)), F.lower(family), none)))
-    value = F.regexp_replace(raw, "^(?:AKIA|" + SECRET_HEAD + ")", "")
+    value = F.regexp_replace(raw, "^(?:" + SECRET_HEAD + ")", "")
     canon = F.when(kind == "email", F.lower(raw)).when(kind == "secret", value).when(kind == "ip", raw)
     canon = canon.when(kind == "phone", F.right(_digits(raw), F.lit(10))).otherwise(_digits(raw))
     return F.when(kind == "person", person).otherwise(F.array(part(kind, canon, none)))
@@ -155,7 +166,7 @@ def _in_format(raw: Column, kind: Column, piece: Column) -> Column:
     digits = F.concat(F.substring(own, F.lit(1), F.greatest(F.length(own) - F.length(piece), F.lit(0))), piece)
     digit = lambda c, i: F.when(c.rlike("[0-9]"), F.substring(digits, F.length(_digits(F.substring(raw, F.lit(1), i + 1))), F.lit(1))).otherwise(c)
     numbers = F.array_join(F.transform(F.split(raw, ""), digit), "")
-    head = F.regexp_extract(raw, "^(?:AKIA|" + SECRET_HEAD + ")", 0)
+    head = F.regexp_extract(raw, "^(?:" + SECRET_HEAD + ")", 0)
     return F.when(kind.isin("phone", "card", "ssn"), numbers).when(kind == "secret", F.concat(head, piece)).when((kind == "email") & (raw == F.upper(raw)), F.upper(piece)).otherwise(piece)
 
 
@@ -197,7 +208,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str |
     entities replaced. Repeated rows are replaced alike.
     """
     content, columns = column(docs, text), docs.columns
-    has = F.coalesce(content.rlike(ENTITY), F.lit(False))
+    has = holds_entity(content)
     marked = docs.where(has)
     found = F.regexp_extract_all(content, F.lit(ENTITY), 0)
     raws = marked.select(F.xxhash64(content).alias("h"), F.explode(F.array_distinct(found)).alias("raw")).distinct()
