@@ -34,14 +34,16 @@ BITS = 9
 #: Symbols are byte + 1; END closes a text, 0 stands before its start.
 END, SYMBOLS = 257, 257
 TABLE = SYMBOLS + 1
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 16_000_000
 #: Distinct strings per group of the model step.
 GROUP_STRINGS = 250_000
 #: Distinct keys a counting task holds before it hands them on.
-HELD_KEYS = 3_000_000
+HELD_KEYS = 1_200_000
 STRING, WORD = 0, 1
 END_WORD = 0
 ROWS_OUT = 100_000
+#: Rows turned into Python strings at once.
+ROWS_AT_ONCE = 200
 
 
 def mask(order: int) -> int:
@@ -77,6 +79,14 @@ def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
     return keys[at], np.diff(np.append(at, len(keys))) if counts is None else np.add.reduceat(counts, at)
 
 
+def text_parts(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts): a column in parts of bounded size."""
+    for start in range(0, len(column), ROWS_AT_ONCE):
+        texts = column.slice(start, ROWS_AT_ONCE).to_pylist()
+        for a, b in in_blocks(texts, 1_000_000):
+            yield start + a, texts[a:b]
+
+
 def keys_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(strings, their text ends, word keys, word offsets) of some texts."""
     buffer, ends = joined(texts)
@@ -115,10 +125,10 @@ def count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, key, n) of a task's texts; keys of held-out texts come with no count."""
     counter, last = Counter(), 0
     for batch in batches:
-        texts, train = batch.column("text").to_pylist(), np.array(batch.column("train"), bool)
-        for a, b in in_blocks(texts):
-            grams, ends, words, offsets = keys_of(texts[a:b])
-            own = train[a:b]
+        train = np.array(batch.column("train"), bool)
+        for start, texts in text_parts(batch.column("text")):
+            grams, ends, words, offsets = keys_of(texts)
+            own = train[start : start + len(texts)]
             for kind, keys, lengths in ((STRING, grams, np.diff(ends, prepend=0)), (WORD, words, np.diff(offsets))):
                 chosen = np.repeat(own, lengths)
                 counter.add(kind, *summed(keys[chosen]))
@@ -126,12 +136,12 @@ def count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     other = summed(keys[~chosen])[0]
                     counter.add(kind, other, np.zeros(len(other), np.int64))
             counter.add(WORD, np.array([END_WORD]), np.array([own.sum()]))
-        if counter.size > max(HELD_KEYS // 3, 2 * last):
-            counter.merge()
-            last = counter.size
-            if last > HELD_KEYS:
-                yield from counter.batches()
-                last = 0
+            if counter.size > max(HELD_KEYS // 2, last + HELD_KEYS // 2):
+                counter.merge()
+                last = counter.size
+                if last > HELD_KEYS:
+                    yield from counter.batches()
+                    last = 0
     yield from counter.batches()
 
 
@@ -259,14 +269,14 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order_fold: int
 
     def ask(table: pa.Table) -> pa.Table:
         """Distinct keys of a block."""
-        counter = Counter()
-        texts = table.column("text").to_pylist()
-        for a, b in in_blocks(texts):
-            grams, _, words, _ = keys_of(texts[a:b])
+        counter, last = Counter(), 0
+        for _, texts in text_parts(table.column("text")):
+            grams, _, words, _ = keys_of(texts)
             counter.add(STRING, *summed(grams))
             counter.add(WORD, *summed(words))
-            if counter.size > HELD_KEYS:
+            if counter.size > last + HELD_KEYS // 2:
                 counter.merge()
+                last = counter.size
         counter.add(WORD, np.array([END_WORD]), np.array([1]))
         batches = list(counter.batches())
         asked = pa.Table.from_batches(batches)
@@ -282,18 +292,17 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order_fold: int
             at = np.argsort(keys)
             found[kind] = keys[at], value[at]
         out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
-        own = texts.column("text").to_pylist()
         scale = math.log10(n_all + 0.5 * (n_distinct + 1))
         keys, value = found[WORD]
         end_count = value[np.searchsorted(keys, END_WORD)]
-        for a, b in in_blocks(own):
-            grams, ends, word_keys, offsets = keys_of(own[a:b])
+        for _, own in text_parts(texts.column("text")):
+            grams, ends, word_keys, offsets = keys_of(own)
             at = np.searchsorted(found[STRING][0], grams)
             out["score"].append(np.add.reduceat(found[STRING][1][at], np.concatenate(([0], ends[:-1]))))
             c = value[np.searchsorted(keys, word_keys)]
             # an end token closes each text's words
             closed = np.insert(c, offsets[1:], end_count)
-            first = offsets[:-1] + np.arange(b - a)
+            first = offsets[:-1] + np.arange(len(own))
             out["n_tokens"].append(np.diff(offsets) + 1)
             out["n_known"].append(np.add.reduceat((closed > 0).astype(np.int64), first))
             out["base_score"].append(np.add.reduceat(np.log10(closed + 0.5) - scale, first))
