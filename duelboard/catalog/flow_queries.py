@@ -12,7 +12,7 @@ from duelboard.catalog.views import as_event_time, as_plain_time
 from duelboard.functions.verdicts import parse_label
 from duelboard.operators import pairs as P
 from duelboard.operators import replies as R
-from duelboard.plans.comparison import comparison_round, win_table
+from duelboard.plans.comparison import comparison_round, resumed, win_table
 from duelboard.plans.judging import judge_games, merge_judgments, pending_games
 from duelboard.plans.preference import build_pairs, score_responses
 from duelboard.session import scratch_dir
@@ -55,6 +55,18 @@ def stub_repair():
     return reply
 
 
+def failing_winner():
+    """The same judge with an outage: instructions of some lengths get no reply."""
+    answer = stub_winner()
+
+    def reply(pdf):
+        if (pdf["instruction"].str.len() % 4 == 0).any():
+            raise RuntimeError("no service")
+        return answer(pdf)
+
+    return reply
+
+
 def stub_winner():
     """Winner by prompt length, in the two reply forms."""
 
@@ -250,25 +262,51 @@ select instruction, 'seen' comparison, winner, case winner when 'A' then o[1].na
        when 'C' then o[3].name else 'TIE' end winner_key from told""",
 )
 def _(t):
+    """Two rounds over one set: the first meets failing calls, the second asks only these again."""
     done = t.view("results").where("ord % 3 = 0")
-    rows = comparison_round(t.view("candidates"), NAMES, stub_winner, "judge-x", done)
+    first, second = _two_rounds(t, done)
+    rows = first.results.unionByName(second.results)
     return rows.select("instruction", "comparison", "winner", "winner_key")
 
 
+def _two_rounds(t, done):
+    first = comparison_round(t.view("candidates"), NAMES, failing_winner, "judge-x", scratch_dir(t.spark, "round"), done)
+    told = done.select("instruction").unionByName(first.results.select("instruction"))
+    second = comparison_round(t.view("candidates"), NAMES, stub_winner, "judge-x", scratch_dir(t.spark, "round"), told)
+    return first, second
+
+
+@query(
+    "e3_failed_calls",
+    f"""
+with {_ROUND_SQL}
+select instruction, 'RuntimeError: no service' error from told where length(instruction) % 4 = 0""",
+)
+def _(t):
+    """Calls that failed in the first round: no results, no ties."""
+    done = t.view("results").where("ord % 3 = 0")
+    return _two_rounds(t, done)[0].failed
+
+
 @query(
     "e3_win_table",
     f"""
 with {_ROUND_SQL},
-k as (select case winner when 'A' then o[1].name when 'B' then o[2].name when 'C' then o[3].name else 'TIE' end as key from told),
-c as (select key, count(*) n from k group by 1)
-select key, n, (select cast(sum(n) as bigint) from c) total,
+stored as (select arg_min(struct_pack(w := winner, k := winner_key), ord) r from results
+           where instruction is not null and instruction <> '' and ord % 3 = 0 group by instruction),
+k as (select case winner when 'A' then o[1].name when 'B' then o[2].name when 'C' then o[3].name else 'TIE' end as key from told
+      union all select coalesce(nullif(r.k, ''), r.w) from stored),
+m as (select case when coalesce(key, '') = '' or upper(key) = 'TIE' then 'TIE' else key end as key from k),
+c as (select key, count(*) n from m group by 1 union all
+      select v.key, 0 from (values ('chosen'), ('sft'), ('beta_dpo'), ('TIE')) v(key) where v.key not in (select key from m))
+select key, cast(n as bigint) n, (select cast(sum(n) as bigint) from c) total,
        case when key <> 'TIE' then round(n / (select sum(n) from c where key <> 'TIE'), 9) end win_rate from c""",
 )
 def _(t):
+    """Win rates over the stored rows and both rounds."""
     done = t.view("results").where("ord % 3 = 0")
-    rows = comparison_round(
-        t.view("candidates"), NAMES, stub_winner, "judge-x", done, store=scratch_dir(t.spark, "round")
-    )
+    first, second = _two_rounds(t, done)
+    rows = resumed(done, first.results.unionByName(second.results))
     return win_table(rows, NAMES).withColumn("win_rate", F.round("win_rate", 9))
 
 
@@ -306,18 +344,27 @@ def _plain_times(df):
     return df.withColumns({n: as_plain_time(F.col(n)) for n in times})
 
 
+def _fed(t, parts=3):
+    """The judgments as a stream of several files, the later ones with older times."""
+    source = scratch_dir(t.spark, "feed")
+    events = t.table("events")
+    for i in range(parts):
+        events.where(F.col("event_id") % parts == parts - 1 - i).coalesce(1).write.mode("append").parquet(source)
+    stream = ST.file_stream(t.spark, source, events.schema, "parquet", files_per_trigger=1)
+    return t.judgments_from(stream).withColumn("ts", as_event_time(F.col("ts")))
+
+
 @query(
     "st1_ingest_once",
     """
 select uid || '/' || judge || '/' || model as key, count(*) n from judgments_raw group by 1 having n >= 1""",
 )
 def _(t):
-    """One row per key from a stream with repeats; counts come from the batch side."""
-    keyed = _event_stream(t).select(
-        F.concat_ws("/", "uid", "judge", "model").alias("key"), F.col("ts")
-    )
+    """One row per key from several files, run twice; counts come from the batch side."""
+    keyed = _fed(t).select(F.concat_ws("/", "uid", "judge", "model").alias("key"), "ts", "ord")
     path, checkpoint = scratch_dir(t.spark, "once"), scratch_dir(t.spark, "once-state")
-    ST.append_to_table(ST.once_per_key(keyed, ["key"], "ts", "60 days"), path, checkpoint)
+    ST.first_per_key(keyed, path, checkpoint, ["key"])
+    ST.first_per_key(keyed, path, scratch_dir(t.spark, "once-state"), ["key"])  # a new checkpoint adds nothing
     once = t.spark.read.parquet(path).select("key")
     counts = t.judgments().groupBy(F.concat_ws("/", "uid", "judge", "model").alias("key")).agg(
         F.count(F.lit(1)).alias("n")

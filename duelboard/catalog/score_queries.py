@@ -16,7 +16,6 @@ from duelboard.operators import pairwise_fit as PF
 from duelboard.operators import style_board as SB
 from duelboard.operators import tally as TA
 from duelboard.plans.report import leaderboard_report
-from duelboard.session import broadcast_if_small
 from duelboard.sources.readers import resolve_answers
 
 NAMES = ["chosen", "sft", "beta_dpo"]
@@ -103,6 +102,52 @@ def _(t):
     return board.select("category", "model", *[F.round(c, 9).alias(c) for c in ("score", "lower", "upper")])
 
 
+_A3_CHECK_SQL = """
+select category, model, round(avg(score), 9) raw_mean, true ordered, true near_mean, true width_fits from {rows} group by 1, 2"""
+
+
+def _interval_checks(board, valid):
+    """Bootstrap bounds against the normal approximation from the tallies.
+
+    The score lies within five standard errors of the raw mean and the interval's width
+    within a factor of two of its normal value, or both are nil.
+    """
+    tallies = J.battle_tallies(valid, L.KEYS)
+    n = F.col("wins") + F.col("ties") + F.col("losses")
+    mean = (F.col("wins") + 0.5 * F.col("ties")) / n
+    variance = (F.col("wins") + 0.25 * F.col("ties")) / n - mean * mean
+    stats = tallies.select(*L.KEYS, mean.alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0)) / n).alias("error"), n.alias("n"))
+    width, normal = F.col("upper") - F.col("lower"), 2 * 1.6449 * F.col("error")
+    # means move in steps of half a battle
+    fits = ((width >= 0.5 * normal - 1.0 / F.col("n")) & (width <= 2 * normal + 1.0 / F.col("n"))) | ((normal < 1e-12) & (width < 1e-12))
+    return stats.join(board, L.KEYS).select(
+        *L.KEYS,
+        F.round("mean", 9).alias("raw_mean"),
+        ((F.col("lower") <= F.col("score")) & (F.col("score") <= F.col("upper"))).alias("ordered"),
+        (F.abs(F.col("score") - F.col("mean")) <= 5 * F.col("error") + 1e-9).alias("near_mean"),
+        fits.alias("width_fits"),
+    )
+
+
+@query("a3_bootstrap_checks", _A3_CHECK_SQL.format(rows="battles"))
+def _(t):
+    valid = _valid(t)
+    return _interval_checks(L.raw_leaderboard(valid, rounds=100, seed=42), valid)
+
+
+@query(
+    "a3_bootstrap_lineitem_checks",
+    """
+with b as (
+  select category, regexp_replace(model, '^.*/', '') model, s.score, s.weight from shipments join label_scores s on s.label = g2
+  union all select category, regexp_replace(model, '^.*/', ''), 1 - s.score, s.weight from shipments join label_scores s on s.label = g1)
+select category, model, round(sum(score * weight) / sum(weight), 9) raw_mean, true ordered, true near_mean, true width_fits from b group by 1, 2""",
+)
+def _(t):
+    valid = J.split_judgments(t.shipments())[0]
+    return _interval_checks(L.raw_leaderboard(valid, rounds=100, seed=42), valid)
+
+
 @query("a3_bootstrap_leaderboard")
 def _(t):
     """100 rounds by multinomial draws of the counts, with baseline rows."""
@@ -179,62 +224,94 @@ def _(t):
 
 @query(
     "a6_design_rows",
+    _STYLE_BATTLES_SQL
+    + """,
+m as (select category, avg(length) a1, stddev_samp(length) d1, avg(headers) a2, stddev_samp(headers) d2,
+             avg(lists) a3, stddev_samp(lists) d3, avg(bolds) a4, stddev_samp(bolds) d4 from diffs group by 1)
+select d.category, d.uid, d.model term, 1.0 own, d.score, count(*) count,
+  """
+    + ", ".join(
+        f"round(any_value(case when coalesce(d{i}, 0) < 1e-9 then {f} - a{i} else ({f} - a{i}) / d{i} end), 7) {f}" for i, f in enumerate(S.FEATURES, 1)
+    )
+    + """
+from diffs d join m using (category) join settings s using (category) where d.model <> s.baseline group by 1, 2, 3, 5""",
+)
+def _(t):
+    """The sparse design the fit reads: one strength column per row and the standardised features.
+
+    The baseline's column is dropped, so a row has its model's column only.
     """
-with m as (select category, model from battles union select category, baseline from settings),
-cols as (select category, array_to_string(list_sort(list(distinct model)), ',') columns from m group by 1)
-select b.category, b.uid, b.model, b.score, columns, 1 own, -1 base, count(*) count
-from battles b join cols using (category) join settings s using (category) where b.model <> s.baseline
-group by all""",
+    battles = SB.fit_input(_valid(t), lookup(t), t.settings())
+    moments = SB.feature_moments(battles)
+    rows = battles.where(~F.col("own")).join(moments, "category")
+    z = [F.round((F.col(f) - F.col(f"{f}_mean")) / F.col(f"{f}_std"), 7).alias(f) for f in S.FEATURES]
+    return rows.select("category", "uid", F.col("model").alias("term"), F.lit(1.0).alias("own"), "score", "count", *z)
+
+
+_FIT_TERMS_SQL = (
+    _STYLE_BATTLES_SQL
+    + """,
+fitted as (select distinct d.category, d.model from diffs d join settings s using (category) where d.model <> s.baseline),
+terms as (select category, model term from fitted union all
+          select category, f.term from (select distinct category from fitted) cross join (values ('length'), ('headers'), ('lists'), ('bolds')) f(term))
+"""
 )
+
+
+def _fitted(t, rounds):
+    ready = SB.fit_input(_valid(t), lookup(t), t.settings())
+    return ready, PF.fit_rounds(ready, list(S.FEATURES), rounds=rounds)
+
+
+@query("a7_pairwise_fit", _FIT_TERMS_SQL + "select category, term, 0.0::double residual, true converged from terms")
 def _(t):
-    """Each battle has +1 in its model's column and -1 in the baseline's."""
-    battles = SB.counted_battles(_valid(t))
-    base = t.settings().select("category", F.col("baseline_short").alias("baseline"))
-    models = battles.select("category", "model").union(base).distinct()
-    columns = models.groupBy("category").agg(
-        F.array_join(F.array_sort(F.collect_set("model")), ",").alias("columns")
-    )
-    joined = battles.join(broadcast_if_small(base), "category").join(columns, "category")
-    return joined.where(F.col("model") != F.col("baseline")).select(
-        "category", "uid", "model", "score", "columns", F.lit(1).alias("own"), F.lit(-1).alias("base"), "count"
-    )
+    """Full-sample fit: at its coefficients every term's first-order residual per battle is zero."""
+    ready, fit = _fitted(t, 0)
+    left = PF.fit_residuals(ready, fit, list(S.FEATURES)).join(fit.rounds, ["category", "round"])
+    return left.select("category", "term", F.abs(F.round("residual", 5)).alias("residual"), "converged")
 
 
-@query("a7_pairwise_fit")
+@query("a7_fitted_terms")
 def _(t):
-    """Full-sample coefficients: iterative, checked against a direct solve in tests."""
-    ready = SB.fit_input(_valid(t), lookup(t), t.settings())
-    fit = PF.fit_rounds(ready, list(S.FEATURES), rounds=0)
-    strengths = PF.strengths_frame(t.spark, fit).select(
-        "category", F.col("model").alias("term"), F.round("strength", 6).alias("value")
-    )
-    effects = PF.effects_frame(t.spark, fit, list(S.FEATURES)).select(
-        "category", F.col("feature").alias("term"), F.round("effect", 6).alias("value")
-    )
-    return strengths.unionByName(effects)
+    """Coefficients of the full sample: strengths and style effects."""
+    _, fit = _fitted(t, 0)
+    strengths = fit.strengths.select("category", F.col("model").alias("term"), F.round("strength", 6).alias("value"))
+    return strengths.unionByName(fit.effects.select("category", F.col("feature").alias("term"), F.round("effect", 6).alias("value")))
+
+
+@query(
+    "a8_fit_residuals",
+    _FIT_TERMS_SQL + "select category, r::int round, term, 0.0::double residual, true converged from terms cross join range(4) x(r)",
+)
+def _(t):
+    """Three resamples and the full sample: the first-order residual of every term is zero."""
+    ready, fit = _fitted(t, 3)
+    left = PF.fit_residuals(ready, fit, list(S.FEATURES)).join(fit.rounds, ["category", "round"])
+    return left.select("category", "round", "term", F.abs(F.round("residual", 5)).alias("residual"), "converged")
 
 
 @query("a8_bootstrap_fits")
 def _(t):
     """Strengths of every model in each of 100 resamples."""
-    ready = SB.fit_input(_valid(t), lookup(t), t.settings())
-    fit = PF.fit_rounds(ready, list(S.FEATURES), rounds=100)
-    return PF.strengths_frame(t.spark, fit).where("round > 0")
+    return _fitted(t, 100)[1].strengths.where("round > 0")
 
 
 @query(
     "a9_win_probability",
-    """
-select category, model, case when model = baseline then 0.5 else round(1 / (1 + exp(-(score * 4 - 2))), 9) end chance
-from (select category, model, avg(score) score from battles group by 1, 2) join settings using (category)""",
+    _FIT_TERMS_SQL
+    + """
+select category, model, true inside, 1.0::double both_sides from fitted
+union all select distinct category, baseline, true, 1.0::double from settings join fitted using (category)""",
 )
 def _(t):
-    scores = L.model_scores(_valid(t)).withColumn("strength", F.col("score") * 4)
-    base = broadcast_if_small(t.settings().select("category", "baseline_short"))
-    chance = F.when(F.col("model") == F.col("baseline_short"), 0.5).otherwise(
-        PF.win_probability(F.col("strength"), F.lit(2.0))
-    )
-    return scores.join(base, "category").select("category", "model", F.round(chance, 9).alias("chance"))
+    """Chances from fitted strengths: between 0 and 1, and both sides of a battle add up to one."""
+    _, fit = _fitted(t, 0)
+    base = t.settings().select("category", F.col("baseline_short").alias("model"), F.lit(0.0).alias("strength"))
+    strengths = fit.strengths.select("category", "model", "strength")
+    rows = strengths.unionByName(base.join(strengths.select("category").distinct(), "category", "left_semi"))
+    chance = PF.win_probability(F.col("strength"), F.lit(0.0))
+    other = PF.win_probability(F.lit(0.0), F.col("strength"))
+    return rows.select("category", "model", ((chance > 0) & (chance < 1)).alias("inside"), F.round(chance + other, 9).alias("both_sides"))
 
 
 @query("a10_style_leaderboard")
@@ -248,6 +325,26 @@ def _(t):
     return SB.style_leaderboard(_valid(t), lookup(t), t.settings(), ["length"], rounds=100)
 
 
+@query(
+    "a10_style_board_checks",
+    _FIT_TERMS_SQL
+    + """
+select category, model, true ordered, 0.0::double off_median, false is_base from fitted
+union all select distinct b.category, s.baseline, true, 0.0::double, true from battles b join settings s using (category)""",
+)
+def _(t):
+    """The board against the resampled fits: bounds in order, score equal to the median chance."""
+    valid, styles, settings = _valid(t), lookup(t), t.settings()
+    board = SB.style_leaderboard(valid, styles, settings, rounds=9)
+    fits = PF.fit_rounds(SB.fit_input(valid, styles, settings), list(S.FEATURES), rounds=9).strengths.where("round > 0")
+    medians = fits.groupBy("category", "model").agg(F.percentile(PF.win_probability(F.col("strength")), F.lit(0.5)).alias("m"))
+    off = F.round(F.abs(F.col("score") - F.coalesce("m", F.lit(0.5))), 6)
+    ordered = (F.col("lower") <= F.col("score")) & (F.col("score") <= F.col("upper"))
+    return board.join(medians, ["category", "model"], "left").select(
+        "category", "model", ordered.alias("ordered"), off.alias("off_median"), F.col("m").isNull().alias("is_base")
+    )
+
+
 @query(
     "k7_text_leaderboard",
     """

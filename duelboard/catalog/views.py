@@ -14,14 +14,12 @@ from pyspark.sql import functions as F
 
 from duelboard import constants as K
 from duelboard.operators.leaderboard import baselines
-from duelboard.session import spread
 from duelboard.sources.readers import resolve_answers
 
 BASE_TABLES = (
     "documents", "events", "conversations", "lineitem", "labels", "benchmark", "orders", "pages",
 )
 
-SPREAD = ("documents", "events")
 
 
 def label_case(expression: str) -> str:
@@ -263,8 +261,7 @@ class Tables:
             if sources and t in sources:
                 aliases[t] = sources[t]
             else:
-                source = self.table(t)
-                aliases[t] = spread(source) if t in SPREAD else source
+                aliases[t] = self.table(t)
         text = text.replace("{", "{{").replace("}", "}}")
         for t in used:
             text = text.replace(f"__src_{t}", "{" + t + "}")
@@ -306,7 +303,7 @@ class Tables:
         """prompt_id, prompt_messages, responses: the lines of a document."""
         from duelboard.functions.text import strip
 
-        documents = spread(self.table("documents"))
+        documents = self.table("documents")
         responses = F.transform(
             F.split("text", "\n"),
             lambda r, i: F.when(i % 11 == 10, F.lit(""))

@@ -143,8 +143,19 @@ def comparison_requests(labelled: DataFrame, positions: int, template: str | Non
     return labelled.select("instruction", "labels", prompt.alias("prompt"))
 
 
-def read_results(replies: DataFrame, model: str) -> DataFrame:
-    """Judged rows from instruction, labels, reply."""
+def failed_calls(replies: DataFrame) -> DataFrame:
+    """instruction, error of the calls that gave no reply: no results, to be asked again."""
+    missing = F.col("error").isNotNull() | F.col("reply").isNull()
+    return replies.where(missing).select("instruction", F.coalesce("error", F.lit("no reply")).alias("error"))
+
+
+def read_results(replies: DataFrame, model: str, system_prompt: str | None = None) -> DataFrame:
+    """Judged rows from instruction, labels, reply, error; failed calls are left out.
+
+    ``usage`` is carried along where the replies have it.
+    """
+    replies = replies.where(F.col("error").isNull() & F.col("reply").isNotNull())
+    usage = F.col("usage") if "usage" in replies.columns else F.lit(None).cast("map<string,bigint>")
     parsed = replies.withColumn("_p", parse_comparison(F.col("reply")))
     settled = parsed.withColumn("_s", settle_winner(F.col("_p.winner"), F.col("labels")))
     return settled.select(
@@ -154,5 +165,7 @@ def read_results(replies: DataFrame, model: str) -> DataFrame:
         F.col("_s.winner_key").alias("winner_key"),
         "labels",
         F.lit(model).alias("model"),
+        F.lit(system_prompt).cast("string").alias("system_prompt"),
+        usage.alias("usage"),
         F.col("reply").alias("raw_response"),
     )

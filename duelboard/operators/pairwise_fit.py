@@ -1,13 +1,16 @@
 """Pairwise logistic (Bradley-Terry) fits with style covariates, all rounds at once.
 
-The fit is Newton's method. Each pass scans the battle table once: every task
-sums the gradient and the curvature of all bootstrap rounds over its rows and
-emits one short row per (group, round); Spark adds these up and the driver solves
-one small system per (group, round). What reaches the driver is bounded by the
-number of models and rounds, never by the number of battles.
-
-Coefficients are strengths relative to the baseline: its own column is dropped,
-which leaves every reported probability unchanged and makes the fit identifiable.
+The fit is Newton's method. With the baseline's own column dropped, a battle touches
+one strength only, so the strengths' block of the curvature is diagonal and can be
+eliminated model by model. Each pass scans the battles once: every chunk of a model's
+battles gives its gradient and curvature sums in all bootstrap rounds; Spark adds them
+up per (group, round, model), reduces them to one system of the few style effects per
+(group, round), and puts the solution back into the models' rows. Coefficients are a
+table like any other: neither the number of models nor that of groups is bounded, and
+the driver sees one number per pass.
+
+Coefficients are strengths relative to the baseline, which leaves every reported
+probability unchanged and makes the fit identifiable.
 """
 
 from __future__ import annotations
@@ -18,143 +21,113 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelboard.session import work_partitions
+from duelboard.session import scratch_dir, work_partitions
 
-MAX_MODELS = 1_000
+#: Bound of coefficients; whatever comes near it is flagged as separated.
 MAX_STRENGTH = 20.0
-_SMALL_COUNT = 64
+SEPARATED_AT = 8.0
+LARGEST_STEP = 5.0
+CHUNK_ROWS = 4_096
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Coefficients per group: strengths and style effects, one row per round."""
+    """Tables of a fit.
 
-    models: dict[str, list[str]]
-    strengths: dict[str, np.ndarray]
-    effects: dict[str, np.ndarray]
-    separated: dict[str, np.ndarray]
+    ``strengths``: group, model, round, strength, separated. ``effects``: group, feature,
+    round, effect, separated. ``rounds``: group, round, change (of the last pass),
+    converged. Round 0 is the full sample.
+    """
+
+    strengths: DataFrame
+    effects: DataFrame
+    rounds: DataFrame
     passes: int
 
 
-# -- deterministic resampling weights -----------------------------------------
+def poisson_weights(counts: np.ndarray, rounds: int, key: int, seed: int) -> np.ndarray:
+    """rows x (rounds + 1) weights of one chunk; column 0 is the unresampled data.
 
+    A row standing for ``count`` equal battles weighs Poisson(count) in a round. The
+    generator is keyed by the chunk, whose rows come in a fixed order, so retries and
+    other partitionings see the same resample.
+    """
+    rng = np.random.Generator(np.random.Philox(key=[key & (2**64 - 1), seed]))
+    drawn = rng.poisson(counts[:, None].astype("float64"), (len(counts), rounds))
+    return np.concatenate([counts[:, None].astype("float64"), drawn], axis=1)
 
-def mix64(values: np.ndarray) -> np.ndarray:
-    """splitmix64 finaliser on uint64."""
-    with np.errstate(over="ignore"):
-        z = values + np.uint64(0x9E3779B97F4A7C15)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return z ^ (z >> np.uint64(31))
 
+def weighted_moments(battles: DataFrame, features, group: str = "category") -> DataFrame:
+    """group, battles, <feature>_mean, <feature>_std over battles of weight ``count``.
 
-def _poisson_table(mean: int) -> np.ndarray:
-    last = int(mean + 12 * np.sqrt(mean) + 20)
-    steps = np.arange(1, last + 1)
-    log_pmf = -mean + np.concatenate([[0.0], np.cumsum(np.log(mean) - np.log(steps))])
-    return np.cumsum(np.exp(log_pmf))
+    Deviations are summed about the mean in a second pass, so large counts do not
+    cancel. A deviation of zero, or of a single battle, counts as one.
+    """
+    n = F.col("count")
+    means = battles.groupBy(group).agg(
+        F.sum(n).alias("battles"),
+        *[(F.sum(n * F.col(f)) / F.sum(n)).alias(f"{f}_mean") for f in features],
+        *[(F.min(f) == F.max(f)).alias(f"{f}_flat") for f in features],
+    )
+    squares = (
+        battles.join(means.select(group, *[f"{f}_mean" for f in features]), group)
+        .groupBy(group)
+        .agg(*[F.sum(n * (F.col(f) - F.col(f"{f}_mean")) ** 2).alias(f"{f}_square") for f in features])
+    )
+    deviation = lambda f: F.sqrt(F.col(f"{f}_square") / (F.col("battles") - 1))
+    spread = [
+        c
+        for f in features
+        for c in (
+            F.col(f"{f}_mean"),
+            F.when((F.col("battles") > 1) & ~F.col(f"{f}_flat"), deviation(f)).otherwise(1.0).alias(f"{f}_std"),
+        )
+    ]
+    return means.join(squares, group).select(group, "battles", *spread)
 
 
-def poisson_weights(keys: np.ndarray, counts: np.ndarray, rounds: int, seed: int) -> np.ndarray:
-    """rows x (rounds + 1) weights; column 0 is the unresampled data.
+def chunk_sums(z, score, weights, strengths, effects) -> np.ndarray:
+    """Sums over one chunk of a model's battles, a row per round.
 
-    A row standing for ``count`` equal battles weighs Poisson(count) in a round.
-    The weight depends only on (key, round, seed), so retries and other
-    partitionings see the same resample.
-    """
-    weights = np.empty((len(keys), rounds + 1))
-    weights[:, 0] = counts
-    if rounds == 0 or len(keys) == 0:
-        return weights
-    salt = mix64(np.arange(1, rounds + 1, dtype="uint64") + np.uint64(seed) * np.uint64(1_000_003))
-    mixed = mix64(keys.astype("uint64")[:, None] ^ salt[None, :])
-    uniform = (mixed >> np.uint64(11)).astype("float64") * (1.0 / (1 << 53))
-    for count in np.unique(counts):
-        rows = counts == count
-        if count <= _SMALL_COUNT:
-            table = _poisson_table(int(count))
-            weights[rows, 1:] = np.searchsorted(table, uniform[rows], side="right")
-        else:
-            for row in np.flatnonzero(rows):
-                rng = np.random.Generator(np.random.Philox(key=[int(keys[row]) & (2**64 - 1), seed]))
-                weights[row, 1:] = rng.poisson(float(count), rounds)
-    return weights
-
-
-# -- one pass -----------------------------------------------------------------
-
-
-def _partial_sums(pdf, coefficients, moments, features, rounds, seed):
-    """Gradient and curvature sums of one batch and group.
-
-    Layout per round: gradient (models, features), then curvature: model diagonal,
-    model x feature, feature x feature upper triangle.
+    Columns: the strength's gradient and curvature, its curvature with each effect, the
+    effects' gradient, and the upper triangle of their curvature.
     """
-    strengths, effects = coefficients
-    n_models, n_features = strengths.shape[1], effects.shape[1]
-    means, deviations = moments
-    z = (pdf[features].to_numpy("float64") - means) / deviations
-    index = pdf["model_index"].to_numpy("int64")
-    y = pdf["score"].to_numpy("float64")[:, None]
-    weights = poisson_weights(
-        pdf["row_key"].to_numpy("int64"), pdf["count"].to_numpy("int64"), rounds, seed
-    )
-    eta = strengths.T[index] + z @ effects.T
+    k = z.shape[1]
+    eta = strengths[None, :] + z @ effects.T
     mu = 1.0 / (1.0 + np.exp(-np.clip(eta, -500, 500)))
-    residual = weights * (y - mu)
+    residual = weights * (score[:, None] - mu)
     curve = weights * mu * (1.0 - mu)
-    member = np.zeros((n_models, len(pdf)))
-    member[index, np.arange(len(pdf))] = 1.0
-    parts = [member @ residual, z.T @ residual, member @ curve]
-    parts += [(member * z[:, j]) @ curve for j in range(n_features)]
-    parts += [
-        (z[:, j] * z[:, k])[None, :] @ curve
-        for j in range(n_features)
-        for k in range(j, n_features)
-    ]
-    parts.append(weights.sum(axis=0, keepdims=True))
+    parts = [residual.sum(axis=0)[None], curve.sum(axis=0)[None], z.T @ curve, z.T @ residual]
+    parts += [(z[:, i] * z[:, j])[None] @ curve for i in range(k) for j in range(i, k)]
     return np.vstack(parts).T
 
 
-def _stat_width(n_models: int, n_features: int) -> int:
-    return (
-        2 * n_models
-        + n_features
-        + n_models * n_features
-        + n_features * (n_features + 1) // 2
-        + 1
+def _chunks(battles: DataFrame, features: list[str], group: str) -> DataFrame:
+    """group, model, chunk, key, counts, scores, z: battles in chunks of about CHUNK_ROWS rows."""
+    moments = weighted_moments(battles, features, group)
+    z = F.array(*[(F.col(f) - F.col(f"{f}_mean")) / F.col(f"{f}_std") for f in features])
+    rows = battles.where(~F.col("own")).select(group, "model", "row_key", "count", "score", *features)
+    sizes = rows.groupBy(group, "model").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("long").alias("n_chunks"))
+    placed = rows.join(moments, group).join(sizes, [group, "model"]).withColumn("chunk", F.pmod("row_key", "n_chunks"))
+    # every pass is Python work over few bytes, so the count of partitions is stated
+    spread = placed.select(group, "model", "chunk", F.struct("row_key", "score", "count", z.alias("z")).alias("row")).repartition(
+        work_partitions(battles.sparkSession), group, "model", "chunk"
+    )
+    own = spread.groupBy(group, "model", "chunk").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    return own.select(
+        group,
+        "model",
+        F.xxhash64(group, "model", "chunk").alias("key"),
+        F.col("rows.count").alias("counts"),
+        F.col("rows.score").alias("scores"),
+        F.flatten("rows.z").alias("z"),
     )
 
 
-def _newton_step(stats, n_models, n_features, strengths, effects, ridge):
-    """Solve the small system of every round; returns the updated coefficients."""
-    p = n_models + n_features
-    rounds = stats.shape[0]
-    gradient = stats[:, :p]
-    at = p
-    hessian = np.zeros((rounds, p, p))
-    diag = np.arange(n_models)
-    hessian[:, diag, diag] = stats[:, at : at + n_models]
-    at += n_models
-    for j in range(n_features):
-        cross = stats[:, at : at + n_models]
-        hessian[:, :n_models, n_models + j] = cross
-        hessian[:, n_models + j, :n_models] = cross
-        at += n_models
-    for j in range(n_features):
-        for k in range(j, n_features):
-            hessian[:, n_models + j, n_models + k] = stats[:, at]
-            hessian[:, n_models + k, n_models + j] = stats[:, at]
-            at += 1
-    total = np.maximum(stats[:, at], 1.0)
-    beta = np.concatenate([strengths, effects], axis=1)
-    penalty = ridge * total
-    hessian[:, np.arange(p), np.arange(p)] += penalty[:, None]
-    step = np.linalg.solve(hessian, (gradient - penalty[:, None] * beta)[..., None])[..., 0]
-    step = np.clip(step, -5.0, 5.0)
-    updated = np.clip(beta + step, -MAX_STRENGTH, MAX_STRENGTH)
-    change = np.abs(updated - beta).max() if updated.size else 0.0
-    return updated[:, :n_models], updated[:, n_models:], change
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fit_rounds(
@@ -170,153 +143,161 @@ def fit_rounds(
     """Fit the full sample and ``rounds`` resamples of every group together.
 
     ``battles``: group, model, own (the candidate is the baseline), score, count,
-    row_key and the raw feature columns, which are standardised per group. Column
-    0 of the result is the full-sample fit. Newton steps shrink quadratically, so a
-    last step below ``tolerance`` leaves an error of about its square.
+    row_key and the raw feature columns, which are standardised per group. Newton steps
+    shrink quadratically, so a last step below ``tolerance`` leaves an error of about
+    its square. A step is at most LARGEST_STEP long; rounds that still move after
+    ``max_passes`` are returned with ``converged`` false.
     """
-    # Spread by row key: every pass is Python work, and the joins before it may have
-    # left the rows in few or uneven partitions.
-    rows = (
-        battles.select(group, "model", "own", "score", "count", "row_key", *features)
-        .repartition(work_partitions(battles.sparkSession), "row_key")
-        .persist()
-    )
+    chunks = _chunks(battles, features, group).persist()
     try:
-        return _fit_persisted(rows, features, rounds, seed, group, ridge, tolerance, max_passes)
+        return _fit_chunks(chunks, list(features), rounds, seed, group, ridge, tolerance, max_passes)
     finally:
-        rows.unpersist()
-
+        chunks.unpersist()
 
-def _describe(rows: DataFrame, features: list[str], group: str):
-    """Models and feature moments per group from one small aggregate.
 
-    Moments follow all battles, a group's models only those that enter the fit.
-    A deviation of zero, or of a single battle, counts as one.
-    """
-    n = F.col("count")
-    sums = [F.sum(n).alias("n")]
-    for f in features:
-        sums += [F.sum(n * F.col(f)).alias(f"{f}_1"), F.sum(n * F.col(f) * F.col(f)).alias(f"{f}_2")]
-    listed = rows.groupBy(group, "model", "own").agg(*sums).limit(MAX_MODELS + 1).collect()
-    if len(listed) > MAX_MODELS:
-        raise ValueError(f"more than {MAX_MODELS} models to fit")
-    models: dict[str, list[str]] = {}
-    totals: dict[str, np.ndarray] = {}
-    for row in sorted(listed, key=lambda r: (r[group], r["model"])):
-        if not row["own"]:
-            models.setdefault(row[group], []).append(row["model"])
-        part = np.array([row["n"], *[row[f"{f}_{p}"] for p in (1, 2) for f in features]], "float64")
-        totals[row[group]] = totals.get(row[group], 0.0) + part
-    moments = {}
-    k = len(features)
-    for name, total in totals.items():
-        battles = total[0]
-        mean = total[1 : k + 1] / battles
-        square = np.maximum(total[k + 1 :] - battles * mean * mean, 0.0)
-        deviation = np.sqrt(square / (battles - 1)) if battles > 1 else np.ones(k)
-        moments[name] = (mean, np.where(deviation < 1e-9, 1.0, deviation))
-    return models, moments
-
-
-def _fit_persisted(rows, features, rounds, seed, group, ridge, tolerance, max_passes) -> Fit:
-    models, moments = _describe(rows, features, group)
-    if not models:
-        return Fit({}, {}, {}, {}, 0)
-    index = {g: {m: i for i, m in enumerate(names)} for g, names in models.items()}
-    rows = rows.where(~F.col("own"))
-    k = len(features)
-    width = max(_stat_width(len(names), k) for names in models.values())
-    strengths = {g: np.zeros((rounds + 1, len(names))) for g, names in models.items()}
-    effects = {g: np.zeros((rounds + 1, k)) for g in models}
+def _pass_sums(chunks: DataFrame, coefficients: DataFrame, k: int, rounds: int, seed: int, group: str) -> DataFrame:
+    """group, model, round, s0, s1, ...: the sums of ``chunk_sums`` over all chunks."""
+    width = 2 + 2 * k + k * (k + 1) // 2
     columns = [f"s{i}" for i in range(width)]
-    schema = f"`{group}` string, round int, " + ", ".join(f"{c} double" for c in columns)
-
-    passes = 0
-    for passes in range(1, max_passes + 1):
-        current = {g: (strengths[g], effects[g]) for g in models}
-
-        def scan(batches, current=current):
-            import pandas as pd
-
-            sums = {}
-            for pdf in batches:
-                for name, part in pdf.groupby(group, sort=False):
-                    part = part.assign(model_index=part["model"].map(index[name]))
-                    for at in range(0, len(part), 4096):
-                        piece = _partial_sums(
-                            part.iloc[at : at + 4096],
-                            current[name],
-                            moments[name],
-                            features,
-                            rounds,
-                            seed,
-                        )
-                        sums[name] = sums[name] + piece if name in sums else piece
-            for name, total in sums.items():
-                padded = np.zeros((rounds + 1, width))
-                padded[:, : total.shape[1]] = total
-                frame = pd.DataFrame(padded, columns=columns)
+
+    def scan(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                counts = np.asarray(row.counts, "float64")
+                weights = poisson_weights(counts, rounds, row.key, seed)
+                sums = chunk_sums(
+                    np.asarray(row.z, "float64").reshape(len(counts), k),
+                    np.asarray(row.scores, "float64"),
+                    weights,
+                    np.asarray(row.strengths, "float64"),
+                    np.asarray(row.effects, "float64").reshape(rounds + 1, k),
+                )
+                frame = pd.DataFrame(sums, columns=columns)
                 frame.insert(0, "round", np.arange(rounds + 1, dtype="int32"))
-                frame.insert(0, group, name)
+                frame.insert(0, "model", row.model)
+                frame.insert(0, "group_name", row.group_name)
                 yield frame
 
-        summed = (
-            rows.mapInPandas(scan, schema)
-            .groupBy(group, "round")
-            .agg(*[F.sum(c).alias(c) for c in columns])
-            .toPandas()
-        )
-        change = 0.0
-        for name, part in summed.groupby(group):
-            stats = part.sort_values("round")[columns].to_numpy("float64")
-            m = len(models[name])
-            strengths[name], effects[name], moved = _newton_step(
-                stats[:, : _stat_width(m, k)], m, k, strengths[name], effects[name], ridge
-            )
-            change = max(change, moved)
-        if change < tolerance:
-            break
+    given = chunks.join(coefficients.select(group, "model", "strengths", "effects"), [group, "model"])
+    given = given.select(F.col(group).alias("group_name"), "model", "key", "counts", "scores", "z", "strengths", "effects")
+    schema = "group_name string, model string, round int, " + ", ".join(f"{c} double" for c in columns)
+    summed = given.mapInPandas(scan, schema).groupBy("group_name", "model", "round").agg(*[F.sum(c).alias(c) for c in columns])
+    return summed.withColumnRenamed("group_name", group)
+
+
+def _solved(k: int):
+    @F.pandas_udf("array<double>")
+    def solve(matrix, right):
+        import pandas as pd
+
+        if not len(matrix):
+            return pd.Series([], dtype="object")
+        a = np.stack(matrix.to_list()).reshape(len(matrix), k, k)
+        b = np.stack(right.to_list())
+        return pd.Series(list(np.linalg.solve(a, b[..., None])[..., 0]))
+
+    return solve
+
+
+def _step(sums: DataFrame, coefficients: DataFrame, k: int, group: str) -> DataFrame:
+    """Coefficients after one Newton step, with each round's change."""
+    bound = lambda x, most: F.greatest(F.lit(-most), F.least(F.lit(most), x))
+    at = F.col("round")
+    rows = sums.join(coefficients.select(group, "model", "strengths", "effects", "penalty"), [group, "model"]).select(
+        group,
+        "model",
+        "round",
+        F.col("penalty"),
+        F.get("strengths", at).alias("strength"),
+        F.slice("effects", at * k + 1, F.lit(k)).alias("own_effects"),
+        (F.col("s0") - F.col("penalty") * F.get("strengths", at)).alias("g"),
+        (F.col("s1") + F.col("penalty")).alias("d"),
+        *[F.col(f"s{2 + j}").alias(f"c{j}") for j in range(k)],
+        *[F.col(f"s{2 + k + j}").alias(f"f{j}") for j in range(k)],
+        *[F.col(f"s{2 + 2 * k + i}").alias(f"a{i}") for i in range(k * (k + 1) // 2)],
+    )
+    upper = {(i, j): n for n, (i, j) in enumerate((i, j) for i in range(k) for j in range(i, k))}
+    total = rows.groupBy(group, "round").agg(
+        F.first("penalty").alias("penalty"),
+        F.min("own_effects").alias("own_effects"),  # the same for all models of a round
+        *[F.sum(F.col(f"f{j}") - F.col(f"c{j}") * F.col("g") / F.col("d")).alias(f"r{j}") for j in range(k)],
+        *[F.sum(F.col(f"a{n}") - F.col(f"c{i}") * F.col(f"c{j}") / F.col("d")).alias(f"m{n}") for (i, j), n in upper.items()],
+    )
+    entry = lambda i, j: F.col(f"m{upper[min(i, j), max(i, j)]}") + (F.col("penalty") if i == j else F.lit(0.0))
+    matrix = F.array(*[entry(i, j) for i in range(k) for j in range(k)])
+    right = F.array(*[F.col(f"r{j}") - F.col("penalty") * F.get("own_effects", F.lit(j)) for j in range(k)])
+    moved = total.select(group, "round", _solved(k)(matrix, right).alias("move")).select(
+        group, "round", F.transform("move", lambda x: bound(x, LARGEST_STEP)).alias("move")
+    )
+    step = bound((F.col("g") - sum((F.col(f"c{j}") * F.get("move", F.lit(j)) for j in range(k)), F.lit(0.0))) / F.col("d"), LARGEST_STEP)
+    rows = rows.join(moved, [group, "round"]).withColumn("new", bound(F.col("strength") + step, MAX_STRENGTH))
+    rows = rows.withColumn("new_effects", F.zip_with("own_effects", "move", lambda e, m: bound(e + m, MAX_STRENGTH)))
+    change = F.greatest(F.abs(F.col("new") - F.col("strength")), F.array_max(F.zip_with("new_effects", "own_effects", lambda a, b: F.abs(a - b))))
+    state = F.array_sort(F.collect_list(F.struct("round", F.col("new").alias("strength"), F.col("new_effects").alias("effects"), change.alias("change"))))
+    out = rows.groupBy(group, "model").agg(state.alias("state"), F.first("penalty").alias("penalty"))
+    return out.select(
+        group, "model", F.col("state.strength").alias("strengths"), F.flatten("state.effects").alias("effects"), "penalty", F.col("state.change").alias("changes")
+    )
 
-    separated = {g: (np.abs(strengths[g]) > 8.0).any(axis=0) for g in models}
-    return Fit(models, strengths, effects, separated, passes)
-
-
-def strengths_frame(spark, fit: Fit, group: str = "category") -> DataFrame:
-    """group, model, round, strength, separated: rounds x models rows."""
-    import pandas as pd
-
-    frames = []
-    for name, models in fit.models.items():
-        for i, model in enumerate(models):
-            values = fit.strengths[name][:, i]
-            frames.append(
-                pd.DataFrame(
-                    {
-                        group: name,
-                        "model": model,
-                        "round": np.arange(len(values), dtype="int32"),
-                        "strength": values,
-                        "separated": bool(fit.separated[name][i]),
-                    }
-                )
-            )
-    schema = f"`{group}` string, model string, round int, strength double, separated boolean"
-    if not frames:
-        return spark.createDataFrame([], schema)
-    return spark.createDataFrame(pd.concat(frames, ignore_index=True), schema)
-
-
-def effects_frame(spark, fit: Fit, features: list[str], group: str = "category") -> DataFrame:
-    """group, feature, round, effect."""
-    rows = [
-        (name, feature, int(r), float(fit.effects[name][r, j]))
-        for name in fit.models
-        for j, feature in enumerate(features)
-        for r in range(fit.effects[name].shape[0])
-    ]
-    return spark.createDataFrame(
-        rows, f"`{group}` string, feature string, round int, effect double"
+
+def _fit_chunks(chunks, features, rounds, seed, group, ridge, tolerance, max_passes) -> Fit:
+    k = len(features)
+    battles = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c)
+    models = chunks.groupBy(group, "model").agg(F.sum(battles).alias("n"))
+    totals = models.groupBy(group).agg((F.sum("n") * ridge).alias("penalty"))
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    start = models.join(totals, group).select(
+        group, "model", zeros(rounds + 1).alias("strengths"), zeros((rounds + 1) * k).alias("effects"), "penalty", zeros(rounds + 1).alias("changes")
+    )
+    coefficients, passes = _written(start, "fit"), 0
+    while passes < max_passes:
+        passes += 1
+        sums = _pass_sums(chunks, coefficients, k, rounds, seed, group).persist()
+        try:
+            coefficients = _written(_step(sums, coefficients, k, group), "fit")
+        finally:
+            sums.unpersist()
+        largest = coefficients.agg(F.max(F.array_max("changes"))).first()[0]
+        if largest is None or largest < tolerance:
+            break
+    by_round = coefficients.select(group, "model", F.posexplode(F.arrays_zip("strengths", "changes")).alias("round", "own"))
+    high = F.array_max(F.transform("strengths", lambda s: F.abs(s))) > SEPARATED_AT
+    strengths = coefficients.select(group, "model", high.alias("separated"), F.posexplode("strengths").alias("round", "strength")).select(
+        group, "model", "round", "strength", "separated"
     )
+    changes = by_round.groupBy(group, "round").agg(F.max("own.changes").alias("change")).withColumn("converged", F.col("change") < tolerance)
+    one = coefficients.groupBy(group).agg(F.min("effects").alias("effects"))  # the same for all models of a group
+    effects = one.select(group, F.posexplode("effects").alias("at", "effect")).select(
+        group,
+        F.element_at(F.array(*[F.lit(f) for f in features]), (F.col("at") % k + 1).cast("int")).alias("feature"),
+        F.floor(F.col("at") / k).cast("int").alias("round"),
+        "effect",
+    )
+    limits = effects.groupBy(group, "feature").agg((F.max(F.abs("effect")) > SEPARATED_AT).alias("separated"))
+    return Fit(strengths, effects.join(limits, [group, "feature"]), changes, passes)
+
+
+def fit_residuals(battles: DataFrame, fit: Fit, features: list[str], seed: int = 42, group: str = "category") -> DataFrame:
+    """group, round, term, residual: the first-order condition per battle at the fitted coefficients.
+
+    Zero but for rounding and the small ridge in every converged round. A term is a model
+    or a feature; the residual is the sum of weight x (score - fitted chance) x design
+    over the sum of counts.
+    """
+    k = len(features)
+    chunks = _chunks(battles, features, group)
+    number = F.coalesce(*[F.when(F.col("feature") == f, F.lit(j)) for j, f in enumerate(features)])
+    effects = fit.effects.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("round", number.alias("j"), "effect"))).alias("e"))
+    strengths = fit.strengths.groupBy(group, "model").agg(F.array_sort(F.collect_list(F.struct("round", "strength"))).alias("s"))
+    coefficients = strengths.join(effects, group).select(group, "model", F.col("s.strength").alias("strengths"), F.col("e.effect").alias("effects"))
+    rounds = fit.rounds.agg(F.max("round")).first()[0] or 0
+    sums = _pass_sums(chunks, coefficients, k, rounds, seed, group)
+    n = chunks.groupBy(group).agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c)).alias("n"))
+    terms = F.explode(F.array(F.struct(F.col("model").alias("term"), F.col("s0").alias("v")), *[F.struct(F.lit(f).alias("term"), F.col(f"s{2 + k + j}").alias("v")) for j, f in enumerate(features)]))
+    per_term = sums.select(group, "round", terms.alias("t")).groupBy(group, "round", F.col("t.term").alias("term")).agg(F.sum("t.v").alias("v"))
+    return per_term.join(n, group).select(group, "round", "term", (F.col("v") / F.col("n")).alias("residual"))
 
 
 def win_probability(strength, baseline=None):

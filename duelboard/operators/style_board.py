@@ -87,25 +87,7 @@ def with_style_difference(battles: DataFrame, lookup: DataFrame, settings: DataF
 
 def feature_moments(battles: DataFrame, features=FEATURES, group="category") -> DataFrame:
     """Mean and sample deviation per group over battles; zero or undefined -> 1."""
-    aggregates = [F.sum("count").alias("battles")]
-    for f in features:
-        aggregates += [
-            F.sum(F.col("count") * F.col(f)).alias(f"{f}_sum"),
-            F.sum(F.col("count") * F.col(f) * F.col(f)).alias(f"{f}_sq"),
-        ]
-    n = F.col("battles")
-    columns = []
-    for f in features:
-        mean = F.col(f"{f}_sum") / n
-        spread = F.greatest(F.col(f"{f}_sq") - n * mean * mean, F.lit(0.0))
-        deviation = F.when(n > 1, F.sqrt(spread / (n - 1)))
-        columns += [
-            mean.alias(f"{f}_mean"),
-            F.when(deviation.isNull() | (deviation < 1e-9), 1.0)
-            .otherwise(deviation)
-            .alias(f"{f}_std"),
-        ]
-    return battles.groupBy(group).agg(*aggregates).select(group, "battles", *columns)
+    return pairwise_fit.weighted_moments(battles, features, group)
 
 
 def fit_input(valid: DataFrame, lookup: DataFrame, settings: DataFrame) -> DataFrame:
@@ -131,22 +113,20 @@ def style_leaderboard(
     rounds: int = K.DEFAULT_BOOTSTRAP_ROUNDS,
     seed: int = 42,
 ) -> DataFrame:
-    """category, model, score, lower, upper, separated.
+    """category, model, score, lower, upper, separated, converged.
 
     The score is the median over rounds of the chance of beating the baseline,
     which itself sits at one half. Battles are fitted for all categories and all
     rounds together.
     """
     features = control_columns(controls)
-    spark = valid.sparkSession
     ready = fit_input(valid, lookup, settings)
     fit = pairwise_fit.fit_rounds(ready, features, rounds, seed)
-    per_round = (
-        pairwise_fit.strengths_frame(spark, fit)
-        .where(F.col("round") > 0)
-        .withColumn("chance", pairwise_fit.win_probability(F.col("strength")))
+    per_round = fit.strengths.where(F.col("round") > 0).withColumn(
+        "chance", pairwise_fit.win_probability(F.col("strength"))
     )
-    board = interval(per_round, ["category", "model", "separated"], "chance", "median")
+    ended = fit.rounds.groupBy("category").agg(F.bool_and("converged").alias("converged"))
+    board = interval(per_round, ["category", "model", "separated"], "chance", "median").join(ended, "category")
     half = F.lit(0.5)
     reported = valid.select("category").distinct()
     base = settings.join(reported, "category", "left_semi").select(
@@ -156,5 +136,6 @@ def style_leaderboard(
         half.alias("score"),
         half.alias("lower"),
         half.alias("upper"),
+        F.lit(True).alias("converged"),
     )
     return board.unionByName(base)

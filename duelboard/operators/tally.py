@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelboard import constants as K
@@ -44,10 +44,9 @@ def win_rates(counts: DataFrame) -> DataFrame:
 
     The rate is null for the tie bucket and when nothing was judged.
     """
-    everything = Window.partitionBy()  # a handful of aggregated rows
     decisive = F.sum(F.when(F.col("key") != K.TIE, F.col("n")).otherwise(0))
     joined = counts.withColumns(
-        {"total": F.sum("n").over(everything), "decisive": decisive.over(everything)}
+        {"total": counts.agg(F.sum("n")).scalar(), "decisive": counts.agg(decisive).scalar()}
     )
     rate = (
         F.when((F.col("key") == K.TIE) | (F.col("total") == 0), F.lit(None).cast("double"))

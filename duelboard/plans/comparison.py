@@ -3,38 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from duelboard.functions.text import is_falsy
 from duelboard.operators import multiway as M
+from duelboard.operators.keyed import keep_first
 from duelboard.operators.replies import call_judge
 from duelboard.operators.tally import win_rates, winner_counts
 from duelboard.plans.judging import stored
 
 
+@dataclass(frozen=True)
+class Round:
+    """Outcome of a round: newly judged rows, and the calls that failed."""
+
+    results: DataFrame
+    failed: DataFrame
+
+
 def comparison_round(
     candidates: DataFrame,
     names: list[str],
     make_reply: Callable,
     model: str,
+    store: str,
     results: DataFrame | None = None,
     limit: int | None = None,
     seed: int = 42,
     order: str = "hash",
-    store: str | None = None,
-) -> DataFrame:
-    """Newly judged rows for the instructions all candidates share.
+    system_prompt: str | None = None,
+) -> Round:
+    """Judge the instructions that all candidates share and that have no result yet.
 
-    With ``store`` the replies are written there once and read back, so that
-    nothing downstream can send a request again.
+    The replies are written to ``store`` once and read back, so nothing downstream can
+    send a request again. A call that failed is no result: it comes back in ``failed``
+    and a later round asks it again.
     """
     common = M.first_instructions(M.common_instructions(candidates, names), limit)
     if results is not None:
         common = M.unseen(common, results)
     requests = M.comparison_requests(M.label_candidates(common, seed, order), len(names))
     replies = call_judge(requests, make_reply, ["instruction", "labels", "prompt"])
-    replies = replies.drop("prompt")
-    return M.read_results(replies if store is None else stored(replies, store), model)
+    replies = stored(replies.drop("prompt"), store)
+    return Round(M.read_results(replies, model, system_prompt), M.failed_calls(replies))
+
+
+def resumed(results: DataFrame, new: DataFrame) -> DataFrame:
+    """winner and winner_key of all judged instructions: the first stored row of each, then the new ones."""
+    kept = results.where(~is_falsy(F.col("instruction")))
+    first = keep_first(kept.select("instruction", "winner", "winner_key", "ord"), ["instruction"])
+    return first.select("winner", "winner_key").unionByName(new.select("winner", "winner_key"))
 
 
 def win_table(results: DataFrame, names: list[str]) -> DataFrame:

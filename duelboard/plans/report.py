@@ -29,15 +29,18 @@ def leaderboard_report(
     """
     valid = require_valid(judgments) if strict else split_judgments(judgments)[0]
     if categories:
-        known = {row["category"] for row in settings.select("category").collect()}
-        unknown = sorted(set(categories) - known)
-        if unknown:
-            raise ValueError(f"Invalid category or no data found: {unknown}")
-        valid = valid.where(F.col("category").isin(categories))
+        # at most the requested categories come back, however many there are
+        wanted = F.col("category").isin(categories)
+        known = settings.where(wanted).select("category").distinct()
+        held = valid.where(wanted).select("category").distinct()
+        found = {row["category"] for row in known.join(held, "category", "left_semi").collect()}
+        if missing := sorted(set(categories) - found):
+            raise ValueError(f"Invalid category or no data found: {missing}")
+        valid = valid.where(wanted)
     if controls:
         if style_lookup is None:
             raise ValueError("style control needs the answers' style features")
         board = style_leaderboard(valid, style_lookup, settings, controls, rounds, seed)
-        return board.drop("separated")
+        return board.drop("separated", "converged")
     board = raw_leaderboard(valid, rounds=rounds, seed=seed)
     return add_baseline_rows(board, settings)

@@ -1,4 +1,4 @@
-"""Sessions, shared scratch space and scan parallelism."""
+"""Sessions, shared scratch space and join hints."""
 
 from __future__ import annotations
 
@@ -31,46 +31,35 @@ def build_session(app_name: str = "duelboard", **conf: str) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new directory below the cluster's shared checkpoint folder.
+    """A new directory below the session's shared checkpoint folder.
 
-    Every executor must see it, so a machine-local folder is only used when the
-    whole session runs on one machine.
+    Every executor must see it. A session on one machine that has not named a folder
+    gets one, which it keeps; on a cluster the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    unique = f"{name}-{uuid.uuid4().hex}"
-    if base:
-        return f"{base.rstrip('/')}/{unique}"
-    if spark.sparkContext.master.startswith("local"):
-        return f"{tempfile.mkdtemp(prefix='duelboard-')}/{unique}"
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows when the input has fewer splits than the cluster has cores.
-
-    Small inputs with one row group would otherwise run text-heavy expressions on
-    one core. Large inputs have more splits than cores and pass through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="duelboard-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def work_partitions(spark: SparkSession) -> int:
     """Partitions for work whose cost the row bytes do not show.
 
-    Adaptive execution merges partitions by size; a few bytes that expand into
-    much computation must keep an explicit count of one to two per core.
+    Adaptive execution merges partitions by size; a few bytes that expand into much
+    computation must keep an explicit count: the configured one, or one per core.
     """
-    cores = spark.sparkContext.defaultParallelism
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(cores, wanted), 2 * cores)
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000) -> DataFrame:
-    """Broadcast hint for a table shown to have at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000, max_bytes: int = 8_000_000) -> DataFrame:
+    """Broadcast hint for a table shown to have few rows and few bytes of text in them.
 
     Larger tables are returned as they are, so the join shuffles them.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    rows, taken = df.limit(max_rows + 1).agg(F.count("*"), size).first()
+    return F.broadcast(df) if rows <= max_rows and (taken or 0) <= max_bytes else df

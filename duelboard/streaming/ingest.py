@@ -8,6 +8,7 @@ partitions.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,15 @@ from duelboard.operators.judgments import (
     mean_score,
     split_judgments,
 )
-from duelboard.operators.keyed import keep_last, without
+from duelboard.operators.keyed import keep_first, keep_last, without
 from duelboard.operators.tally import tally_key
 from duelboard.sources.readers import path_exists
 
 
+#: Directories that the keys of a growing table are hashed into.
+KEY_BUCKETS = 16
+
+
 def file_stream(
     spark: SparkSession,
     directory: str,
@@ -42,14 +47,14 @@ def file_stream(
     return reader.load(directory)
 
 
-def once_per_key(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
-    """First arrival per key within the watermark.
+def first_per_key(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: str = "ord") -> None:
+    """Append the first arrival of every key to ``table``, however late it comes.
 
-    State is dropped once the watermark passes a key, so it stays bounded. A
-    repeat later than ``delay`` is passed on; the batch rule (first row per key)
-    settles those.
+    Each batch keeps its first row per key (the smallest ``order``) and leaves out the
+    keys that the table holds. Stored keys are the only state, so nothing expires and no
+    first arrival is lost.
     """
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    _append_new(stream, table, checkpoint, keys, lambda batch: keep_first(batch, keys, order))
 
 
 def running_winners(stream: DataFrame) -> DataFrame:
@@ -139,23 +144,37 @@ def merge_batches(
 ) -> None:
     """Merge each batch's complete judgments into a growing table.
 
-    Stored complete rows never change, so merging is appending the keys that are
-    not stored yet. Each batch writes its own directory ``batch=<id>`` after an
-    anti-join with the earlier ones; a replayed batch rewrites that directory.
+    Stored complete rows never change, so merging is appending the keys that are not
+    stored yet.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def chosen(batch: DataFrame) -> DataFrame:
         fresh = prepare(batch) if prepare else batch
-        complete = keep_last(fresh.where(is_complete(F.col("games"))), keys, order)
-        if batch_id > 0 and path_exists(batch.sparkSession, table):
-            stored = batch.sparkSession.read.parquet(table).where(F.col("batch") < batch_id)
-            complete = without(complete, stored, keys)
-        complete.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        return keep_last(fresh.where(is_complete(F.col("games"))), keys, order)
 
-    query = (
-        stream.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(merge)
-        .start()
-    )
+    _append_new(stream, table, checkpoint, keys, chosen)
+
+
+def _append_new(stream: DataFrame, table: str, checkpoint: str, keys: list[str], choose: Callable[[DataFrame], DataFrame]) -> None:
+    """Append each batch's chosen rows whose keys are not stored, as ``run=<id>/batch=<id>``.
+
+    The run is named after the checkpoint, so a new checkpoint on an existing table adds
+    to it and overwrites nothing. A replayed batch rewrites its own directory, after the
+    anti-join with all others. Keys are hashed into ``KEY_BUCKETS`` directories; a batch
+    reads the stored keys of the buckets it touches.
+    """
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+        rows = choose(batch).withColumn("bucket", bucket)
+        if path_exists(spark, table):
+            touched = [r[0] for r in rows.select("bucket").distinct().collect()]
+            stored = spark.read.option("basePath", table).parquet(table).where(F.col("bucket").isin(touched))
+            earlier = stored.where((F.col("run") != f"r{run}") | (F.col("batch") != batch_id))
+            rows = without(rows, earlier, keys)
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/run=r{run}/batch={batch_id}")
+
+    query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start()
     query.awaitTermination()

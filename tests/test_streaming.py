@@ -26,13 +26,15 @@ def stream(spark, directory):
     return ST.file_stream(spark, str(directory), SCHEMA, files_per_trigger=1)
 
 
-def test_repeats_are_dropped_across_runs(spark, tmp_path):
+def test_first_arrivals_are_kept_however_late(spark, tmp_path):
     src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    feed(src, "1.json", [row(1, 0), row(2, 1), row(1, 2)])
-    ST.append_to_table(ST.once_per_key(stream(spark, src), ["uid"], "ts", "1 hour"), out, state)
-    feed(src, "2.json", [row(2, 5), row(3, 6)])
-    ST.append_to_table(ST.once_per_key(stream(spark, src), ["uid"], "ts", "1 hour"), out, state)
-    assert sorted(r["uid"] for r in spark.read.parquet(out).collect()) == ["u1", "u2", "u3"]
+    feed(src, "1.json", [row(1, 30, ord=5), row(2, 31), row(1, 32, ord=3)])
+    ST.first_per_key(stream(spark, src), out, state, ["uid"])
+    feed(src, "2.json", [row(2, 50), row(3, 51)])
+    feed(src, "3.json", [row(4, 0)])  # never seen, older than everything before
+    ST.first_per_key(stream(spark, src), out, state, ["uid"])
+    rows = {r["uid"]: r["ord"] for r in spark.read.parquet(out).collect()}
+    assert rows == {"u1": 3, "u2": 2, "u3": 3, "u4": 4}
 
 
 def test_running_counts_and_scores(spark, tmp_path):
@@ -73,3 +75,26 @@ def test_batches_merge_complete_rows_once(spark, tmp_path):
     rows = {r["uid"]: r["ord"] for r in spark.read.parquet(table).collect()}
     assert rows == {"u1": 1, "u2": 60}
     assert spark.read.parquet(table).groupBy("uid").count().where(F.col("count") > 1).count() == 0
+
+
+def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    src, more, table = tmp_path / "in", tmp_path / "more", str(tmp_path / "table")
+    feed(src, "1.json", [row(1, 0)])
+    feed(more, "1.json", [row(1, 9, ord=90), row(2, 1)])
+    ST.merge_batches(stream(spark, src), table, str(tmp_path / "s1"), ["uid"])
+    ST.merge_batches(stream(spark, more), table, str(tmp_path / "s2"), ["uid"])
+    assert {r["uid"]: r["ord"] for r in spark.read.parquet(table).collect()} == {"u1": 1, "u2": 2}
+
+
+def test_a_replayed_batch_writes_the_same_rows(spark, tmp_path):
+    import shutil
+
+    src, table, state = tmp_path / "in", str(tmp_path / "table"), tmp_path / "s"
+    feed(src, "1.json", [row(1, 0), row(2, 0)])
+    feed(src, "2.json", [row(2, 1, ord=8), row(3, 1)])
+    ST.merge_batches(stream(spark, src), table, str(state), ["uid"])
+    (state / "commits" / "1").unlink()  # as after a crash between write and commit
+    shutil.rmtree(state / "commits" / ".1.crc", ignore_errors=True)
+    (state / "commits" / ".1.crc").unlink(missing_ok=True)
+    ST.merge_batches(stream(spark, src), table, str(state), ["uid"])
+    assert sorted((r["uid"], r["ord"]) for r in spark.read.parquet(table).collect()) == [("u1", 1), ("u2", 2), ("u3", 3)]

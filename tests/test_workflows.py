@@ -152,16 +152,43 @@ def test_label_orders(spark):
         M.label_candidates(common, 42, "other")
 
 
-def test_comparison_round(spark):
+def test_comparison_round(spark, tmp_path):
     def make_reply():
         return lambda pdf: ["Winner: A" if "k {output_b}" in p and "Response A:\nk {output_b}" in p else "?" for p in pdf["prompt"]]
 
-    rows = {r["instruction"]: r for r in comparison.comparison_round(candidates(spark), ["a", "b"], make_reply, "j").collect()}
-    assert rows["i"]["winner_key"] == "TIE"
-    assert rows["k"]["winner_key"] in ("a", "TIE")
+    done = comparison.comparison_round(candidates(spark), ["a", "b"], make_reply, "j", str(tmp_path / "r"), system_prompt="be fair")
+    rows = {r["instruction"]: r for r in done.results.collect()}
+    assert rows["i"]["winner_key"] == "TIE" and done.failed.count() == 0
+    assert rows["k"]["winner_key"] in ("a", "TIE") and rows["k"]["system_prompt"] == "be fair"
     assert rows["i"]["labels"].keys() == {"A", "B"}
 
 
+def test_failed_calls_are_asked_again(spark, tmp_path):
+    def outage():
+        def reply(pdf):
+            if (pdf["instruction"] == "i").any():
+                raise RuntimeError("down")
+            return ["Winner: A"] * len(pdf)
+
+        return reply
+
+    first = comparison.comparison_round(candidates(spark), ["a", "b"], outage, "j", str(tmp_path / "1"))
+    assert [tuple(r) for r in first.failed.collect()] == [("i", "RuntimeError: down")]
+    assert [r["instruction"] for r in first.results.collect()] == ["k"]
+    well = lambda: lambda pdf: ["Winner: B"] * len(pdf)
+    second = comparison.comparison_round(candidates(spark), ["a", "b"], well, "j", str(tmp_path / "2"), first.results)
+    assert [(r["instruction"], r["winner"]) for r in second.results.collect()] == [("i", "B")] and second.failed.isEmpty()
+    stored = first.results.withColumn("ord", F.lit(1)).unionByName(first.results.withColumn("ord", F.lit(2)))
+    table = {r["key"]: r["n"] for r in comparison.win_table(comparison.resumed(stored, second.results), ["a", "b"]).collect()}
+    assert sum(table.values()) == 2
+
+
+def test_a_reply_that_is_null_is_no_tie(spark, tmp_path):
+    none = lambda: lambda pdf: [None] * len(pdf)
+    done = comparison.comparison_round(candidates(spark), ["a", "b"], none, "j", str(tmp_path / "n"))
+    assert done.results.isEmpty() and done.failed.count() == 2
+
+
 def results(spark, keys):
     return spark.createDataFrame(
         [(f"i{n}", k, "A", n) for n, k in enumerate(keys)], "instruction string, winner_key string, winner string, ord bigint"
