@@ -177,10 +177,12 @@ select uid, regexp_replace(model, '^.*/', '') model, category, score from (
     )
     + ") t(category, baseline, system_prompt)",
     "rollout_lines": f"""
-select prompt_id, pos, case when pos % 11 = 10 then '' when pos % 13 = 12 then '<|eot_id|>'
-                            else trim(line, '{K.PY_SPACES}') end response
+select prompt_id, pos, trim(line, '{K.PY_SPACES}') response
 from (select doc_id prompt_id, unnest(range(len(string_split(text, chr(10))))) pos,
-             unnest(string_split(text, chr(10))) line from documents)""",
+             unnest(string_split(text, chr(10))) line from documents)
+union all
+select doc_id, len(string_split(text, chr(10))), case doc_id % 3 when 0 then '' else '<|eot_id|>' end
+from documents where doc_id % 3 < 2""",
     "ranked_lines": """
 select prompt_id, arg_max(pos, (score, md5(concat_ws('|', '42', prompt_id, pos, 'best')))) best,
        arg_min(pos, (score, md5(concat_ws('|', '42', prompt_id, pos, 'worst')))) worst
@@ -300,16 +302,15 @@ class Tables:
         return baselines(self.spark)
 
     def rollouts(self) -> DataFrame:
-        """prompt_id, prompt_messages, responses: the lines of a document."""
+        """prompt_id, prompt_messages, responses: the lines of a document, some with an empty one after them."""
         from duelboard.functions.text import strip
 
         documents = self.table("documents")
-        responses = F.transform(
-            F.split("text", "\n"),
-            lambda r, i: F.when(i % 11 == 10, F.lit(""))
-            .when(i % 13 == 12, F.lit("<|eot_id|>"))
-            .otherwise(strip(r)),
+        lines = F.transform(F.split("text", "\n"), strip)
+        empty = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit(""))).when(
+            F.col("doc_id") % 3 == 1, F.array(F.lit("<|eot_id|>"))
         )
+        responses = F.concat(lines, F.coalesce(empty, F.array().cast("array<string>")))
         prompt: Column = F.array(
             F.struct(F.lit("user").alias("role"), F.col("source").alias("content"))
         )

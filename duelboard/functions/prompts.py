@@ -197,10 +197,13 @@ def chat_payload(
     )
 
 
-def parts_payload(messages: Column, temperature: float, max_tokens: int) -> Column:
+def parts_payload(
+    messages: Column, temperature: float, max_tokens: int, safety: list[tuple[str, str]] | None = None
+) -> Column:
     """JSON body with a separate system instruction and text parts.
 
-    A leading system message moves out; later roles map to user or model.
+    A leading system message moves out; later roles map to user or model. ``safety``
+    adds settings of (category, threshold).
     """
 
     def parts(text: Column) -> Column:
@@ -230,10 +233,15 @@ def parts_payload(messages: Column, temperature: float, max_tokens: int) -> Colu
                 F.lit(float(temperature)).alias("temperature"),
                 F.lit(int(max_tokens)).alias("maxOutputTokens"),
             ).alias("generationConfig"),
+            *([_safety(safety).alias("safetySettings")] if safety else []),
         )
     )
 
 
+def _safety(settings: list[tuple[str, str]]) -> Column:
+    return F.array(*[F.struct(F.lit(c).alias("category"), F.lit(t).alias("threshold")) for c, t in settings])
+
+
 _CHAT_REPLY = (
     "choices array<struct<message:struct<content:string>>>, usage map<string,bigint>"
 )
