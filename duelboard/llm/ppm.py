@@ -1,11 +1,11 @@
 """Language-model scores by prediction by partial matching over bytes.
 
-A trie of byte contexts up to five bytes long is learned from all training texts. The
+A trie of byte contexts up to four bytes long is learned from all training texts. The
 symbol after a context is coded by the longest context that has seen it; each shorter
 step costs an escape (method C: as many escape counts as distinct symbols), and symbols
 that a longer context has seen are excluded further down. For a fixed trie the code
-length of a symbol depends only on the six symbols before and at its place, so it is
-computed once per distinct six-symbol string:
+length of a symbol depends only on the four symbols before it and itself, so it is
+computed once per distinct five-symbol string:
 
 1. every task counts the strings and words of its texts, Spark adds the counts up;
 2. strings that end in the same two context bytes form groups, in which the trie's
@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from duelboard.llm.tables import column, cut, in_fold
 from duelboard.llm.wordkeys import buffer_keys, in_blocks, joined
 
-ORDER = 5
+ORDER = 4
 BITS = 9
 #: Symbols are byte + 1; END closes a text, 0 stands before its start.
 END, SYMBOLS = 257, 257
 TABLE = SYMBOLS + 1
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 24_000_000
 #: Distinct strings per group of the model step.
 GROUP_STRINGS = 250_000
 #: Distinct keys a counting task holds before it hands them on.
