@@ -33,7 +33,7 @@ SIMILARITY = 0.8
 BAND_ROWS, BANDS = 5, 25
 REGISTERS = BAND_ROWS * BANDS
 #: Shingles of a bucket's members that one group compares.
-CHUNK_SHINGLES = 200_000
+CHUNK_SHINGLES = 100_000
 #: Candidate texts looked up by a broadcast of their keys up to this many, by a shuffle beyond.
 BROADCAST_KEYS = 1_000_000
 
@@ -124,7 +124,7 @@ def _signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         texts = texts.tolist()
         parts = [pd.DataFrame({"weight": [], "bands": []})]
-        for a, b in in_blocks(texts, 1_000_000):
+        for a, b in in_blocks(texts, 500_000):
             doc, keys, counts = bags(texts[a:b])
             registers = signatures(doc, keys, counts, b - a)
             weight = np.bincount(doc, counts, b - a).astype(np.int64)

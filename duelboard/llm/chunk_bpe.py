@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,18 +71,18 @@ class ChunkEncoder:
         for token, rank in ranks.items():
             self.token_bytes[rank] = token
         self.token_bytes[self.special_id] = SPECIAL.encode()
-        self.cache: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.cache: dict[str, array] = {}
+        self.older: dict[str, array] = {}
         self.door = np.zeros(DOOR_SLOTS, np.uint32)
 
-    def chunk(self, core: str) -> list[int]:
+    def chunk(self, core: str) -> list[int] | array:
         """Tokens of a chunk's core; a core met for the second time is kept."""
         ids = self.cache.get(core)
         if ids is not None:
             return ids
         ids = self.older.pop(core, None)
         if ids is None:
-            ids = self.encoding.encode_ordinary(core)
+            ids = array("i", self.encoding.encode_ordinary(core))
             tag = hash(core)
             slot, mark = tag % DOOR_SLOTS, (tag >> 24) & 0xFFFFFFFF
             if self.door[slot] != mark:

@@ -9,8 +9,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Arrow batches for long texts; applied where the session has left Spark's defaults.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m"),
+}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the text that a task hands to Python at once to a few megabytes."""
+    for key, (default, wanted) in BATCHES.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, wanted)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a data folder."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -44,6 +59,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends there."""
+    bound_batches(df.sparkSession)
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
