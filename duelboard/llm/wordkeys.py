@@ -101,7 +101,7 @@ def shingle_keys(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.
     return mix(hashed[position]), out_offsets
 
 
-def in_blocks(texts: list[str | None], max_chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def in_blocks(texts: list[str | None], max_chars: int = 500_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``max_chars`` characters each; one longer text is a range of its own."""
     start = size = 0
     for i, text in enumerate(texts):
