@@ -259,7 +259,7 @@ terms as (select category, model term from fitted union all
 
 
 def _fitted(t, rounds):
-    ready = SB.fit_input(_valid(t), lookup(t), t.settings())
+    ready = PF.stored_battles(SB.fit_input(_valid(t), lookup(t), t.settings()), list(S.FEATURES))
     return ready, PF.fit_rounds(ready, list(S.FEATURES), rounds=rounds)
 
 

@@ -124,6 +124,11 @@ def _chunks(battles: DataFrame, features: list[str], group: str) -> DataFrame:
     )
 
 
+def stored_battles(battles: DataFrame, features: list[str], group: str = "category") -> DataFrame:
+    """The columns a fit needs, written once: several passes read them, the joins before run once."""
+    return _written(battles.select(group, "model", "own", "score", "count", "row_key", *features), "battles")
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
@@ -148,7 +153,7 @@ def fit_rounds(
     its square. A step is at most LARGEST_STEP long; rounds that still move after
     ``max_passes`` are returned with ``converged`` false.
     """
-    chunks = _chunks(battles, features, group).persist()
+    chunks = _chunks(stored_battles(battles, features, group), features, group).persist()
     try:
         return _fit_chunks(chunks, list(features), rounds, seed, group, ridge, tolerance, max_passes)
     finally:
