@@ -2,7 +2,7 @@
 
 A rolling hash of the last bytes cuts each text into chunks, so that passages shared by
 documents give the same chunks wherever they stand. The core of a chunk is encoded
-once per worker and then taken from a cache. A cut may fall inside a token, so each
+once per task and then taken from a cache. A cut may fall inside a token, so each
 join is repaired: the text around the cut, from the last space or newline before it to
 the next one after it, is encoded afresh. Where a space
 follows another character, the pre-tokeniser starts a new piece whatever stands around
@@ -29,7 +29,7 @@ from duelboard.llm.wordkeys import mix
 #: Bytes that the rolling hash sees, and the mean distance of cuts (a power of two).
 WINDOW = 24
 MEAN_CHUNK = 256
-#: Chunks kept in a worker's cache, and slots that remember which chunks were met once.
+#: Chunks kept in a task's cache, and slots that remember which chunks were met once.
 CACHED = 30_000
 DOOR_SLOTS = 1 << 20
 #: A place where a space or newline follows a character that is no white space: a piece always starts there.
@@ -57,7 +57,7 @@ def cut_places(data: bytes) -> np.ndarray:
 
 
 class ChunkEncoder:
-    """Encoder of one worker: vocabulary, chunk cache and digests."""
+    """Encoder of one task: vocabulary and chunk cache."""
 
     def __init__(self, vocabulary: str, special_id: int | None = None):
         import public_tokenizers
@@ -141,21 +141,12 @@ class ChunkEncoder:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
-def worker_encoder(vocabulary: str) -> ChunkEncoder:
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = ChunkEncoder(vocabulary)
-    return _encoders[vocabulary]
-
-
 def encode_texts(text: Column, vocabulary: str) -> Column:
     """Token ids of each whole text; a null text counts as empty and gives no tokens."""
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = worker_encoder(vocabulary)
+        encoder = ChunkEncoder(vocabulary)  # ends with the task, so a reused worker keeps nothing
         for texts in batches:
             yield pd.Series([encoder.encode(t) for t in texts], dtype="object")
 
@@ -167,7 +158,7 @@ def decode_ids(tokens: Column, vocabulary: str) -> Column:
 
     @F.pandas_udf("string")
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = worker_encoder(vocabulary)
+        encoder = ChunkEncoder(vocabulary)  # ends with the task, so a reused worker keeps nothing
         for lists in batches:
             yield pd.Series([None if ids is None else encoder.decode(list(ids)) for ids in lists], dtype="object")
 
@@ -184,7 +175,7 @@ def encoding_digests(text: Column, vocabulary: str) -> Column:
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = worker_encoder(vocabulary)
+        encoder = ChunkEncoder(vocabulary)  # ends with the task, so a reused worker keeps nothing
         names = list(map(str, range(encoder.special_id + 1)))
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for texts in batches:
