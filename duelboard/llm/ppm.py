@@ -1,17 +1,18 @@
 """Language-model scores by prediction by partial matching over bytes.
 
-A trie of byte contexts up to four bytes long is learned from all training texts. The
+A trie of byte contexts up to five bytes long is learned from all training texts. The
 symbol after a context is coded by the longest context that has seen it; each shorter
 step costs an escape (method C: as many escape counts as distinct symbols), and symbols
 that a longer context has seen are excluded further down. For a fixed trie the code
-length of a symbol depends only on the four symbols before it and itself, so it is
-computed once per distinct five-symbol string:
+length of a symbol depends only on the five symbols before it and itself, so it is
+computed once per distinct six-symbol string:
 
-1. every task counts the strings and words of its texts, Spark adds the counts up;
-2. strings that end in the same two context bytes form groups, in which the trie's
-   levels from two upwards are sums over suffixes; lower levels are tables of bounded size;
-3. texts are dealt into blocks of bounded size; a block asks for its own distinct
-   strings and words, receives their values by a join, and scores its texts.
+1. texts are dealt into blocks of bounded size; a block keeps its texts, compressed, and
+   counts its own distinct strings and words, one packed row per range of keys;
+2. Spark brings the rows of a range together, whose counts are added up; a range holds all
+   strings with the same last two context symbols, so that the trie's levels from two
+   upwards are sums over suffixes; lower levels are tables of bounded size;
+3. a range answers each block that asked it, and a block scores its texts.
 
 Nothing that grows with the corpus is broadcast or collected.
 """
@@ -23,25 +24,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelboard.llm.tables import column, cut, in_fold
 from duelboard.llm.wordkeys import buffer_keys, in_blocks, joined
 
-ORDER = 4
+ORDER = 5
 BITS = 9
 #: Symbols are byte + 1; END closes a text, 0 stands before its start.
 END, SYMBOLS = 257, 257
 TABLE = SYMBOLS + 1
 BLOCK_BYTES = 24_000_000
-#: Distinct strings per group of the model step.
-GROUP_STRINGS = 250_000
-#: Distinct keys a counting task holds before it hands them on.
+#: Ranges of keys, as bits of a mixed key.
+RANGE_BITS = 10
+#: Distinct keys gathered before they are added up.
 HELD_KEYS = 1_200_000
-STRING, WORD = 0, 1
+STRING, WORD, TEXT = 0, 1, 2
 END_WORD = 0
-ROWS_OUT = 100_000
+_PACKED = "block int, kind int, range int, size int, keys binary, counts binary"
+_SUMS = "kind int, range int, size int, keys binary, counts binary, total long, seen long"
+_VALUES = "kind int, range int, size int, keys binary, values binary"
+#: A string's value is the logarithm of its probability, a word's its count.
+VALUE = {STRING: np.float32, WORD: np.int64}
 #: Rows turned into Python strings at once.
 ROWS_AT_ONCE = 200
 
@@ -94,55 +100,102 @@ def keys_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return strings(buffer, ends), ends, words.view(np.int64), offsets
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array's bytes, all first ones, then all second ones and so on, compressed."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return pa.compress(np.ascontiguousarray(planes.T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int, dtype: type) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data, size * width, codec="zstd", asbytes=True), np.uint8).reshape(width, size)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their steps."""
+    return packed(np.diff(keys.view(np.uint64), prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, size, np.uint64), dtype=np.uint64).view(np.int64)
+
+
+def key_range(kind: int, keys: np.ndarray) -> np.ndarray:
+    """Range of each key; strings with the same last two context symbols share theirs."""
+    spread = (keys >> BITS & mask(1) if kind == STRING else keys).astype(np.int64).view(np.uint64)
+    return (spread * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - RANGE_BITS)).astype(np.int32)
+
+
+def by_range(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(range, its keys, their counts) of ascending keys."""
+    where = key_range(kind, keys)
+    order = np.argsort(where, kind="stable")
+    found, first = np.unique(where[order], return_index=True)
+    for number, at in zip(found.tolist(), np.split(order, first[1:])):
+        yield number, keys[at], counts[at]
+
+
 class Counter:
-    """Sums of counts of strings and words, handed on as Arrow batches when they grow too many."""
+    """Sums of counts of keys, added up whenever many have gathered."""
 
     def __init__(self):
-        self.held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {STRING: [], WORD: []}
-        self.size = 0
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.last = 0
 
-    def add(self, kind: int, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.held[kind].append((keys, counts))
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
         self.size += len(keys)
-
-    def merge(self) -> None:
-        for kind, parts in self.held.items():
-            if len(parts) > 1:
-                self.held[kind] = [summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))]
-        self.size = sum(len(k) for parts in self.held.values() for k, _ in parts)
-
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        self.merge()
-        for kind, parts in self.held.items():
-            for keys, counts in parts:
-                for i in range(0, len(keys), ROWS_OUT):
-                    own = keys[i : i + ROWS_OUT]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), kind, np.int32)), pa.array(own), pa.array(counts[i : i + ROWS_OUT])], ["kind", "key", "n"])
-        self.__init__()
-
-
-def count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, key, n) of a task's texts; keys of held-out texts come with no count."""
-    counter, last = Counter(), 0
-    for batch in batches:
-        train = np.array(batch.column("train"), bool)
-        for start, texts in text_parts(batch.column("text")):
-            grams, ends, words, offsets = keys_of(texts)
-            own = train[start : start + len(texts)]
-            for kind, keys, lengths in ((STRING, grams, np.diff(ends, prepend=0)), (WORD, words, np.diff(offsets))):
-                chosen = np.repeat(own, lengths)
-                counter.add(kind, *summed(keys[chosen]))
-                if not own.all():
-                    other = summed(keys[~chosen])[0]
-                    counter.add(kind, other, np.zeros(len(other), np.int64))
-            counter.add(WORD, np.array([END_WORD]), np.array([own.sum()]))
-            if counter.size > max(HELD_KEYS // 2, last + HELD_KEYS // 2):
-                counter.merge()
-                last = counter.size
-                if last > HELD_KEYS:
-                    yield from counter.batches()
-                    last = 0
-    yield from counter.batches()
+        if self.size > self.last + max(self.last, HELD_KEYS // 2):
+            self.sums()
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys, ascending, and their counts."""
+        if len(self.parts) != 1:
+            keys, counts = ([p[i] for p in self.parts] for i in (0, 1))
+            self.parts = [summed(np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts]))]
+        self.size = self.last = len(self.parts[0][0])
+        return self.parts[0]
+
+
+def _table(rows: list[tuple], columns: str) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    named = [c.split() for c in columns.split(", ")]
+    return pa.table({name: pa.array([row[i] for row in rows], types[kind]) for i, (name, kind) in enumerate(named)})
+
+
+def pack_block(table: pa.Table) -> pa.Table:
+    """A block's texts in parts, and its distinct keys with their training counts by range; keys of held-out texts only have no count."""
+    block, counters = table.column("block")[0].as_py(), {STRING: Counter(), WORD: Counter()}
+    train, rows = table.column("train").to_numpy(zero_copy_only=False).astype(bool), []
+    for start, texts in text_parts(table.column("text")):
+        sink = pa.BufferOutputStream()
+        part = table.slice(start, len(texts)).select(["doc_id", "text", "train"])
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(part)
+        rows.append((block, TEXT, 0, len(texts), sink.getvalue().to_pybytes(), None))
+        grams, ends, words, offsets = keys_of(texts)
+        own = train[start : start + len(texts)]
+        for kind, keys, lengths in ((STRING, grams, np.diff(ends, prepend=0)), (WORD, words, np.diff(offsets))):
+            chosen = np.repeat(own, lengths)
+            counters[kind].add(*summed(keys[chosen]))
+            if not own.all():
+                other = summed(keys[~chosen])[0]
+                counters[kind].add(other, np.zeros(len(other), np.int64))
+        counters[WORD].add(np.array([END_WORD]), np.array([own.sum()]))
+    for kind, counter in counters.items():
+        rows += [(block, kind, number, len(keys), packed_keys(keys), packed(counts)) for number, keys, counts in by_range(kind, *counter.sums())]
+    return _table(rows, _PACKED)
+
+
+def add_up(rows: pa.Table) -> pa.Table:
+    """One row for a range: its keys and counts in all blocks, the sum of the counts, and how many are not zero."""
+    counter = Counter()
+    for size, keys, counts in zip(*(rows.column(c).to_pylist() for c in ("size", "keys", "counts"))):
+        counter.add(unpacked_keys(keys, size), unpacked(counts, size, np.int64))
+    keys, counts = counter.sums()
+    kind, number = (rows.column(c)[0].as_py() for c in ("kind", "range"))
+    return _table([(kind, number, len(keys), packed_keys(keys), packed(counts), int(counts.sum()), int((counts > 0).sum()))], _SUMS)
 
 
 class Level:
@@ -216,28 +269,52 @@ def code_lengths(grams: np.ndarray, counts: np.ndarray, table: np.ndarray) -> np
 
 def _symbol_table(counts: DataFrame) -> np.ndarray:
     """Counts of all pairs of neighbouring symbols: at most 258 x 258 rows come to the driver."""
-    pair = F.col("key").bitwiseAND(F.lit(mask(1)))
-    rows = counts.where(F.col("kind") == STRING).groupBy(pair.alias("pair")).agg(F.sum("n").alias("n")).where("n > 0").collect()
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << 2 * BITS, np.int64)
+        for batch in batches:
+            for size, keys, n in zip(*(batch.column(c).to_pylist() for c in ("size", "keys", "counts"))):
+                np.add.at(table, unpacked_keys(keys, size) & mask(1), unpacked(n, size, np.int64))
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["pair", "n"])
+
+    rows = counts.where(F.col("kind") == STRING).select("size", "keys", "counts").mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     table = np.zeros((TABLE, TABLE), np.int64)
     for row in rows:
         table[row["pair"] >> BITS, row["pair"] & mask(0)] = row["n"]
     return table
 
 
-def string_values(counts: DataFrame, table: np.ndarray) -> DataFrame:
-    """(kind, key, value): log10 probability of every counted string."""
-    own = counts.where(F.col("kind") == STRING)
-    groups = max(1, math.ceil(own.count() / GROUP_STRINGS))
-    pair = F.shiftright("key", BITS).bitwiseAND(F.lit(mask(1)))
+def range_values(counts: DataFrame, table: np.ndarray) -> DataFrame:
+    """(kind, range, size, keys, values): log10 probability of every counted string, count of every word."""
     shared = counts.sparkSession.sparkContext.broadcast(table)
 
-    def value(rows: pa.Table) -> pa.Table:
-        keys, n = (rows.column(c).to_numpy() for c in ("key", "n"))
-        order = np.argsort(keys)
-        keys = keys[order]
-        return pa.table({"kind": pa.array(np.full(len(keys), STRING, np.int32)), "key": keys, "value": code_lengths(keys, n[order], shared.value)})
+    def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = unpacked(row["counts"], row["size"], np.int64)
+                if row["kind"] == STRING:
+                    n = code_lengths(unpacked_keys(row["keys"], row["size"]), n, shared.value)
+                yield _table([(row["kind"], row["range"], row["size"], row["keys"], packed(n.astype(VALUE[row["kind"]])))], _VALUES).to_batches()[0]
+
+    return counts.select("kind", "range", "size", "keys", "counts").mapInArrow(value, _VALUES)
 
-    return own.withColumn("group", F.pmod(F.xxhash64(pair), F.lit(groups))).groupBy("group").applyInArrow(value, "kind int, key long, value double")
+
+def answer(asked: pa.Table, values: pa.Table) -> pa.Table:
+    """A range's values of the keys that each block asked for."""
+    rows = []
+    if len(asked):
+        kind, number = (asked.column(c)[0].as_py() for c in ("kind", "range"))
+        size = values.column("size")[0].as_py()
+        keys, value = unpacked_keys(values.column("keys")[0].as_py(), size), unpacked(values.column("values")[0].as_py(), size, VALUE[kind])
+        for block, n, own in zip(*(asked.column(c).to_pylist() for c in ("block", "size", "keys"))):
+            rows.append((block, kind, number, n, own, packed(value[np.searchsorted(keys, unpacked_keys(own, n))])))
+    return _table(rows, _PACKED)
+
+
+def dealt(rows: DataFrame, blocks: int) -> DataFrame:
+    """``rows`` with the number of their block."""
+    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
 
 def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order_fold: int = 1) -> DataFrame:
@@ -252,53 +329,36 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order_fold: int
     text = F.coalesce(column(docs, "text"), F.lit(""))
     held_out = in_fold(column(docs, "doc_id"), order_fold)
     rows = docs.select(column(docs, "doc_id").alias("doc_id"), text.alias("text"), (~held_out).alias("train"))
-    counts = cut(
-        rows.select("text", "train").mapInArrow(count_keys, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")),
-        "counts",
-    )
-    words = counts.where(F.col("kind") == WORD).agg(F.sum("n").alias("all"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
-    n_all, n_distinct = words["all"] or 0, words["distinct"]
-    strings_part = string_values(counts, _symbol_table(counts))
-    values = cut(
-        strings_part.unionByName(counts.where(F.col("kind") == WORD).select("kind", "key", F.col("n").cast("double").alias("value"))),
-        "values",
-    )
     total = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 1
-    blocks = max(1, math.ceil(total / block_bytes))
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-
-    def ask(table: pa.Table) -> pa.Table:
-        """Distinct keys of a block."""
-        counter, last = Counter(), 0
-        for _, texts in text_parts(table.column("text")):
-            grams, _, words, _ = keys_of(texts)
-            counter.add(STRING, *summed(grams))
-            counter.add(WORD, *summed(words))
-            if counter.size > last + HELD_KEYS // 2:
-                counter.merge()
-                last = counter.size
-        counter.add(WORD, np.array([END_WORD]), np.array([1]))
-        batches = list(counter.batches())
-        asked = pa.Table.from_batches(batches)
-        return pa.table({"block": pa.array(np.full(len(asked), table.column("block")[0].as_py(), np.int32)), "kind": asked.column("kind"), "key": asked.column("key")})
+    blocks = cut(dealt(rows, max(1, math.ceil(total / block_bytes))).groupBy("block").applyInArrow(pack_block, _PACKED), "blocks")
+    asked = blocks.where(F.col("kind") != TEXT)
+    counts = cut(asked.groupBy("kind", "range").applyInArrow(add_up, _SUMS), "counts")
+    words = counts.where(F.col("kind") == WORD).agg(F.sum("total").alias("all"), F.sum("seen").alias("distinct")).first()
+    n_all, n_distinct = words["all"] or 0, words["distinct"] or 0
+    values = range_values(counts, _symbol_table(counts))
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         """Scores of a block's texts from the values of its keys."""
         found = {}
-        kinds = answers.column("kind").to_numpy()
         for kind in (STRING, WORD):
-            chosen = kinds == kind
-            keys, value = answers.column("key").to_numpy()[chosen], answers.column("value").to_numpy()[chosen]
+            own = answers.filter(pa.compute.equal(answers.column("kind"), kind))
+            sizes, packs, packed_values = (own.column(c).to_pylist() for c in ("size", "keys", "counts"))
+            keys = np.concatenate([np.zeros(0, np.int64), *map(unpacked_keys, packs, sizes)])
+            value = np.concatenate([np.zeros(0, VALUE[kind]), *(unpacked(v, n, VALUE[kind]) for v, n in zip(packed_values, sizes))])
             at = np.argsort(keys)
             found[kind] = keys[at], value[at]
         out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
         scale = math.log10(n_all + 0.5 * (n_distinct + 1))
         keys, value = found[WORD]
         end_count = value[np.searchsorted(keys, END_WORD)]
-        for _, own in text_parts(texts.column("text")):
+        ids = []
+        for data in texts.column("keys"):
+            part = pa.ipc.open_stream(data.as_buffer()).read_all()
+            ids.append(part.select(["doc_id", "train"]))
+            own = part.column("text").to_pylist()
             grams, ends, word_keys, offsets = keys_of(own)
             at = np.searchsorted(found[STRING][0], grams)
-            out["score"].append(np.add.reduceat(found[STRING][1][at], np.concatenate(([0], ends[:-1]))))
+            out["score"].append(np.add.reduceat(found[STRING][1][at].astype(np.float64), np.concatenate(([0], ends[:-1]))))
             c = value[np.searchsorted(keys, word_keys)]
             # an end token closes each text's words
             closed = np.insert(c, offsets[1:], end_count)
@@ -306,11 +366,12 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order_fold: int
             out["n_tokens"].append(np.diff(offsets) + 1)
             out["n_known"].append(np.add.reduceat((closed > 0).astype(np.int64), first))
             out["base_score"].append(np.add.reduceat(np.log10(closed + 0.5) - scale, first))
-        columns = {c: np.concatenate(v) if v else np.zeros(0) for c, v in out.items()}
+        names = pa.concat_tables(ids)
+        columns = {c: np.concatenate(v) for c, v in out.items()}
         return pa.table(
             {
-                "doc_id": texts.column("doc_id"),
-                "train": texts.column("train"),
+                "doc_id": names.column("doc_id"),
+                "train": names.column("train"),
                 "n_tokens": pa.array(columns["n_tokens"].astype(np.int64)),
                 "n_known": pa.array(columns["n_known"].astype(np.int64)),
                 "base_score": pa.array(columns["base_score"].astype(np.float64)),
@@ -318,11 +379,12 @@ def score_texts(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order_fold: int
             }
         )
 
-    asked = blocked.groupBy("block").applyInArrow(ask, "block int, kind int, key long")
-    answers = asked.join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    answers = asked.select("kind", "range", "block", "size", "keys").groupBy("kind", "range").cogroup(values.groupBy("kind", "range")).applyInArrow(answer, _PACKED)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     scored = (
-        blocked.groupBy("block")
+        blocks.where(F.col("kind") == TEXT)
+        .select("block", "keys")
+        .groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(score, f"doc_id {id_type}, train boolean, n_tokens long, n_known long, base_score double, score double")
     )

@@ -402,6 +402,23 @@ def test_scores_against_brute_force(make_docs, edge_rows):
         assert r["score"] == pytest.approx(want[text_of[r["doc_id"]]])
 
 
+def test_scores_use_contexts_of_five_bytes(make_docs):
+    train = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [(i, ["xabcd1", "yabcd2"][k % 2]) for k, i in enumerate(train[:40])] + [(held[0], "xabcd1"), (held[1], "xabcd2")]
+    got = {r["doc_id"]: r["score"] for r in ppm.score_texts(make_docs(rows)).collect()}
+    assert got[held[0]] > got[held[1]] + 0.5
+
+
+def test_packed_keys():
+    rng = np.random.default_rng(2)
+    keys = np.unique(np.concatenate((rng.integers(-(2**63), 2**63 - 1, 500), [0, -1, 1])).view(np.uint64)).view(np.int64)
+    for own in (keys, keys[:1], keys[:0]):
+        assert (ppm.unpacked_keys(ppm.packed_keys(own), len(own)) == own).all()
+    values = rng.normal(size=300).astype(np.float32)
+    assert (ppm.unpacked(ppm.packed(values), 300, np.float32) == values).all()
+
+
 def test_scores_without_training_rows(make_docs):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
     rows = ppm.score_texts(make_docs([(i, "ab") for i in held])).collect()
