@@ -410,6 +410,14 @@ def test_scores_use_contexts_of_five_bytes(make_docs):
     assert got[held[0]] > got[held[1]] + 0.5
 
 
+def test_repeated_rows_are_spread_over_blocks(make_docs):
+    rows = [(None, "the same row")] * 400
+    blocks = Counter(r["block"] for r in ppm.dealt(make_docs(rows), 8).collect())
+    assert len(blocks) == 8 and max(blocks.values()) < 150
+    got = ppm.score_texts(make_docs(rows), block_bytes=1_000).collect()
+    assert len(got) == 400 and len({(r["score"], r["n_tokens"], r["train_tokens"]) for r in got}) == 1
+
+
 def test_packed_keys():
     rng = np.random.default_rng(2)
     keys = np.unique(np.concatenate((rng.integers(-(2**63), 2**63 - 1, 500), [0, -1, 1])).view(np.uint64)).view(np.int64)
