@@ -3,12 +3,13 @@
 Coarse centroids split the vectors into inverted lists; a vector's residual to its
 centroid is stored as one 4-bit code per subspace of four dimensions. A query vector
 visits its own list and every list whose border to its own is nearer than a link can
-reach, and reads the distances to a list's codes from a table per query. By the
-triangle inequality a code within ``reach + quantisation error`` of the query may be a
-link; all of these, and only these, are compared by exact cosine in double precision.
+reach, and takes its distances to what a list's codes stand for. By the triangle
+inequality a code within ``reach + quantisation error`` of the query may be a link; all
+of these, and only these, are compared by exact cosine in double precision.
 
-Lists are worked off in chunks of bounded size, so one list may hold any share of the
-vectors. A chunk returns counts and a spanning forest of its links, never its pairs.
+Neighbouring lists are worked off together, in chunks of bounded size, so one list may
+hold any share of the vectors, and a query is sent once to all lists of a group. A chunk
+returns counts and a spanning forest of its links, never its pairs.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ COSINE = 0.95
 SUBSPACE, CODES = 4, 16
 #: Vectors that centroids and codebooks are fitted on, picked by hash: every vector is indexed.
 MAX_SAMPLE = 30_000
-#: Vectors of a list, and queries to it, that one group compares.
-CHUNK = 2_000
-#: A link's offset falls on a given direction with deviation reach / sqrt(dimensions); lists
-#: are visited up to this many deviations away. The full reach is never exceeded.
-DEVIATIONS = 3.0
-_WORK = "list int, m_chunk int, q_chunk int, member boolean, own boolean, node long, n long, code binary, error double, vector binary"
+#: Members of a group of lists that one chunk compares, and how many times as many queries.
+CHUNK, QUERIES = 4_000, 4
+#: Room for rounding in single precision, on top of exact bounds.
+SLACK = 1e-4
+_WORK = "bunch int, m_chunk int, q_chunk int, member boolean, list int, node long, n long, code binary, error double, vector binary"
+
 
 
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -57,11 +58,12 @@ class Quantiser:
     """Centroids of the lists and codebooks of the residuals' subspaces."""
 
     def __init__(self, sample: np.ndarray, lists: int):
-        self.centroids = cluster(sample, lists)
+        centroids = cluster(sample, lists)
+        near = _nearest(centroids, cluster(centroids, math.ceil(math.sqrt(len(centroids)))))
+        self.centroids = centroids[np.argsort(near, kind="stable")]  # neighbouring lists have neighbouring numbers
         residuals = self._padded(sample - self.centroids[_nearest(sample, self.centroids)])
         self.books = np.stack([_filled(cluster(part, CODES, seed=s)) for s, part in enumerate(np.split(residuals, residuals.shape[1] // SUBSPACE, axis=1))])
         self.reach = math.sqrt(2 - 2 * COSINE)
-        self.margin = min(self.reach, DEVIATIONS * self.reach / math.sqrt(sample.shape[1]))
 
     @staticmethod
     def _padded(x: np.ndarray) -> np.ndarray:
@@ -74,26 +76,28 @@ class Quantiser:
         missed = residuals - self.books[np.arange(len(self.books)), codes]
         return codes, np.sqrt((missed**2).sum(axis=(1, 2)))
 
-    def visits(self, x: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Flags (vectors, lists): lists after the own one whose border is within the margin.
+    def visits(self, x: np.ndarray, own: np.ndarray, lists: slice = slice(None)) -> np.ndarray:
+        """Flags (vectors, lists): lists after the own one whose border is within a link's reach.
 
+        A linked vector in another list lies beyond that list's border, so no link is lost.
         Of two lists within reach only the one with the higher number is visited, so each
         pair of vectors is compared once.
         """
-        squares = (self.centroids**2).sum(axis=1)
-        distance = squares[None] - 2 * x @ self.centroids.T
-        between = np.sqrt(np.maximum(squares[own][:, None] + squares[None] - 2 * self.centroids[own] @ self.centroids.T, 1e-12))
-        border = (distance - distance[np.arange(len(x)), own][:, None]) / (2 * between)
-        return (border <= self.margin) & (np.arange(len(squares))[None] > own[:, None])
-
-    def table_distances(self, queries: np.ndarray, number: int, codes: np.ndarray) -> np.ndarray:
-        """Distances of queries to a list's codes, read from one table per query."""
-        residuals = self._padded(queries - self.centroids[number]).reshape(len(queries), -1, SUBSPACE)
-        total = np.zeros((len(queries), len(codes)))
-        for s, book in enumerate(self.books):
-            table = ((residuals[:, s, None] - book[None]) ** 2).sum(axis=2)
-            total += table[:, codes[:, s]]
-        return np.sqrt(total)
+        squares, others = (self.centroids**2).sum(axis=1), self.centroids[lists]
+        distance = squares[lists][None] - 2 * x @ others.T
+        home = squares[own] - 2 * (x * self.centroids[own]).sum(axis=1)
+        between = np.sqrt(np.maximum(squares[own][:, None] + squares[lists][None] - 2 * self.centroids[own] @ others.T, 1e-12))
+        border = (distance - home[:, None]) / (2 * between)
+        return (border <= self.reach + SLACK) & (np.arange(len(squares))[lists][None] > own[:, None])
+
+    def floors(self, codes: np.ndarray, errors: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vectors that codes stand for, products) in single precision: a unit vector links with a member only if its product reaches the floor.
+
+        The distance to the code's vector is then at most ``reach`` and the member's error.
+        """
+        decoded = self.books[np.arange(len(self.books)), codes].reshape(len(codes), -1)[:, : self.centroids.shape[1]] + self.centroids[own]
+        floor = (1 + (decoded**2).sum(axis=1) - (self.reach + errors) ** 2) / 2 - SLACK
+        return decoded.astype(np.float32), floor.astype(np.float32)
 
 
 def _filled(book: np.ndarray) -> np.ndarray:
@@ -180,20 +184,46 @@ def _search(nodes: DataFrame, dim: int, dtype: type) -> DataFrame:
     def vectors_of(batch: pa.RecordBatch) -> np.ndarray:
         return batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(batch), dim)
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Members of and queries to each list, per task."""
+    def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Members of each list, per task."""
         q = shared.value
-        members, queries = np.zeros(len(q.centroids), np.int64), np.zeros(len(q.centroids), np.int64)
+        members = np.zeros(len(q.centroids), np.int64)
         for batch in batches:
-            x = _unit(vectors_of(batch))
-            own = _nearest(x, q.centroids)
-            members += np.bincount(own, minlength=len(members))
-            queries += q.visits(x, own).sum(axis=0)
-        at = np.flatnonzero(members + queries)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(members[at]), pa.array(queries[at])], ["list", "members", "queries"])
+            members += np.bincount(_nearest(_unit(vectors_of(batch)), q.centroids), minlength=len(members))
+        at = np.flatnonzero(members)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(members[at])], ["list", "members"])
+
+    rows = nodes.select("vector").mapInArrow(members_of, "list int, members long").groupBy("list").agg(F.sum("members")).collect()
+    members = np.zeros(len(shared.value.centroids), np.int64)  # one row per list
+    for number, n in rows:
+        members[number] = n
+    first, held = [0], 0  # first list of each bunch of neighbouring lists
+    for number, n in enumerate(members.tolist()):
+        if held and held + n > CHUNK:
+            first.append(number)
+            held = 0
+        held += n
+    first = np.array(first)
+    bunch_of = np.searchsorted(first, np.arange(len(members)), side="right") - 1
+
+    def bunches(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Flags (vectors, bunches): where a vector is a query, its own bunch included."""
+        flags = np.logical_or.reduceat(shared.value.visits(x, own), first, axis=1)
+        flags[np.arange(len(x)), bunch_of[own]] = True
+        return flags
+
+    def queries_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries to each bunch, per task."""
+        queries = np.zeros(len(first), np.int64)
+        for whole in batches:
+            for start in range(0, len(whole), 500):
+                x = _unit(vectors_of(whole.slice(start, 500)))
+                queries += bunches(x, _nearest(x, shared.value.centroids)).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(first), dtype=np.int32)), pa.array(queries)], ["bunch", "queries"])
 
-    counted = nodes.select("vector").mapInArrow(sizes, "list int, members long, queries long").groupBy("list").agg(F.sum("members"), F.sum("queries")).collect()
-    chunks = {r[0]: (max(1, -(-r[1] // CHUNK)), max(1, -(-(r[1] + r[2]) // CHUNK))) for r in counted}  # one row per list
+    rows = nodes.select("vector").mapInArrow(queries_of, "bunch int, queries long").groupBy("bunch").agg(F.sum("queries")).collect()
+    held = np.add.reduceat(members, first)
+    chunks = {number: (max(1, -(-int(held[number]) // CHUNK)), max(1, -(-n // (QUERIES * CHUNK)))) for number, n in rows}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Member and query rows of each vector, once for each chunk that they meet."""
@@ -205,25 +235,25 @@ def _search(nodes: DataFrame, dim: int, dtype: type) -> DataFrame:
                 x = _unit(raw)
                 own = _nearest(x, q.centroids)
                 codes, errors = q.encode(x, own)
-                visits = q.visits(x, own)
+                visits = bunches(x, own)
                 node, n = batch.column("node").to_numpy(), batch.column("n").to_numpy()
                 spread = mix(node.view(np.uint64))
                 out: list[tuple] = []
                 for i in range(len(batch)):
-                    vector = raw[i].tobytes()
-                    m_all, q_all = chunks[own[i]]
+                    vector, home, number = raw[i].tobytes(), int(bunch_of[own[i]]), int(own[i])
+                    m_all, q_all = chunks[home]
                     m_chunk = int(spread[i] % np.uint64(m_all))
-                    out += [(int(own[i]), m_chunk, k, True, True, int(node[i]), int(n[i]), codes[i].tobytes(), float(errors[i]), vector) for k in range(q_all)]
-                    for number in (int(own[i]), *np.flatnonzero(visits[i]).tolist()):
-                        m_all, q_all = chunks[number]
+                    out += [(home, m_chunk, k, True, number, int(node[i]), int(n[i]), codes[i].tobytes(), float(errors[i]), vector) for k in range(q_all)]
+                    for bunch in np.flatnonzero(visits[i]).tolist():
+                        m_all, q_all = chunks[bunch]
                         q_chunk = int((spread[i] >> np.uint64(20)) % np.uint64(q_all))
-                        out += [(number, k, q_chunk, False, number == own[i], int(node[i]), int(n[i]), None, 0.0, vector) for k in range(m_all)]
+                        out += [(bunch, k, q_chunk, False, number, int(node[i]), int(n[i]), None, 0.0, vector) for k in range(m_all)]
                 names = [c.split()[0] for c in _WORK.split(", ")]
-                types = [pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.float64(), pa.binary()]
+                types = [pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.float64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     def compare(rows: pa.Table) -> pa.Table:
-        """Links between the members and the queries of one chunk of a list."""
+        """Links between the members and the queries of one chunk of a bunch of lists."""
         q = shared.value
         is_member = rows.column("member").to_numpy(zero_copy_only=False)
         members, queries = rows.filter(pa.array(is_member)), rows.filter(pa.array(~is_member))
@@ -231,24 +261,34 @@ def _search(nodes: DataFrame, dim: int, dtype: type) -> DataFrame:
         if not len(members) or not len(queries):
             return empty
         unpack = lambda t: _unit(np.frombuffer(b"".join(t.column("vector").to_pylist()), dtype).reshape(len(t), dim))
+        members = members.sort_by("list")
         y, codes = unpack(members), np.frombuffer(b"".join(members.column("code").to_pylist()), np.uint8).reshape(len(members), -1)
         errors, y_node, y_n = (members.column(c).to_numpy() for c in ("error", "node", "n"))
-        x, x_node, x_n = unpack(queries), queries.column("node").to_numpy(), queries.column("n").to_numpy()
-        within = queries.column("own").to_numpy(zero_copy_only=False)
-        number = rows.column("list")[0].as_py()
+        numbers, begin = np.unique(members.column("list").to_numpy(), return_index=True)
+        ends = np.append(begin[1:], len(members))
+        decoded, floor = q.floors(codes, errors, members.column("list").to_numpy())
+        bunch = slice(int(numbers[0]), int(numbers[-1]) + 1)
         links, nodes_out, n_out = [], [], []
-        for start in range(0, len(x), 256):
-            part = slice(start, start + 256)
-            near = q.table_distances(x[part], number, codes) <= q.reach + errors[None] + 1e-9
-            near &= ~within[part][:, None] | (x_node[part][:, None] < y_node[None])  # pairs of one list once
-            i, j = np.nonzero(near)
-            for at in range(0, len(i), 200_000):
-                a, b = i[at : at + 200_000] + start, j[at : at + 200_000]
-                hit = np.einsum("ij,ij->i", x[a], y[b]) >= COSINE
-                a, b = a[hit], b[hit]
-                links.append(_forest(x_node[a], y_node[b]))
-                nodes_out += [x_node[a], y_node[b]]
-                n_out += [y_n[b], x_n[a]]
+        for start in range(0, len(queries), 2_000):
+            part = queries.slice(start, 2_000)
+            x, x_list, x_node, x_n = unpack(part), *(part.column(c).to_numpy() for c in ("list", "node", "n"))
+            visits, single = q.visits(x, x_list, bunch), x.astype(np.float32)
+            for number, low, high in zip(numbers.tolist(), begin.tolist(), ends.tolist()):
+                asking = np.flatnonzero(visits[:, number - bunch.start] | (x_list == number))
+                for at in range(0, len(asking), 1_000):
+                    some = asking[at : at + 1_000]
+                    near = single[some] @ decoded[low:high].T >= floor[low:high]
+                    if number in x_list[some]:  # pairs of one list once
+                        near &= (x_list[some] != number)[:, None] | (x_node[some][:, None] < y_node[None, low:high])
+                    i, j = np.nonzero(near)
+                    for k in range(0, len(i), 200_000):
+                        a, b = some[i[k : k + 200_000]], j[k : k + 200_000] + low
+                        hit = np.einsum("ij,ij->i", x[a], y[b]) >= COSINE
+                        a, b = a[hit], b[hit]
+                        if len(a):
+                            links.append(_forest(x_node[a], y_node[b]))
+                            nodes_out += [x_node[a], y_node[b]]
+                            n_out += [y_n[b], x_n[a]]
         if not nodes_out or not sum(map(len, nodes_out)):
             return empty
         node, place = np.unique(np.concatenate(nodes_out), return_inverse=True)
@@ -263,4 +303,4 @@ def _search(nodes: DataFrame, dim: int, dtype: type) -> DataFrame:
             }
         )
 
-    return nodes.select("vector", "node", "n").mapInArrow(deal, _WORK).groupBy("list", "m_chunk", "q_chunk").applyInArrow(compare, "a long, b long, n long")
+    return nodes.select("vector", "node", "n").mapInArrow(deal, _WORK).groupBy("bunch", "m_chunk", "q_chunk").applyInArrow(compare, "a long, b long, n long")

@@ -58,6 +58,18 @@ def test_vector_links(spark, monkeypatch, chunk):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("rank", [3, 6])
+def test_vector_links_of_low_rank(spark, monkeypatch, rank):
+    monkeypatch.setattr(pq_dedup, "CHUNK", 300)
+    rng = np.random.default_rng(rank)
+    x = (rng.normal(size=(2_000, rank)) @ rng.normal(size=(rank, 64))).astype(np.float32)
+    unit = x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in pq_dedup.vector_links(frame).collect()}
+    assert [got[i] for i in range(len(x))] == want.tolist()
+
+
 def test_no_vectors(spark):
     assert pq_dedup.vector_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert [tuple(r) for r in pq_dedup.vector_links(spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")).collect()] == [(1, 0, 1, True)]
