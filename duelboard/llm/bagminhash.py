@@ -214,6 +214,11 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     connected member. In buckets whose members still lie in different classes, all of
     these are compared, chunk by chunk, so no link between a bucket's members is lost.
     """
+    return _classes(docs, similarity).select("doc_id", "class_id", "n_class", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+def _classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, node, check, class_node, class_check, class_id, n_class of every row; node and check are the text's, the class's two tell classes of equal id apart."""
     column_id, text = column(docs, "doc_id"), column(docs, "text")
     node, check = text_node(F.coalesce(text, F.lit("\u0000null")))
     signed = docs.select(column_id.alias("doc_id"), node.alias("node"), check.alias("check"), _signed(text).alias("s"))
@@ -250,8 +255,15 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     own = firsts.where("main").join(labels, "node").select("node", "check", "component", "first_id", "n")
     per_class = own.groupBy("component").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("n_class"))
     classes = firsts.join(own.select("node", "check", "component"), ["node", "check"], "left").join(per_class, "component", "left")
-    classes = classes.select("node", "check", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("n_class", "n").alias("n_class"))
-    return signed.select("doc_id", "node", "check").join(classes, ["node", "check"]).select("doc_id", "class_id", "n_class", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    classes = classes.select(
+        "node",
+        "check",
+        F.coalesce("component", "node").alias("class_node"),
+        F.when(F.col("component").isNull(), F.col("check")).otherwise(F.lit(-1)).alias("class_check"),
+        F.coalesce("class_id", "first_id").alias("class_id"),
+        F.coalesce("n_class", "n").alias("n_class"),
+    )
+    return signed.select("doc_id", "node", "check").join(classes, ["node", "check"])
 
 
 def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -301,17 +313,22 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, unchanged, that stay: one of each near-duplicate class.
 
-    It is the row with the class's smallest id. Rows that repeat both id and text count
-    once; rows without an id stay if their class has no id at all.
+    It is the row with the class's smallest id; of rows with that id and different texts
+    of the class, one. Rows that repeat both id and text count once; rows without an id
+    stay if their class has no id at all.
     """
-    classes = near_duplicate_classes(docs)
-    classes = cut(classes.where("kept").select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    once = classes.where("n = 1 or doc_id is null").select(F.col("doc_id").alias("kept_id"))
-    repeated = classes.where("n > 1 and doc_id is not null").select(F.col("doc_id").alias("kept_id"))
+    rows = _classes(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    texts = rows.groupBy("class_node", "class_check", "doc_id", "node", "check").agg(F.count("*").alias("n"))
+    first = F.min_by(F.struct("node", "check", "n"), F.struct("node", "check")).alias("first")
+    named = texts.where("doc_id is not null").groupBy("class_node", "class_check", "doc_id").agg(first).select("doc_id", "first.*")
+    classes = cut(named.unionByName(texts.where("doc_id is null").select("doc_id", "node", "check", "n")), "kept")
+    wanted = classes.select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"), F.col("check").alias("kept_check"), "n")
     key = column(docs, "doc_id")
-    single = docs.join(once, key.eqNullSafe(F.col("kept_id")), "left_semi")
+    node, check = text_node(F.coalesce(column(docs, "text"), F.lit("\u0000null")))
+    same = (node == F.col("kept_node")) & (check == F.col("kept_check"))
+    single = docs.join(wanted.where("n = 1 or kept_id is null").drop("n"), key.eqNullSafe(F.col("kept_id")) & same, "left_semi")
+    repeated = wanted.where("n > 1 and kept_id is not null").drop("n")
     if repeated.isEmpty():
         return single
-    node, _ = text_node(F.coalesce(column(docs, "text"), F.lit("\u0000null")))
-    again = docs.join(repeated, key == F.col("kept_id"), "left_semi")
+    again = docs.join(repeated, (key == F.col("kept_id")) & same, "left_semi")
     return single.unionByName(again.withColumn("_text_key", node).dropDuplicates(["doc_id", "_text_key"]).drop("_text_key"))

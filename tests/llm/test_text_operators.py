@@ -254,6 +254,16 @@ def test_near_duplicates_against_brute_force(make_docs, edge_rows):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(classes)
 
 
+def test_kept_rows_follow_their_text(make_docs):
+    rng = random.Random(12)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    rows = [(5, a), (5, b), (3, b + " more"), (7, c), (7, c + " more"), (7, c), (8, "other"), (8, "other"), (None, "no id"), (None, "no id")]
+    kept = Counter((r["doc_id"], r["text"]) for r in bagminhash.keep_one_of_each(make_docs(rows)).collect())
+    seven = [t for i, t in kept if i == 7]
+    assert len(seven) == 1 and seven[0] in (c, c + " more")
+    assert kept == Counter({(5, a): 1, (3, b + " more"): 1, (7, seven[0]): 1, (8, "other"): 1, (None, "no id"): 2})
+
+
 def test_near_duplicates_of_nothing(make_docs):
     assert bagminhash.near_duplicate_classes(make_docs([])).count() == 0
     assert bagminhash.keep_one_of_each(make_docs([])).count() == 0
