@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelboard.llm.tables import table
+from duelboard.llm.tables import in_fold, table
 
 #: Rules of the URL filter: fixed values.
 URL_RULES = [
@@ -92,6 +92,31 @@ def op10_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_sync_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from duelboard.llm.sync_runs import run_digests
+
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from duelboard.llm.threshold_negatives import hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, label)
+
+
+def op13_mph_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four fifths of the rows, told by their id, are the history."""
+    from pyspark.sql import functions as F
+
+    from duelboard.llm.mph_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"), ~in_fold(F.col("doc_id"), 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -105,6 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_surrogates,
         op9_ppm_scores,
         op10_license_windows,
+        op11_sync_runs,
+        op12_threshold_negatives,
+        op13_mph_exact_dedup,
     )
 }
 
@@ -145,5 +173,35 @@ with parts as (
 )
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
 from parts left join fits using (page_id)
+""",
+    # whole numbers as doubles: exact for these components
+    "op12_threshold_negatives": r"""
+with good as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from good a join good b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, other_id as positive_id, score as positive_score
+  from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select p.anchor_id, p.positive_id, p.positive_score, n.other_id as negative_id, n.score as negative_score,
+  row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other_id)::int as rank
+from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+where 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other_id) <= 5
+""",
+    "op13_mph_exact_dedup": r"""
+with d as (
+  select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as text_sha256 from documents
+)
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept, text_sha256
+from d window same as (partition by text_sha256)
 """,
 }
