@@ -150,11 +150,13 @@ def failed_calls(replies: DataFrame) -> DataFrame:
 
 
 def read_results(replies: DataFrame, model: str, system_prompt: str | None = None) -> DataFrame:
-    """Judged rows from instruction, labels, reply, error; failed calls are left out.
+    """Judged rows from instruction, labels, reply; failed calls are left out.
 
-    ``usage`` is carried along where the replies have it.
+    A call failed if it has no reply, or an ``error`` where the replies have that column;
+    ``usage`` is carried along where they have it.
     """
-    replies = replies.where(F.col("error").isNull() & F.col("reply").isNotNull())
+    error = F.col("error") if "error" in replies.columns else F.lit(None).cast("string")
+    replies = replies.where(error.isNull() & F.col("reply").isNotNull())
     usage = F.col("usage") if "usage" in replies.columns else F.lit(None).cast("map<string,bigint>")
     parsed = replies.withColumn("_p", parse_comparison(F.col("reply")))
     settled = parsed.withColumn("_s", settle_winner(F.col("_p.winner"), F.col("labels")))

@@ -7,7 +7,7 @@ DATA = "/root/testdata/sf0.001"
 TABLES = ("documents", "events", "conversations", "lineitem", "pages")
 SAMPLE = (
     "s3_answers_directory", "p7_reject_preview", "c1_verdict_label", "c2_comparison_reply", "c7_parse_transcript",
-    "c17_style_metadata", "j3_coverage_gaps", "j8_common_instructions", "j9_style_joined_battles", "a2_model_scores",
+    "c17_style_metadata", "j3_coverage_gaps", "j8_common_instructions", "j9_style_joined_battles", "j11_winner_name", "a2_model_scores",
     "a3_bootstrap_draws", "a13_win_rates", "a14_best_and_worst", "w4_running_history", "k7_text_leaderboard",
     "e2_pairwise_judging", "e4_preference_pairs", "st4_sessions",
 )
