@@ -17,6 +17,7 @@ from duelboard.plans.judging import judge_games, merge_judgments, pending_games
 from duelboard.plans.preference import build_pairs, score_responses
 from duelboard.session import scratch_dir
 from duelboard.streaming import ingest as ST
+from duelboard.streaming import windows as SW
 
 NAMES = ["chosen", "sft", "beta_dpo"]
 _LABELS = [*K.LABEL_SCORES, "junk"]
@@ -331,6 +332,12 @@ def _(t):
 # -- streams ------------------------------------------------------------------
 
 
+def _plain_times(df):
+    """Timestamp columns as the zone-less times of the events table."""
+    times = [n for n, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({n: as_plain_time(F.col(n)) for n in times})
+
+
 def _event_stream(t):
     """Judgments as a stream over the events table, in the stored shape."""
     schema = t.table("events").schema
@@ -338,38 +345,46 @@ def _event_stream(t):
     return t.judgments_from(events).withColumn("ts", as_event_time(F.col("ts")))
 
 
-def _plain_times(df):
-    """Timestamp columns as the zone-less times of the events table."""
-    times = [n for n, kind in df.dtypes if kind == "timestamp"]
-    return df.withColumns({n: as_plain_time(F.col(n)) for n in times})
+#: The events arrive in three parts, by ten days; some come one part later, some in the last.
+_ARRIVES = "case when event_id % 25 = 7 then 2 else least(2, (day(ts) - 1) @ 10 + case when event_id % 10 = 3 then 1 else 0 end) end"
+_ARRIVED_SQL = f"""
+events_in as (select event_id, {_ARRIVES.replace("@", "//")} arrives from events),
+arrived as (select j.*, e.arrives from judgments_raw j join events_in e on e.event_id = j.ord)"""
+#: Rows on time for windows whose rows end at ``closes``: the watermark is an hour behind the parts before.
+_ON_TIME_SQL = f"""
+{_ARRIVED_SQL},
+marks as (select max(ts) filter (arrives = 0) - interval 1 hour m1, max(ts) filter (arrives <= 1) - interval 1 hour m2,
+                 date_trunc('milliseconds', max(ts)) - interval 1 hour done from arrived),
+timed as (select a.*, m.done, case arrives when 1 then m1 when 2 then m2 end mark, @CLOSES closes from arrived a, marks m),
+on_time as (select * from timed where mark is null or closes > mark)"""
+_DAY_SQL = _ON_TIME_SQL.replace("@CLOSES", "time_bucket(interval 1 day, ts) + interval 1 day")
 
 
-def _fed(t, parts=3):
-    """The judgments as a stream of several files, the later ones with older times."""
+def _parts(t):
+    """Feeds the three parts of the events, one after the other; yields the judgments as a stream over what has been fed."""
     source = scratch_dir(t.spark, "feed")
-    events = t.table("events")
-    for i in range(parts):
-        events.where(F.col("event_id") % parts == parts - 1 - i).coalesce(1).write.mode("append").parquet(source)
-    stream = ST.file_stream(t.spark, source, events.schema, "parquet", files_per_trigger=1)
-    return t.judgments_from(stream).withColumn("ts", as_event_time(F.col("ts")))
+    events = t.table("events").withColumn("part", F.expr(_ARRIVES.replace("@", "div")))
+    for part in range(3):
+        events.where(F.col("part") == part).drop("part").write.mode("append").parquet(source)
+        stream = ST.file_stream(t.spark, source, t.table("events").schema, "parquet")
+        yield t.judgments_from(stream).withColumn("ts", as_event_time(F.col("ts")))
 
 
 @query(
     "st1_ingest_once",
-    """
-select uid || '/' || judge || '/' || model as key, count(*) n from judgments_raw group by 1 having n >= 1""",
+    f"""
+with {_ARRIVED_SQL}
+select uid || '/' || judge || '/' || model as key, arg_min(ord, (arrives, ord)) ord, count(*) n from arrived group by 1""",
 )
 def _(t):
-    """One row per key from several files, run twice; counts come from the batch side."""
-    keyed = _fed(t).select(F.concat_ws("/", "uid", "judge", "model").alias("key"), "ts", "ord")
+    """The first arrival of every key, over three batches and a new checkpoint; counts come from the batch side."""
+    key = F.concat_ws("/", "uid", "judge", "model").alias("key")
     path, checkpoint = scratch_dir(t.spark, "once"), scratch_dir(t.spark, "once-state")
-    ST.first_per_key(keyed, path, checkpoint, ["key"])
-    ST.first_per_key(keyed, path, scratch_dir(t.spark, "once-state"), ["key"])  # a new checkpoint adds nothing
-    once = t.spark.read.parquet(path).select("key")
-    counts = t.judgments().groupBy(F.concat_ws("/", "uid", "judge", "model").alias("key")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return once.join(counts, "key")
+    for stream in _parts(t):
+        ST.first_per_key(stream.select(key, "ts", "ord"), path, checkpoint, ["key"])
+    ST.first_per_key(stream.select(key, "ts", "ord"), path, scratch_dir(t.spark, "once-state"), ["key"])  # adds nothing
+    counts = t.judgments().groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return t.spark.read.parquet(path).select("key", "ord").join(counts, "key")
 
 
 @query(
@@ -389,7 +404,7 @@ def _(t):
     )
     path, checkpoint = scratch_dir(t.spark, "winners"), scratch_dir(t.spark, "winners-state")
     ST.replace_per_batch(ST.running_winners(rows), path, checkpoint)
-    return t.spark.read.parquet(path)
+    return ST.newest(t.spark, path)
 
 
 @query(
@@ -399,58 +414,80 @@ def _(t):
 def _(t):
     path, checkpoint = scratch_dir(t.spark, "scores"), scratch_dir(t.spark, "scores-state")
     ST.replace_per_batch(ST.running_scores(_event_stream(t)), path, checkpoint)
-    return t.spark.read.parquet(path).withColumn("score", F.round("score", 9))
+    return ST.newest(t.spark, path).withColumn("score", F.round("score", 9))
+
+
+def _daily_panes(t):
+    """Folder with the closed days per judge and the rows that came too late for theirs, after three batches."""
+    folder, checkpoint = scratch_dir(t.spark, "days"), scratch_dir(t.spark, "days-state")
+    for stream in _parts(t):
+        SW.count_panes(stream, folder, checkpoint, "ts", "1 hour", "1 day", ["judge"])
+    return folder
 
 
 @query(
     "st4_windowed_throughput",
-    """
-select time_bucket(interval 1 day, ts) window_start, time_bucket(interval 1 day, ts) + interval 1 day window_end, judge, count(*) n
-from judgments_raw group by all""",
+    f"""
+with {_DAY_SQL}
+select closes - interval 1 day window_start, closes window_end, judge, count(*) n
+from on_time where closes <= done group by all""",
 )
 def _(t):
-    path, checkpoint = scratch_dir(t.spark, "tumbling"), scratch_dir(t.spark, "tumbling-state")
-    windows = ST.throughput(_event_stream(t), "ts", "1 hour", "1 day")
-    ST.replace_per_batch(windows, path, checkpoint)
-    return _plain_times(t.spark.read.parquet(path))
+    """Days that have ended, written once each while the parts arrive."""
+    return _plain_times(SW.closed_windows(t.spark, _daily_panes(t), "1 hour", "1 day", ["judge"]))
 
 
 @query(
     "st4_sliding_throughput",
-    """
-select ws window_start, ws + interval 2 days window_end, judge, count(*) n
-from (select judge, time_bucket(interval 1 day, ts) - to_days(cast(unnest([0, 1]) as int)) ws from judgments_raw) group by all""",
+    f"""
+with {_DAY_SQL},
+pairs as (select judge, done, closes + to_days(cast(unnest([0, 1]) as int)) window_end from on_time where closes <= done)
+select window_end - interval 2 days window_start, window_end, judge, count(*) n from pairs where window_end <= done group by all""",
+)
+def _(t):
+    """Two days, every day: sums of two closed panes."""
+    return _plain_times(SW.closed_windows(t.spark, _daily_panes(t), "1 hour", "1 day", ["judge"], 2))
+
+
+@query(
+    "st4_late_rows",
+    f"""
+with {_DAY_SQL} select uid, judge, model, ts, ord, mark as watermark from timed where closes <= mark""",
 )
 def _(t):
-    path, checkpoint = scratch_dir(t.spark, "sliding"), scratch_dir(t.spark, "sliding-state")
-    windows = ST.throughput(_event_stream(t), "ts", "1 hour", "2 days", "1 day")
-    ST.replace_per_batch(windows, path, checkpoint)
-    return _plain_times(t.spark.read.parquet(path))
+    """The rows that came after their day had ended, with the watermark that they met."""
+    late = SW.late_rows(t.spark, _daily_panes(t))
+    return _plain_times(late.select("uid", "judge", "model", "ts", "ord", "watermark"))
 
 
 @query(
     "st4_sessions",
-    """
-with g as (select judge, ts, case when lag(ts) over w is null or ts - lag(ts) over w >= interval 15 minutes then 1 else 0 end b
-           from judgments_raw window w as (partition by judge order by ts)),
-s as (select judge, ts, sum(b) over (partition by judge order by ts rows unbounded preceding) k from g)
-select judge, min(ts) session_start, max(ts) + interval 15 minutes session_end, count(*) n from s group by judge, k""",
+    f"""
+with {_ON_TIME_SQL.replace("@CLOSES", "ts")},
+g as (select judge, ts, done, case when lag(ts) over w is null or ts - lag(ts) over w >= interval 15 minutes then 1 else 0 end b
+      from on_time window w as (partition by judge order by ts)),
+s as (select judge, ts, done, sum(b) over (partition by judge order by ts rows unbounded preceding) k from g),
+ended as (select judge, min(ts) session_start, max(ts) + interval 15 minutes session_end, count(*) n, any_value(done) done from s group by judge, k)
+select judge, session_start, session_end, n from ended where session_end <= done""",
 )
 def _(t):
-    path, checkpoint = scratch_dir(t.spark, "sessions"), scratch_dir(t.spark, "sessions-state")
-    rows = ST.sessions(_event_stream(t), "ts", "1 hour", "15 minutes")
-    ST.replace_per_batch(rows, path, checkpoint)
-    return _plain_times(t.spark.read.parquet(path))
+    """Sessions that have ended, over three batches with late rows."""
+    folder, checkpoint = scratch_dir(t.spark, "sessions"), scratch_dir(t.spark, "sessions-state")
+    for stream in _parts(t):
+        SW.count_sessions(stream, folder, checkpoint, "ts", "1 hour", "15 minutes", ["judge"])
+    return _plain_times(t.spark.read.parquet(f"{folder}/sessions"))
 
 
 @query(
     "st5_merge_batches",
-    """
-select uid, max(ord) ord from judgments_raw
-where n_games = 2 and null_game = 0 and g1 is not null and g2 is not null group by 1""",
+    f"""
+with {_ARRIVED_SQL},
+good as (select * from arrived where n_games = 2 and null_game = 0 and g1 is not null and g2 is not null)
+select uid, arg_max(ord, (-arrives, ord)) ord from good group by 1""",
 )
 def _(t):
+    """Complete judgments merged over three batches: stored ones stay, of a batch the last one is stored."""
     path, checkpoint = scratch_dir(t.spark, "merged"), scratch_dir(t.spark, "merged-state")
-    rows = _event_stream(t).select("uid", "category", "model", "games", "ord")
-    ST.merge_batches(rows, path, checkpoint, ["uid"])
+    for stream in _parts(t):
+        ST.merge_batches(stream.select("uid", "category", "model", "games", "ord"), path, checkpoint, ["uid"])
     return t.spark.read.parquet(path).select("uid", "ord")

@@ -20,13 +20,7 @@ from duelboard.operators.keyed import (
     keep_first,
     keep_last,
 )
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path (on any Hadoop file system) exists."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(hadoop_path))
+from duelboard.sources.folders import path_exists
 
 
 def read_jsonl(spark: SparkSession, path, schema: str, mode: str = "FAILFAST") -> DataFrame:

@@ -21,13 +21,9 @@ from duelboard.operators.judgments import (
     mean_score,
     split_judgments,
 )
-from duelboard.operators.keyed import keep_first, keep_last, without
 from duelboard.operators.tally import tally_key
-from duelboard.sources.readers import path_exists
-
-
-#: Directories that the keys of a growing table are hashed into.
-KEY_BUCKETS = 16
+from duelboard.sources.folders import list_names, modified, remove_path
+from duelboard.streaming.keyed_state import one_row_per_key
 
 
 def file_stream(
@@ -50,11 +46,9 @@ def file_stream(
 def first_per_key(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: str = "ord") -> None:
     """Append the first arrival of every key to ``table``, however late it comes.
 
-    Each batch keeps its first row per key (the smallest ``order``) and leaves out the
-    keys that the table holds. Stored keys are the only state, so nothing expires and no
-    first arrival is lost.
+    Of the batch that brings a key the row with the smallest ``order`` is kept.
     """
-    _append_new(stream, table, checkpoint, keys, lambda batch: keep_first(batch, keys, order))
+    one_row_per_key(stream, table, checkpoint, keys, order)
 
 
 def running_winners(stream: DataFrame) -> DataFrame:
@@ -74,34 +68,6 @@ def running_scores(stream: DataFrame) -> DataFrame:
     )
 
 
-def throughput(stream: DataFrame, time: str, delay: str, length: str, slide: str | None = None) -> DataFrame:
-    """Judgments per tumbling or sliding window and judge."""
-    window = F.window(time, length, slide) if slide else F.window(time, length)
-    return (
-        stream.withWatermark(time, delay)
-        .groupBy(window.alias("w"), "judge")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "judge", "n"
-        )
-    )
-
-
-def sessions(stream: DataFrame, time: str, delay: str, gap: str) -> DataFrame:
-    """Judging sessions per judge: activity without a pause longer than ``gap``."""
-    return (
-        stream.withWatermark(time, delay)
-        .groupBy(F.session_window(time, gap).alias("w"), "judge")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.col("w.start").alias("session_start"),
-            F.col("w.end").alias("session_end"),
-            "judge",
-            "n",
-        )
-    )
-
-
 def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run to the end of the available input, appending parquet files."""
     query = (
@@ -116,13 +82,20 @@ def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def replace_per_batch(stream: DataFrame, path: str, checkpoint: str, mode: str = "complete") -> None:
-    """Keep the newest complete result: each batch overwrites the table.
+    """Keep the newest complete result, to be read with ``newest``.
 
-    A replayed batch writes the same rows again.
+    Each batch writes a version of its own below ``path`` and then removes the older ones,
+    so a crash leaves the last whole version in place. A replayed batch writes its
+    version again.
     """
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
 
-    def save(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark, own = batch.sparkSession, f"v-{run}-{batch_id}"
+        batch.write.mode("overwrite").parquet(f"{path}/{own}")
+        for name in _versions(spark, path):
+            if name != own:
+                remove_path(spark, f"{path}/{name}")
 
     query = (
         stream.writeStream.outputMode(mode)
@@ -134,6 +107,17 @@ def replace_per_batch(stream: DataFrame, path: str, checkpoint: str, mode: str =
     query.awaitTermination()
 
 
+def newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version that ``replace_per_batch`` has written."""
+    return spark.read.parquet(f"{path}/{_versions(spark, path)[-1]}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the whole versions, the oldest first."""
+    done = [(made, name) for name in list_names(spark, path) if (made := modified(spark, f"{path}/{name}/_SUCCESS")) is not None]
+    return [name for _, name in sorted(done)]
+
+
 def merge_batches(
     stream: DataFrame,
     table: str,
@@ -142,39 +126,10 @@ def merge_batches(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     order: str = "ord",
 ) -> None:
-    """Merge each batch's complete judgments into a growing table.
-
-    Stored complete rows never change, so merging is appending the keys that are not
-    stored yet.
-    """
-
-    def chosen(batch: DataFrame) -> DataFrame:
-        fresh = prepare(batch) if prepare else batch
-        return keep_last(fresh.where(is_complete(F.col("games"))), keys, order)
-
-    _append_new(stream, table, checkpoint, keys, chosen)
+    """Merge complete judgments into a growing table.
 
-
-def _append_new(stream: DataFrame, table: str, checkpoint: str, keys: list[str], choose: Callable[[DataFrame], DataFrame]) -> None:
-    """Append each batch's chosen rows whose keys are not stored, as ``run=<id>/batch=<id>``.
-
-    The run is named after the checkpoint, so a new checkpoint on an existing table adds
-    to it and overwrites nothing. A replayed batch rewrites its own directory, after the
-    anti-join with all others. Keys are hashed into ``KEY_BUCKETS`` directories; a batch
-    reads the stored keys of the buckets it touches.
+    Stored complete rows never change: of the batch that first brings a complete row of a
+    key, its last such row (by ``order``) is stored. ``prepare`` is applied to the stream.
     """
-    run = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
-        rows = choose(batch).withColumn("bucket", bucket)
-        if path_exists(spark, table):
-            touched = [r[0] for r in rows.select("bucket").distinct().collect()]
-            stored = spark.read.option("basePath", table).parquet(table).where(F.col("bucket").isin(touched))
-            earlier = stored.where((F.col("run") != f"r{run}") | (F.col("batch") != batch_id))
-            rows = without(rows, earlier, keys)
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/run=r{run}/batch={batch_id}")
-
-    query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(save).start()
-    query.awaitTermination()
+    fresh = prepare(stream) if prepare else stream
+    one_row_per_key(fresh.where(is_complete(F.col("games"))), table, checkpoint, keys, order, last=True)
