@@ -16,25 +16,38 @@ def without(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def _pick(df: DataFrame, keys: list[str], order: str, pick) -> DataFrame:
-    """One row per key by a mergeable aggregate.
+def matching(rows: DataFrame, chosen: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose ``on`` columns occur in ``chosen``, nulls being equal; ``chosen`` has no row twice.
 
-    Rows are combined before the shuffle, so a key that holds a large share of
-    the input sends one row per task instead of all its rows to one task.
+    ``chosen`` is narrow and is the hashed side, so wide rows are moved at most once and
+    never sorted. All ``on`` columns place a row, so a frequent value of one of them does
+    not gather in one task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(order)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(
-        *df.columns
-    )
+    named = chosen.select(*[F.col(c).alias(f"_chosen_{c}") for c in on]).hint("shuffle_hash")
+    same = [F.col(c).eqNullSafe(F.col(f"_chosen_{c}")) for c in on]
+    condition = same[0]
+    for part in same[1:]:
+        condition = condition & part
+    return rows.join(named, condition, "left_semi")
+
+
+def _pick(df: DataFrame, keys: list[str], order: str, best) -> DataFrame:
+    """The row of each key with the best ``order``; ``order`` tells the rows of a key apart.
+
+    Only keys and orders are aggregated, before the shuffle too, so a key that holds a
+    large share of the input sends one short row per task. The other columns are fetched
+    afterwards, for the rows that were picked.
+    """
+    picked = df.groupBy(*keys).agg(best(order).alias(order))
+    return matching(df, picked, [*keys, order])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
-    return _pick(df, keys, order, F.min_by)
+    return _pick(df, keys, order, F.min)
 
 
 def keep_last(df: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
-    return _pick(df, keys, order, F.max_by)
+    return _pick(df, keys, order, F.max)
 
 
 def file_table(rows: DataFrame, file: str = "file_name", order: str = "ord") -> DataFrame:

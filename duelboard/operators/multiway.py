@@ -36,30 +36,28 @@ def first_outputs(candidates: DataFrame) -> DataFrame:
     )
 
 
+def _everywhere(names: list[str]) -> Column:
+    everywhere = F.lit(True)
+    for i in range(len(names)):
+        everywhere = everywhere & F.col(f"has_{i}")
+    return everywhere
+
+
 def common_instructions(candidates: DataFrame, names: list[str]) -> DataFrame:
-    """instruction and one output column per candidate, for instructions all have.
+    """instruction and the outputs of all candidates, for instructions that all have.
 
-    One grouping does the first-row-wins rule and the N-way intersection: the
-    first output of each candidate is a mergeable aggregate, so repeated
-    instructions shrink before the shuffle and no join is needed.
+    One grouping of instructions and row numbers does the first-row-wins rule and the
+    N-way intersection; the output texts are fetched for the rows that it has picked.
     """
     usable = usable_outputs(candidates).where(F.col("name").isin(names))
-    firsts = [
-        F.min_by("output", F.when(F.col("name") == name, F.col("ord"))).alias(f"output_{i}")
-        for i, name in enumerate(names)
-    ]
+    firsts = [F.min(F.when(F.col("name") == name, F.col("ord"))).alias(f"ord_{i}") for i, name in enumerate(names)]
     present = [F.max(F.col("name") == name).alias(f"has_{i}") for i, name in enumerate(names)]
-    grouped = usable.groupBy("instruction").agg(*firsts, *present)
-    everywhere = F.lit(True)
-    for i in range(len(names)):
-        everywhere = everywhere & F.col(f"has_{i}")
-    outputs = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.col(f"output_{i}").alias("output"))
-            for i, name in enumerate(names)
-        ]
-    )
-    return grouped.where(everywhere).select("instruction", outputs.alias("outputs"))
+    rows = usable.groupBy("instruction").agg(*firsts, *present).where(_everywhere(names))
+    for i, name in enumerate(names):
+        own = usable.where(F.col("name") == name).select("instruction", F.col("ord").alias(f"ord_{i}"), F.col("output").alias(f"output_{i}"))
+        rows = rows.join(own, ["instruction", f"ord_{i}"])
+    outputs = [F.struct(F.lit(name).alias("name"), F.col(f"output_{i}").alias("output")) for i, name in enumerate(names)]
+    return rows.select("instruction", F.array(*outputs).alias("outputs"))
 
 
 def coverage_counts(candidates: DataFrame, names: list[str]) -> DataFrame:
@@ -67,9 +65,7 @@ def coverage_counts(candidates: DataFrame, names: list[str]) -> DataFrame:
     usable = usable_outputs(candidates).where(F.col("name").isin(names))
     flags = [F.max(F.col("name") == name).alias(f"has_{i}") for i, name in enumerate(names)]
     per = usable.groupBy("instruction").agg(*flags)
-    everywhere = F.lit(True)
-    for i in range(len(names)):
-        everywhere = everywhere & F.col(f"has_{i}")
+    everywhere = _everywhere(names)
     return per.agg(
         F.count(F.lit(1)).alias("instructions"),
         F.count_if(everywhere).alias("shared"),
