@@ -44,16 +44,12 @@ def stub_judge():
 def stub_repair():
     """Repairs by prompt length; some requests fail."""
 
-    def reply(pdf):
-        out = []
-        for messages in pdf["messages"]:
-            n = len(messages[-1]["content"])
-            if n % 5 == 0:
-                raise RuntimeError("endpoint unavailable")
-            out.append("[[A=B]]")
-        return out
+    def answer(row):
+        if len(row["messages"][-1]["content"]) % 5 == 0:
+            raise RuntimeError("endpoint unavailable")
+        return "[[A=B]]"
 
-    return reply
+    return R.one_by_one(answer)
 
 
 def failing_winner():
@@ -223,31 +219,53 @@ def _(t):
 # -- whole workflows ----------------------------------------------------------
 
 
-@query(
-    "e2_pairwise_judging",
-    f"""
-with {_GAMES_SQL},
-fresh as (select uid, max(score) filter (game_no = 1) g1, max(score) filter (game_no = 2) g2 from scored
-          group by 1 having count(score) = 2)
-select uid, g1, g2, 'new' origin from fresh
-union all
-select j.uid, arg_max(g1, j.ord), arg_max(g2, j.ord), 'old' from judgments_raw j join judged d using (uid)
-where d.complete and judge = 'gpt-4.1' and model = '{TARGET}' group by 1""",
-)
-def _(t):
-    """Pending games, judged, repaired, assembled and merged with stored rows."""
-    stored = _judged(t).withColumn("baseline", F.lit(None).cast("string"))
-    games = pending_games(t.view("questions"), t.answers(), stored, TARGET, t.settings())
-    scored = judge_games(games, stub_judge, scratch_dir(t.spark, "games"), stub_repair)
-    merged = merge_judgments(stored, scored, "gpt-4.1", TARGET)
+_RECORD_SQL = f"""
+{_GAMES_SQL},
+record as (select *, md5(msg) prompt, md5(reply) judgment, case when s1 is null and score is not null then '[[A=B]]' end repair from scored),
+fresh as (select uid, max(score) filter (game_no = 1) g1, max(score) filter (game_no = 2) g2,
+            max(prompt) filter (game_no = 1) prompt_1, max(prompt) filter (game_no = 2) prompt_2,
+            max(judgment) filter (game_no = 1) judgment_1, max(judgment) filter (game_no = 2) judgment_2,
+            max(repair) filter (game_no = 1) repair_1, max(repair) filter (game_no = 2) repair_2
+          from record group by 1 having count(score) = 2),
+old as (select j.uid, arg_max(g1, j.ord) g1, arg_max(g2, j.ord) g2 from judgments_raw j join judged d using (uid)
+        where d.complete and judge = 'gpt-4.1' and model = '{TARGET}' group by 1)
+select uid, g1, g2, 'new' origin, prompt_1, prompt_2, judgment_1, judgment_2, repair_1, repair_2 from fresh
+union all select uid, g1, g2, 'old', null, null, null, null, null, null from old"""
+
+
+def _records(merged):
+    """The fields of both games of each record, long texts as digests."""
+    games = [F.col("games")[k] for k in (0, 1)]
     return merged.select(
         "uid",
-        F.col("games")[0]["score"].alias("g1"),
-        F.col("games")[1]["score"].alias("g2"),
+        *[g["score"].alias(f"g{k}") for k, g in enumerate(games, 1)],
         F.when(F.col("baseline").isNull(), "old").otherwise("new").alias("origin"),
+        *[F.md5(g["prompt"][1]["content"]).alias(f"prompt_{k}") for k, g in enumerate(games, 1)],
+        *[F.md5(g["judgment"]["answer"]).alias(f"judgment_{k}") for k, g in enumerate(games, 1)],
+        *[g["repair"]["judgment"]["answer"].alias(f"repair_{k}") for k, g in enumerate(games, 1)],
     )
 
 
+@query("e2_pairwise_judging", f"with {_RECORD_SQL}")
+def _(t):
+    """Pending games, judged, repaired, assembled to full records and merged with stored rows."""
+    stored = _judged(t).withColumn("baseline", F.lit(None).cast("string"))
+    games = pending_games(t.view("questions"), t.answers(), stored, TARGET, t.settings())
+    scored = judge_games(games, stub_judge, scratch_dir(t.spark, "games"), stub_repair)
+    return _records(merge_judgments(stored, scored, "gpt-4.1", TARGET))
+
+
+@query("e2_resumed_judging", f"with {_RECORD_SQL}")
+def _(t):
+    """The same over two runs: half of the questions first, then all with the same store."""
+    stored = _judged(t).withColumn("baseline", F.lit(None).cast("string"))
+    games = pending_games(t.view("questions"), t.answers(), stored, TARGET, t.settings())
+    store = scratch_dir(t.spark, "games")
+    judge_games(games.where(F.crc32(F.col("uid").cast("binary")) % 2 == 0), stub_judge, store, stub_repair)
+    scored = judge_games(games, stub_judge, store, stub_repair)
+    return _records(merge_judgments(stored, scored, "gpt-4.1", TARGET))
+
+
 _ROUND_SQL = f"""
 {_COMMON_SQL}, {_ORDER_SQL},
 asked as (select instruction, o, length({sql_fill(K.THREE_WAY_TEMPLATE, instruction="instruction", output_a="o[1].output", output_b="o[2].output", output_c="o[3].output")}) n

@@ -5,46 +5,73 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from duelboard import constants as K
+from duelboard import schemas
 from duelboard.functions.prompts import repair_failure, repair_messages
 from duelboard.functions.verdicts import parse_label
 
 
-def call_judge(requests: DataFrame, make_reply: Callable, columns: list[str]) -> DataFrame:
+def call_judge(requests: DataFrame, make_reply: Callable, columns: list[str], again: int = 1) -> DataFrame:
     """Add ``reply`` and ``error`` by running a reply function on Arrow batches.
 
     ``make_reply()`` is called once per task and returns ``f(pandas.DataFrame) ->
-    sequence of texts``. A failing batch is retried row by row so one bad request
-    becomes one error row (the dead letter) and the others survive.
+    sequence``, with a text for each row or, where its call failed, the exception. Only
+    the rows that failed are sent again, ``again`` times, and then become error rows (the
+    dead letters). A function that raises for a whole batch says nothing about its rows,
+    so these are sent one by one. ``one_by_one`` makes such a function from one that
+    answers a single request.
     """
     kept = requests.select(*columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
 
     def run(batches):
         reply_fn = make_reply()
-        for pdf in batches:
+
+        def send(pdf):
             try:
-                replies, errors = list(reply_fn(pdf)), [None] * len(pdf)
-                if len(replies) != len(pdf):
+                said = list(reply_fn(pdf))
+                if len(said) != len(pdf):
                     raise RuntimeError("reply count differs from request count")
-            except Exception:
-                replies, errors = [], []
-                for i in range(len(pdf)):
-                    try:
-                        (reply,) = reply_fn(pdf.iloc[i : i + 1])
-                        replies.append(reply)
-                        errors.append(None)
-                    except Exception as exc:
-                        replies.append(None)
-                        errors.append(f"{type(exc).__name__}: {exc}")
-            yield pdf.assign(reply=replies, error=errors)
+                return said
+            except Exception as exc:
+                if len(pdf) == 1:
+                    return [exc]
+                return [send(pdf.iloc[i : i + 1])[0] for i in range(len(pdf))]
+
+        for pdf in batches:
+            said = send(pdf)
+            for _ in range(again):
+                failed = [i for i, value in enumerate(said) if isinstance(value, Exception)]
+                for i, value in zip(failed, send(pdf.iloc[failed]) if failed else []):
+                    said[i] = value
+            bad = [isinstance(value, Exception) for value in said]
+            yield pdf.assign(
+                reply=[None if b else value for b, value in zip(bad, said)],
+                error=[f"{type(value).__name__}: {value}" if b else None for b, value in zip(bad, said)],
+            )
 
     return kept.mapInPandas(run, f"{schema}, reply string, error string")
 
 
+def one_by_one(answer: Callable) -> Callable:
+    """Reply function from ``answer(row) -> text``; a row's exception stays with the row."""
+
+    def reply(pdf):
+        said = []
+        for row in pdf.to_dict("records"):
+            try:
+                said.append(answer(row))
+            except Exception as exc:
+                said.append(exc)
+        return said
+
+    return reply
+
+
 def with_labels(replies: DataFrame, patterns=K.VERDICT_PATTERNS) -> DataFrame:
     return replies.withColumn("score", parse_label(F.col("reply"), patterns))
 
@@ -61,16 +88,22 @@ def repair_requests(labelled: DataFrame) -> DataFrame:
     )
 
 
+def without_repairs(labelled: DataFrame) -> DataFrame:
+    """The columns of ``apply_repairs`` where nothing was repaired."""
+    return labelled.select(
+        "*",
+        F.lit(None).cast("array<struct<role:string,content:string>>").alias("repair_messages"),
+        F.lit(None).cast("string").alias("repair_reply"),
+        F.lit(False).alias("repaired"),
+        F.col("error").alias("failure"),
+    )
+
+
 def apply_repairs(
     labelled: DataFrame, repairs: DataFrame, patterns=K.VERDICT_PATTERNS
 ) -> DataFrame:
-    """Fill missing scores from the repair replies (uid, game_no, repair_reply)."""
-    parsed = repairs.select(
-        "uid",
-        "game_no",
-        F.col("repair_reply"),
-        parse_label(F.col("repair_reply"), patterns).alias("repair_score"),
-    )
+    """Fill missing scores from the repair replies (uid, game_no, repair_reply and, if kept, repair_messages)."""
+    parsed = repairs.withColumn("repair_score", parse_label(F.col("repair_reply"), patterns))
     joined = labelled.join(parsed, ["uid", "game_no"], "left")
     score = F.coalesce("score", "repair_score")
     return (
@@ -95,33 +128,42 @@ def apply_repairs(
     )
 
 
-def judgment_rows(scored: DataFrame, judge: str, model: str) -> DataFrame:
-    """One row per question with both games in order.
+def _answer(text: str) -> Column:
+    return F.struct(F.col(text).alias("answer"))
 
-    The two scores meet through mergeable aggregates. Questions with a game that
-    could not be scored are left for the next run.
-    """
 
-    def score(number: int):
-        return F.max(F.when(F.col("game_no") == number, F.col("score")))
+def judgment_rows(scored: DataFrame, judge: str, model: str) -> DataFrame:
+    """One record per question with both games in order: score, judgment, prompt, repair.
 
-    both = (
-        scored.groupBy("uid", "category", "baseline")
-        .agg(score(1).alias("_first"), score(2).alias("_second"))
-        .where(F.col("_first").isNotNull() & F.col("_second").isNotNull())
-    )
-    return both.select(
+    The two games of a question meet in a join. Questions with a game that could not be
+    scored are left for the next run.
+    """
+    repair = F.when(F.col("repaired"), F.struct(F.col("repair_messages").alias("prompt"), _answer("repair_reply").alias("judgment")))
+    game = F.struct("score", _answer("reply").alias("judgment"), F.col("messages").alias("prompt"), repair.alias("repair"))
+    good = scored.where(F.col("score").isNotNull())
+    first = good.where(F.col("game_no") == 1).select("uid", "category", "baseline", game.alias("_first"))
+    second = good.where(F.col("game_no") == 2).select("uid", game.alias("_second"))
+    return first.join(second, "uid").select(
         "uid",
         "category",
         F.lit(judge).alias("judge"),
         F.lit(model).alias("model"),
         "baseline",
-        F.array(
-            F.struct(F.col("_first").alias("score")), F.struct(F.col("_second").alias("score"))
-        ).alias("games"),
+        F.array("_first", "_second").cast(schemas.GAMES).alias("games"),
     )
 
 
+def as_records(judged: DataFrame) -> DataFrame:
+    """Judgments whose games have all fields of a record; absent ones are null."""
+    held = judged.schema["games"].dataType.elementType.fieldNames()
+    fields = {field.name: field.dataType for field in DataType.fromDDL(schemas.GAMES).elementType.fields}
+
+    def game(g: Column) -> Column:
+        return F.struct(*[(g[name] if name in held else F.lit(None)).cast(kind).alias(name) for name, kind in fields.items()])
+
+    return judged.withColumn("games", F.transform("games", lambda g: F.when(g.isNotNull(), game(g))))
+
+
 def batch_scores(make_scorer: Callable):
     """Pandas UDF (prompt, responses) -> scores, scoring a whole Arrow batch at once.
 

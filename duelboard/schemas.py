@@ -18,6 +18,14 @@ JUDGMENT = (
     "uid string, category string, judge string, model string, baseline string, "
     "games array<struct<score:string>>"
 )
+_MESSAGES = "array<struct<role:string,content:string>>"
+_JUDGED_BY = "struct<answer:string>"
+GAMES = (
+    f"array<struct<score:string,judgment:{_JUDGED_BY},prompt:{_MESSAGES},"
+    f"repair:struct<prompt:{_MESSAGES},judgment:{_JUDGED_BY}>>>"
+)
+#: A judgment with everything that was sent and said.
+JUDGMENT_RECORD = f"uid string, category string, judge string, model string, baseline string, games {GAMES}"
 CANDIDATE = "instruction string, raw_instruction string, output string, generator string"
 COMPARISON_RESULT = (
     "instruction string, comparison string, winner string, winner_key string, "

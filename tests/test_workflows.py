@@ -13,6 +13,9 @@ from duelboard.operators import tally as TA
 from duelboard.operators import turns as TN
 from duelboard.operators.leaderboard import baselines
 from duelboard.plans import comparison, judging, preference
+from duelboard.schemas import JUDGMENT_RECORD
+from duelboard.sources.readers import read_jsonl
+from duelboard.sources.writers import write_jsonl
 
 JUDGED = "uid string, category string, judge string, model string, baseline string, games array<struct<score:string>>"
 
@@ -97,6 +100,81 @@ def test_failed_calls_become_error_rows(spark):
     assert rows["3"] == (None, "ValueError: down") and rows["0"] == ("[[A=B]]", None)
 
 
+def test_only_failed_rows_are_sent_again(spark, tmp_path):
+    requests = spark.range(20).selectExpr("cast(id as string) uid").coalesce(1)
+    seen = str(tmp_path / "seen")
+
+    def make_reply():
+        def answer(row):
+            with open(seen, "a") as out:
+                out.write(row["uid"] + "\n")
+            if row["uid"] in ("3", "7"):
+                raise ValueError("down")
+            return "ok"
+
+        return R.one_by_one(answer)
+
+    rows = R.call_judge(requests, make_reply, ["uid"], again=2).collect()
+    assert {r["uid"]: r["error"] for r in rows if r["error"]} == {"3": "ValueError: down", "7": "ValueError: down"}
+    sent = open(seen).read().split()
+    assert sorted(sent) == sorted([str(i) for i in range(20)] + ["3", "7"] * 2)
+
+
+def test_a_stopped_run_is_continued(spark, tmp_path):
+    """A run that dies after its first stored replies asks, started again, only for the others."""
+    questions, answers, settings = setup(spark)
+    games = judging.pending_games(questions, answers, stored(spark, []), "org/m", settings)
+    store, seen, stop = str(tmp_path / "store"), tmp_path / "seen", tmp_path / "stop"
+    stop.write_text("")
+
+    def make_reply():
+        def reply(pdf):
+            if stop.exists() and seen.exists():
+                raise SystemExit  # not an error of a call: the task dies
+            with open(seen, "a") as out:
+                out.write("".join(f"{u}/{g}\n" for u, g in zip(pdf["uid"], pdf["game_no"])))
+            return ["[[A>B]]" if u != "1" else "no label" for u in pdf["uid"]]
+
+        return reply
+
+    def make_repair():
+        return lambda pdf: ["[[A=B]]"] * len(pdf)
+
+    with pytest.raises(Exception, match="SystemExit|exit"):
+        judging.judge_games(games.coalesce(1), make_reply, store, make_repair, every=4)
+    paid = seen.read_text().split()
+    stop.unlink()
+    rows = judging.judge_games(games, make_reply, store, make_repair, every=4).collect()
+    asked = seen.read_text().split()
+    assert 0 < len(paid) < 12 and sorted(asked) == sorted(f"{u}/{g}" for u in range(6) for g in (1, 2))
+    assert len(rows) == 12 and all(r["score"] for r in rows)
+    judging.judge_games(games, make_reply, store, make_repair, every=4).collect()
+    assert len(seen.read_text().split()) == 12  # nothing is asked a third time
+    changed = games.withColumn("prompt", F.when(F.col("uid") == "2", "another question").otherwise(F.col("prompt")))
+    judging.judge_games(changed, make_reply, store, make_repair).collect()
+    assert len(seen.read_text().split()) == 14  # a changed prompt is another request
+
+
+def test_records_hold_what_was_sent_and_said(spark, tmp_path):
+    questions, answers, settings = setup(spark)
+    make_reply = lambda: (lambda pdf: ["[[B>A]]" if u != "4" else "undecided" for u in pdf["uid"]])
+    make_repair = lambda: (lambda pdf: ["[A=B]"] * len(pdf))
+    rows, _ = judging.judge_target(questions, answers, stored(spark, []), "org/m", "j", settings, make_reply, str(tmp_path / "s"), make_repair)
+    path = str(tmp_path / "judgments")
+    write_jsonl(rows, path, ["judge", "model"])
+    back = {r["uid"]: r for r in read_jsonl(spark, path, JUDGMENT_RECORD).collect()}
+    first, repaired = back["0"]["games"][0], back["4"]["games"][1]
+    assert first["judgment"]["answer"] == "[[B>A]]" and first["repair"] is None
+    assert [m["role"] for m in first["prompt"]] == ["system", "user"] and "ask {ANSWER_A} 0" in first["prompt"][1]["content"]
+    assert repaired["score"] == "A=B" and repaired["judgment"]["answer"] == "undecided"
+    assert repaired["repair"]["judgment"]["answer"] == "[A=B]" and "undecided" in repaired["repair"]["prompt"][1]["content"]
+    # a rerun over the stored records keeps them as they are
+    again, _ = judging.judge_target(
+        questions, answers, read_jsonl(spark, path, JUDGMENT_RECORD), "org/m", "j", settings, make_reply, str(tmp_path / "t"), make_repair
+    )
+    assert {r["uid"]: r["games"] for r in again.collect()} == {uid: r["games"] for uid, r in back.items()}
+
+
 def test_coverage(spark):
     questions, answers, settings = setup(spark)
     judging.require_coverage(questions, answers, "org/m", settings)
