@@ -201,28 +201,26 @@ def _(t):
     )
 
 
-def _first_last_pairs(t):
-    """Pairs of the first and the last response of each prompt."""
+def _mirrored_pairs(t):
+    """Every response of a prompt with the one as far from the other end."""
     reply = lambda c: F.array(F.struct(F.lit("assistant").alias("role"), c.alias("content")))
-    return t.rollouts().select(
-        "prompt_id",
-        "prompt_messages",
-        reply(F.element_at("responses", 1)).alias("chosen"),
-        reply(F.element_at("responses", -1)).alias("rejected"),
-    )
+    rows = t.rollouts().select("prompt_id", F.posexplode(F.arrays_zip("responses", F.reverse("responses").alias("mirrored"))).alias("pos", "z"))
+    return rows.select("prompt_id", "pos", reply(F.col("z.responses")).alias("chosen"), reply(F.col("z.mirrored")).alias("rejected"))
 
 
-@query(
-    "p12_filter_pairs",
-    """
-select prompt_id, any_value(response) filter (pos = 0) chosen, arg_max(response, pos) rejected
-from rollout_lines group by 1
-having chosen not in ('', '<|eot_id|>') and rejected not in ('', '<|eot_id|>')""",
-)
+_MIRRORED_SQL = """
+select a.prompt_id, a.pos, a.response chosen, b.response rejected
+from rollout_lines a join (select prompt_id, count(*) n from rollout_lines group by 1) c using (prompt_id)
+join rollout_lines b on b.prompt_id = a.prompt_id and b.pos = c.n - 1 - a.pos"""
+_KEPT = "chosen not in ('', '<|eot_id|>') and rejected not in ('', '<|eot_id|>')"
+
+
+@query("p12_filter_pairs", f"select * from ({_MIRRORED_SQL}) where {_KEPT}")
 def _(t):
-    kept = P.filter_pairs(_first_last_pairs(t))
+    kept = P.filter_pairs(_mirrored_pairs(t))
     return kept.select(
         "prompt_id",
+        "pos",
         F.col("chosen")[0]["content"].alias("chosen"),
         F.col("rejected")[0]["content"].alias("rejected"),
     )
@@ -653,6 +651,28 @@ def _(t):
     return shaped.select("doc_id", PR.content_text(F.col("c")).alias("content"))
 
 
+@query(
+    "c22_nested_contents",
+    """
+select doc_id, concat_ws(chr(10), text, lang, source, '', 'x', 'True', 'None', case when doc_id % 2 = 0 then '[[' else text end) content
+from documents""",
+)
+def _(t):
+    """Lists of lists, one to sixty levels deep, with objects, empty lists and brackets inside texts."""
+    rows = t.table("documents").withColumn("deep", F.col("doc_id") % 60)
+    json_of = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+    tail = F.when(F.col("doc_id") % 2 == 0, F.lit("[[")).otherwise(F.col("text"))
+    inner = F.concat_ws(
+        ",",
+        F.concat(F.lit("["), json_of("text"), F.lit(",["), json_of("lang"), F.lit("]]")),
+        json_of("source"),
+        F.lit('[],[[{"answer":"x"}],true],null'),
+        json_of(tail),
+    )
+    content = F.concat(F.repeat(F.lit("["), F.col("deep") + 1), inner, F.repeat(F.lit("]"), F.col("deep") + 1))
+    return rows.select("doc_id", PR.content_text(F.parse_json(content)).alias("content"))
+
+
 @query("c23_utf8_safe", "select doc_id, text, concat('x', chr(65533), 'y') repaired from documents")
 def _(t):
     broken = F.concat(F.lit(b"x"), F.unhex(F.lit("FF")), F.lit(b"y"))
@@ -708,6 +728,31 @@ def _(t):
     )
 
 
+@query(
+    "c28_variant_payload",
+    """
+select doc_id, concat(source, chr(10), lang) system_text, text first_content, 'model' first_role, '{"source":"' || source || '"}' second_content
+from documents""",
+)
+def _(t):
+    """Messages whose contents are objects and lists."""
+    message = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    talk = F.array(
+        message("system", F.to_variant_object(F.array("source", "lang"))),
+        message("assistant", F.to_variant_object(F.named_struct(F.lit("answer"), F.col("text")))),
+        message("user", F.to_variant_object(F.named_struct(F.lit("source"), F.col("source")))),
+    )
+    body = t.table("documents").select("doc_id", F.parse_json(PR.parts_payload(talk, 0.5, 64, as_text=PR.content_text)).alias("p"))
+    get = lambda path: F.try_variant_get("p", path, "string")
+    return body.select(
+        "doc_id",
+        get("$.systemInstruction.parts[0].text").alias("system_text"),
+        get("$.contents[0].parts[0].text").alias("first_content"),
+        get("$.contents[0].role").alias("first_role"),
+        get("$.contents[1].parts[0].text").alias("second_content"),
+    )
+
+
 @query(
     "c28_request_payload",
     """

@@ -9,9 +9,11 @@ from duelboard.catalog.column_queries import LABEL_SQL, sql_fill
 from duelboard.catalog.join_queries import _COMMON_SQL, _JUDGED_SQL, _ORDER_SQL, _PAIRED_SQL, TARGET, _judged
 from duelboard.catalog.registry import query
 from duelboard.catalog.views import as_event_time, as_plain_time
+from duelboard.functions.expand import expand_rows
 from duelboard.functions.verdicts import parse_label
 from duelboard.operators import pairs as P
 from duelboard.operators import replies as R
+from duelboard.operators import requests as Q
 from duelboard.plans.comparison import comparison_round, resumed, win_table
 from duelboard.plans.judging import judge_games, merge_judgments, pending_games
 from duelboard.plans.preference import build_pairs, score_responses
@@ -216,6 +218,61 @@ def _(t):
     )
 
 
+@query(
+    "f7_game_expansion",
+    f"""
+with {_JUDGED_SQL}, p as ({_PAIRED_SQL})
+select uid, 1 game_no, md5(baseline_answer) a_md5, md5(target_answer) b_md5 from p where uid not in (select uid from judged where complete)
+union all select uid, 2, md5(target_answer), md5(baseline_answer) from p where uid not in (select uid from judged where complete)""",
+)
+def _(t):
+    """A user-written expansion of each paired question into its two games."""
+
+    def make():
+        def games(row):
+            yield row["uid"], 1, row["baseline_answer"], row["target_answer"]
+            yield row["uid"], 2, row["target_answer"], row["baseline_answer"]
+
+        return games
+
+    pending = Q.unjudged(t.view("questions"), _judged(t), TARGET, t.settings())
+    paired = Q.with_answers(pending, t.answers(), TARGET, Q.baseline_models(t.settings()))
+    rows = expand_rows(paired.select("uid", "baseline_answer", "target_answer"), make, "uid string, game_no int, a string, b string")
+    return rows.select("uid", "game_no", F.md5("a").alias("a_md5"), F.md5("b").alias("b_md5"))
+
+
+@query(
+    "f7_running_expansion",
+    """
+with m as (select ord, unnest(range(len(m))) pos, unnest(m) m from dialogue_messages where side = 'text')
+select ord, pos, m.role, sum(length(m.content)) over (partition by ord order by pos)::bigint chars from m
+union all select ord, -1, 'all', sum(length(m.content))::bigint from m group by ord""",
+)
+def _(t):
+    """A user-written expansion with state: the messages of a dialogue in order, then a total."""
+    from duelboard.functions.transcripts import parse_transcript
+
+    def make():
+        class Running:
+            def __init__(self):
+                self.ord, self.chars = None, 0
+
+            def row(self, row):
+                self.ord, self.chars = row["ord"], self.chars + len(row["content"])
+                yield row["ord"], row["pos"], row["role"], self.chars
+
+            def end(self):
+                if self.ord is not None:
+                    yield self.ord, -1, "all", self.chars
+
+        return Running()
+
+    rows = t.view("dialogues").select("ord", F.posexplode(parse_transcript(F.col("text"))).alias("pos", "m"))
+    return expand_rows(
+        rows.select("ord", "pos", "m.role", "m.content"), make, "ord bigint, pos bigint, role string, chars bigint", ["ord"], ["pos"]
+    )
+
+
 # -- whole workflows ----------------------------------------------------------
 
 

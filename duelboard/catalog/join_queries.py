@@ -17,11 +17,16 @@ from duelboard.operators import multiway as M
 from duelboard.operators import pairs as P
 from duelboard.operators import requests as Q
 from duelboard.operators import turns as TN
+from duelboard.operators.ordinal import round_robin, with_ordinal
 from duelboard.plans.judging import pending_games
+from duelboard.session import scratch_dir
 from duelboard.sources import readers as R
+from duelboard.sources.bucketed import read_bucketed, write_bucketed
 
 NAMES = ["chosen", "sft", "beta_dpo"]
 TARGET = "org/sft"
+#: Buckets of the stores in these queries; a real store has as many as its size asks for.
+BUCKETS = 16
 
 
 def _judged(t):
@@ -30,6 +35,15 @@ def _judged(t):
     return KY.keep_last(rows.select("uid", "category", "judge", "model", "games", "ord"), ["uid"])
 
 
+def _bucketed(t, rows, keys):
+    """The rows stored in two appends and read as a bucketed store."""
+    path = scratch_dir(t.spark, "bucketed")
+    half = F.pmod(F.xxhash64(*keys), F.lit(2))
+    for k in range(2):
+        write_bucketed(rows.where(half == k), path, keys, BUCKETS)
+    return read_bucketed(t.spark, path, rows.schema, keys, BUCKETS)
+
+
 _JUDGED_SQL = f"""
 judged as (
   select uid, max(ord) ord, arg_max(n_games = 2 and null_game = 0 and g1 is not null and g2 is not null, ord) complete
@@ -57,6 +71,19 @@ def _(t):
     return pending.select("uid", "category", "ord", "baseline")
 
 
+@query(
+    "j2_unjudged_bucketed",
+    f"""
+with {_JUDGED_SQL}
+select q.uid, category, ord, baseline from questions q join settings using (category)
+where baseline <> '{TARGET}' and q.uid not in (select uid from judged where complete)""",
+)
+def _(t):
+    """The same against a store dealt into buckets, which is not moved."""
+    pending = Q.unjudged(t.view("questions"), _bucketed(t, _judged(t), ["uid"]), TARGET, t.settings())
+    return pending.select("uid", "category", "ord", "baseline")
+
+
 _GAPS_SQL = """
 with expected as (
   select uid, ord, 'org/sft' model from questions
@@ -180,6 +207,19 @@ def _(t):
     return M.unseen(common, t.view("results").where("ord % 3 = 0")).select("instruction")
 
 
+@query(
+    "j10_unjudged_bucketed",
+    f"""
+with {_COMMON_SQL} select instruction from common
+where instruction not in (select instruction from results where instruction is not null and ord % 3 = 0)""",
+)
+def _(t):
+    """The same against results dealt into buckets by instruction."""
+    done = t.view("results").where("ord % 3 = 0 and instruction is not null").select("instruction", "winner_key", "ord")
+    common = M.common_instructions(t.view("candidates"), NAMES)
+    return M.unseen(common, _bucketed(t, done, ["instruction"])).select("instruction")
+
+
 _ORDER_SQL = """
 labelled as (
   select instruction, list(struct_pack(k := md5(concat('42-', instruction, '-', name)), name := name, output := output)
@@ -375,7 +415,6 @@ def _(t):
     Files are written in id order, so of two neighbouring ids in one file the
     larger one must have the larger reading order.
     """
-    from duelboard.session import scratch_dir
     from duelboard.sources.writers import write_jsonl
 
     path = scratch_dir(t.spark, "ordered")
@@ -400,6 +439,26 @@ def _(t):
     return Q.assign_shards(t.view("questions"), "uid", 5).select("uid", "shard")
 
 
+@query(
+    "w7_dense_ordinal",
+    "select doc_id, row_number() over (order by source, doc_id desc) - 1 ordinal from documents",
+)
+def _(t):
+    """Gapless numbers in a global order, without one task that sees all rows."""
+    rows = t.table("documents").select("doc_id", "source", (-F.col("doc_id")).alias("back"))
+    return with_ordinal(rows, scratch_dir(t.spark, "ordinal"), ["source", "back"]).select("doc_id", "ordinal")
+
+
+@query(
+    "w8_round_robin",
+    "select uid, ((row_number() over (order by ord) - 1) % 5)::int shard from questions",
+)
+def _(t):
+    """Requests dealt in turn: shards differ by one row at most."""
+    rows = t.view("questions").select("uid", "ord")
+    return round_robin(rows, 5, scratch_dir(t.spark, "turns"), ["ord"]).select("uid", "shard")
+
+
 # -- orders and limits --------------------------------------------------------
 
 
@@ -554,3 +613,19 @@ def _(t):
     fresh = KY.keep_last(fresh.select("uid", "games", "ord"), ["uid"]).withColumn("origin", F.lit("new"))
     old = _judged(t).select("uid", "games", "ord", F.lit("old").alias("origin"))
     return KY.upsert(old, fresh, ["uid"], J.is_complete(F.col("games"))).drop("games")
+
+
+@query(
+    "u5_upsert_bucketed",
+    f"""
+with {_JUDGED_SQL},
+fresh as (select uid, max(ord) ord from judgments_raw where judge <> 'gpt-4.1' and model = '{TARGET}' group by 1)
+select uid, ord, 'old' origin from judged where complete
+union all select uid, ord, 'new' from fresh where uid not in (select uid from judged where complete)""",
+)
+def _(t):
+    """The same against a bucketed store: only the new rows are moved."""
+    fresh = t.judgments().where((F.col("judge") != "gpt-4.1") & (F.col("model") == TARGET))
+    fresh = KY.keep_last(fresh.select("uid", "games", "ord"), ["uid"]).withColumn("origin", F.lit("new"))
+    old = _bucketed(t, _judged(t).select("uid", "games", "ord"), ["uid"]).withColumn("origin", F.lit("old"))
+    return KY.upsert(old, fresh, ["uid"], J.is_complete(F.col("games"))).drop("games")

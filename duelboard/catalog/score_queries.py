@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from duelboard import constants as K
-from duelboard.catalog.column_queries import _FEATURES_SQL, WSC
+from duelboard.catalog.column_queries import _FEATURES_SQL, _KEPT, _MIRRORED_SQL, WSC, _mirrored_pairs
 from duelboard.catalog.registry import query
 from duelboard.catalog.scan_queries import WIN_RATES_SQL
 from duelboard.functions import style as S
@@ -15,7 +16,9 @@ from duelboard.operators import pairs as P
 from duelboard.operators import pairwise_fit as PF
 from duelboard.operators import style_board as SB
 from duelboard.operators import tally as TA
+from duelboard.operators.quantiles import exact_quantiles
 from duelboard.plans.report import leaderboard_report
+from duelboard.session import scratch_dir
 from duelboard.sources.readers import resolve_answers
 
 NAMES = ["chosen", "sft", "beta_dpo"]
@@ -174,6 +177,31 @@ def _(t):
     )
 
 
+@query(
+    "a4_exact_quantiles",
+    """
+select l_returnflag, q, case q when 0.05 then quantile_cont(l_extendedprice::double, 0.05) when 0.5 then quantile_cont(l_extendedprice::double, 0.5)
+       when 0.95 then quantile_cont(l_extendedprice::double, 0.95) end quantile, count(*) n
+from lineitem, (values (0.05::double), (0.5), (0.95)) p(q) group by 1, 2""",
+)
+def _(t):
+    """Few groups of many values: no task holds a group."""
+    return exact_quantiles(t.table("lineitem"), ["l_returnflag"], "l_extendedprice", [0.05, 0.5, 0.95], scratch_dir(t.spark, "quantiles"))
+
+
+@query(
+    "a4_battle_quantiles",
+    """
+select category, model, q, case q when 0.05 then quantile_cont(score, 0.05) when 0.5 then quantile_cont(score, 0.5) else quantile_cont(score, 0.95) end quantile,
+       count(*) n
+from battles, (values (0.05::double), (0.5), (0.95)) p(q) group by 1, 2, 3""",
+)
+def _(t):
+    """Raw battles: three values hold everything, so ties meet before anything is sorted."""
+    rows = J.battle_rows(_valid(t))
+    return exact_quantiles(rows, ["category", "model"], "score", [0.05, 0.5, 0.95], scratch_dir(t.spark, "quantiles"))
+
+
 # -- style --------------------------------------------------------------------
 
 _STYLE_BATTLES_SQL = f"""
@@ -366,16 +394,17 @@ def _(t):
 # -- pairs and counts ---------------------------------------------------------
 
 
-@query(
-    "a11_filter_counts",
-    """
-select count(*) total, count_if(a not in ('', '<|eot_id|>') and b not in ('', '<|eot_id|>')) kept
-from (select prompt_id, any_value(response) filter (pos = 0) a, arg_max(response, pos) b from rollout_lines group by 1)""",
-)
+@query("a11_filter_counts", f"select count(*) total, count_if({_KEPT}) kept from ({_MIRRORED_SQL})")
 def _(t):
-    from duelboard.catalog.column_queries import _first_last_pairs
+    return P.filter_counts(_mirrored_pairs(t))
 
-    return P.filter_counts(_first_last_pairs(t))
+
+@query("a11_observed_counts", f"select count(*) total, count_if({_KEPT}) kept from ({_MIRRORED_SQL})")
+def _(t):
+    """The same totals, counted in the pass that writes the kept pairs."""
+    counts = Observation()
+    P.filter_and_count(_mirrored_pairs(t), counts).write.parquet(scratch_dir(t.spark, "kept"))
+    return t.spark.createDataFrame([(counts.get["total"], counts.get["kept"])], "total bigint, kept bigint")
 
 
 @query("a12_winner_counts", WIN_RATES_SQL + "select key, cast(n as bigint) n from counts")
@@ -431,6 +460,19 @@ def _(t):
     )
 
 
+@query(
+    "a15_observed_totals",
+    """
+select count(*) sequences, sum(len(list_filter(string_split(text, ' '), lambda x: x <> '')))::bigint tokens from documents""",
+)
+def _(t):
+    """Sequences and tokens, counted in the pass that writes them."""
+    counts = Observation()
+    rows = t.table("documents").select("doc_id", F.split("text", " ").alias("ids"))
+    P.count_tokens(rows, counts, "ids", "").write.parquet(scratch_dir(t.spark, "tokens"))
+    return t.spark.createDataFrame([(counts.get["sequences"], counts.get["tokens"])], "sequences bigint, tokens bigint")
+
+
 @query(
     "a16_unpadded_tokens",
     """

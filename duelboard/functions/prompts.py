@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from duelboard import constants as K
+from duelboard.functions.binding import let
 from duelboard.functions.text import preview, rstrip, strip
 
 _FIELD = re.compile(r"\{(\w+)\}")
@@ -164,17 +166,42 @@ def _plain_content(content: Column) -> Column:
                 F.try_variant_get(content, "$.answer", "string"), F.to_json(content)
             ),
         )
+        .when(kind == "VOID", F.lit("None"))
+        .when(kind == "BOOLEAN", F.initcap(F.to_json(content)))
         .otherwise(F.to_json(content))
     )
 
 
+def _leaves(content: Column) -> Column:
+    """What is no list in a list of lists of any depth, in order; an empty list counts as an empty text.
+
+    Lists are opened level by level until none is left. A list has no more levels than
+    its JSON text has opening brackets, so these bound the steps; once all are open a
+    step costs nothing.
+    """
+    is_list = lambda item: _variant_kind(item).startswith("ARRAY")
+    empty = F.array(F.lit("").cast("variant"))
+
+    def opened(item: Column) -> Column:
+        items = F.try_variant_get(item, "$", "array<variant>")
+        return F.when(~is_list(item), F.array(item)).when(F.size(items) > 0, items).otherwise(empty)
+
+    def step(state: Column, _: Column) -> Column:
+        deeper = state["more"]
+        items = F.when(deeper, F.flatten(F.transform(state["items"], opened))).otherwise(state["items"])
+        return let(items, lambda now: F.struct(now.alias("items"), F.when(deeper, F.exists(now, is_list)).otherwise(F.lit(False)).alias("more")))
+
+    levels = F.regexp_count(F.to_json(content), F.lit(r"\["))
+    start = F.struct(F.array(content).alias("items"), F.lit(True).alias("more"))
+    return F.aggregate(F.sequence(F.lit(1), levels), start, step, lambda state: state["items"])
+
+
 def content_text(content: Column) -> Column:
-    """Any message content as text: answer key, JSON of an object, joined list.
+    """Any message content as text: answer key, JSON of an object, lists of any depth joined by newlines.
 
     JSON is Spark's compact form with sorted keys.
     """
-    items = F.try_variant_get(content, "$", "array<variant>")
-    joined = F.array_join(F.transform(items, _plain_content), "\n")
+    joined = F.array_join(F.transform(_leaves(content), _plain_content), "\n")
     return F.when(_variant_kind(content).startswith("ARRAY"), joined).otherwise(
         _plain_content(content)
     )
@@ -198,12 +225,17 @@ def chat_payload(
 
 
 def parts_payload(
-    messages: Column, temperature: float, max_tokens: int, safety: list[tuple[str, str]] | None = None
+    messages: Column,
+    temperature: float,
+    max_tokens: int,
+    safety: list[tuple[str, str]] | None = None,
+    as_text: Callable[[Column], Column] = lambda content: content,
 ) -> Column:
     """JSON body with a separate system instruction and text parts.
 
     A leading system message moves out; later roles map to user or model. ``safety``
-    adds settings of (category, threshold).
+    adds settings of (category, threshold). Contents are texts; those of another type
+    are turned into texts by ``as_text`` (``content_text`` for VARIANT contents).
     """
 
     def parts(text: Column) -> Column:
@@ -220,13 +252,13 @@ def parts_payload(
             F.when(m["role"] == "assistant", F.lit("model"))
             .otherwise(F.lit("user"))
             .alias("role"),
-            parts(m["content"]).alias("parts"),
+            parts(as_text(m["content"])).alias("parts"),
         ),
     )
     return F.to_json(
         F.struct(
             F.when(
-                has_system, F.struct(parts(first["content"]).alias("parts"))
+                has_system, F.struct(parts(as_text(first["content"])).alias("parts"))
             ).alias("systemInstruction"),
             contents.alias("contents"),
             F.struct(

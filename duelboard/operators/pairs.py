@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from duelboard.functions.binding import let
@@ -192,9 +192,32 @@ def filter_counts(pairs: DataFrame, mode: str = "fixed") -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("total"), F.count_if(keep).alias("kept"))
 
 
+def filter_and_count(pairs: DataFrame, counts: Observation | str, mode: str = "fixed") -> DataFrame:
+    """The kept pairs; ``total`` and ``kept`` are counted while they are written.
+
+    With an ``Observation`` they are its values after the write; a stream names them and
+    reports them in each batch's progress. Nothing is read a second time.
+    """
+    keep = has_text(F.col("chosen"), mode) & has_text(F.col("rejected"), mode)
+    return (
+        pairs.withColumn("_keep", keep)
+        .observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(F.col("_keep")).alias("kept"))
+        .where("_keep")
+        .drop("_keep")
+    )
+
+
+def _tokens(ids: str, pad: int) -> Column:
+    return F.size(F.filter(ids, lambda x: x != pad))
+
+
+def count_tokens(rows: DataFrame, counts: Observation | str, ids: str, pad: int) -> DataFrame:
+    """The rows; sequences and non-padding tokens are counted while they are written."""
+    return rows.observe(counts, F.count(F.lit(1)).alias("sequences"), F.sum(_tokens(ids, pad)).alias("tokens"))
+
+
 def token_totals(rows: DataFrame, keys: list[str], ids: str, pad: int) -> DataFrame:
     """Sequences and non-padding tokens per key."""
-    size = F.size(F.filter(ids, lambda x: x != pad))
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("sequences"), F.sum(size).alias("tokens")
+        F.count(F.lit(1)).alias("sequences"), F.sum(_tokens(ids, pad)).alias("tokens")
     )

@@ -16,9 +16,9 @@ from duelboard.sources.folders import path_exists
 CALL = "request string, reply string, error string"
 
 
-def request_digest(keys: list[str], messages: str = "messages") -> Column:
-    """Digest of a request's keys and messages: a changed prompt is another request."""
-    return F.md5(F.to_json(F.struct(*keys, messages)))
+def request_digest(keys: list[str], sent: str) -> Column:
+    """Digest of a request's keys and of what is sent: a changed prompt is another request."""
+    return F.md5(F.to_json(F.struct(*keys, sent)))
 
 
 def logged_calls(spark, log: str) -> DataFrame:
@@ -28,10 +28,10 @@ def logged_calls(spark, log: str) -> DataFrame:
     return spark.read.schema(f"{CALL}, run string").parquet(f"{log}/calls")
 
 
-def ask_once(requests: DataFrame, make_reply: Callable, log: str, keys: list[str], every: int | None = None) -> DataFrame:
+def ask_once(requests: DataFrame, make_reply: Callable, log: str, keys: list[str], every: int | None = None, sent: str = "messages") -> DataFrame:
     """``requests`` with reply and error, asking only what the log has no reply for.
 
-    ``keys`` tell the requests apart; ``messages`` is what is sent. Requests are written
+    ``keys`` tell the requests apart, ``sent`` is the column that is sent. Requests are written
     to the log once, so their prompts are built once. Replies are appended in run folders
     and never overwritten: whatever reads them again, or recomputes a lost partition,
     finds the stored ones. With ``every`` about that many calls are made per run folder,
@@ -39,7 +39,7 @@ def ask_once(requests: DataFrame, make_reply: Callable, log: str, keys: list[str
     that failed is logged with its error and asked again by the next run.
     """
     spark, run = requests.sparkSession, uuid.uuid4().hex
-    wanted = requests.withColumn("request", request_digest(keys))
+    wanted = requests.withColumn("request", request_digest(keys, sent))
     path = f"{log}/requests/run={run}"
     wanted.write.parquet(path)
     wanted = spark.read.schema(wanted.schema).parquet(path)
@@ -47,7 +47,7 @@ def ask_once(requests: DataFrame, make_reply: Callable, log: str, keys: list[str
     slices = 1 if every is None else max(1, math.ceil(pending.count() / every))
     for number in range(slices):
         part = pending.where(F.pmod(F.xxhash64("request"), F.lit(slices)) == number) if slices > 1 else pending
-        made = call_judge(part, make_reply, [*keys, "messages", "request"])
+        made = call_judge(part, make_reply, wanted.columns)
         made.select("request", "reply", "error").write.parquet(f"{log}/calls/run={run}-{number}")
     calls = logged_calls(spark, log)
     answered = calls.where(F.col("reply").isNotNull())

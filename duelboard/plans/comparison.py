@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from duelboard.functions.text import is_falsy
 from duelboard.operators import multiway as M
 from duelboard.operators.keyed import keep_first
-from duelboard.operators.replies import call_judge
 from duelboard.operators.tally import win_rates, winner_counts
-from duelboard.plans.judging import stored
+from duelboard.plans.calls import ask_once
 
 
 @dataclass(frozen=True)
@@ -35,19 +34,20 @@ def comparison_round(
     seed: int = 42,
     order: str = "hash",
     system_prompt: str | None = None,
+    every: int | None = None,
 ) -> Round:
     """Judge the instructions that all candidates share and that have no result yet.
 
-    The replies are written to ``store`` once and read back, so nothing downstream can
-    send a request again. A call that failed is no result: it comes back in ``failed``
-    and a later round asks it again.
+    Replies are logged in ``store``, about ``every`` at a time: nothing downstream can send
+    a request again, and a round that was stopped continues with what the log lacks. A
+    call that failed is no result: it comes back in ``failed`` and a later round asks it
+    again.
     """
     common = M.first_instructions(M.common_instructions(candidates, names), limit)
     if results is not None:
         common = M.unseen(common, results)
     requests = M.comparison_requests(M.label_candidates(common, seed, order), len(names))
-    replies = call_judge(requests, make_reply, ["instruction", "labels", "prompt"])
-    replies = stored(replies.drop("prompt"), store)
+    replies = ask_once(requests, make_reply, store, ["instruction"], every, sent="prompt").drop("prompt")
     return Round(M.read_results(replies, model, system_prompt), M.failed_calls(replies))
 
 

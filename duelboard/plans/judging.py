@@ -36,16 +36,6 @@ def require_coverage(questions, answers, target, settings) -> None:
         raise ValueError("Missing answer rows required for judging: " + row["preview"])
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """The rows, written once and read back.
-
-    A model's reply cannot be had twice: whatever reads it again, or recomputes a
-    lost partition, must find the stored one.
-    """
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def judge_games(
     games: DataFrame,
     make_reply: Callable,
