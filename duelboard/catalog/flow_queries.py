@@ -18,6 +18,8 @@ from duelboard.plans.comparison import comparison_round, resumed, win_table
 from duelboard.plans.judging import judge_games, merge_judgments, pending_games
 from duelboard.plans.preference import build_pairs, score_responses
 from duelboard.session import scratch_dir
+from duelboard.sources.judged_lines import stream_judged_lines
+from duelboard.sources.writers import write_jsonl
 from duelboard.streaming import ingest as ST
 from duelboard.streaming import windows as SW
 
@@ -553,6 +555,24 @@ def _(t):
     return _plain_times(t.spark.read.parquet(f"{folder}/sessions"))
 
 
+@query(
+    "st1_ingest_judged_lines",
+    """
+select uid || '/' || judge || '/' || model as key, max(judge) judge, count(*) n from judgments_raw group by 1""",
+)
+def _(t):
+    """First arrivals of judgment files, streamed by folder and file through the library's own source."""
+    rows = t.judgments().select("uid", "category", "model", F.lit(None).cast("string").alias("baseline"), "games", "judge")
+    path = scratch_dir(t.spark, "judged")
+    write_jsonl(rows, path, ["judge"])
+    key = F.concat_ws("/", "uid", "judge", "model").alias("key")
+    stream = stream_judged_lines(t.spark, path).select(key, "judge", "line")
+    once = scratch_dir(t.spark, "once")
+    ST.first_per_key(stream, once, scratch_dir(t.spark, "once-state"), ["key"], order="line")
+    counts = t.judgments().groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return t.spark.read.parquet(once).select("key", "judge").join(counts, "key")
+
+
 @query(
     "st5_merge_batches",
     f"""

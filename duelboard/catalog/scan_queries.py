@@ -19,6 +19,7 @@ from duelboard.operators.turns import normalize_turn_questions
 from duelboard.session import scratch_dir
 from duelboard.sources import readers as R
 from duelboard.sources import writers as W
+from duelboard.sources.judged_lines import scan_judged_lines
 
 QUESTION_ORD = schemas.QUESTION + ", ord bigint"
 
@@ -83,6 +84,21 @@ def _(t):
     return found.select("uid", "category", "judge", "model", first.alias("g1"), "ord")
 
 
+@query(
+    "s4_judged_lines_scan",
+    """
+select uid, category, judge, model, case when n_games > 0 then g1 end g1
+from judgments_raw where judge in ('gpt-4.1', 'absent-judge')""",
+)
+def _(t):
+    """The same through the library's own source: a partition per file, folders pruned by judge."""
+    rows = t.judgments().select("uid", "category", "judge", "model", F.lit(None).cast("string").alias("baseline"), "games")
+    path = _stored(t, rows, "judgments", ["judge"])
+    found = scan_judged_lines(t.spark, path, ["gpt-4.1", "absent-judge"])
+    first = F.try_element_at("games", F.lit(1))["score"]
+    return found.select("uid", "category", "judge", "model", first.alias("g1"))
+
+
 @query(
     "s5_keyed_jsonl",
     "select instruction, arg_max(coalesce(winner_key, '-'), ord) winner_key, max(ord) ord from results "

@@ -201,10 +201,12 @@ def content_text(content: Column) -> Column:
 
     JSON is Spark's compact form with sorted keys.
     """
-    joined = F.array_join(F.transform(_leaves(content), _plain_content), "\n")
-    return F.when(_variant_kind(content).startswith("ARRAY"), joined).otherwise(
-        _plain_content(content)
-    )
+
+    def text(value: Column) -> Column:
+        joined = F.array_join(F.transform(_leaves(value), _plain_content), "\n")
+        return F.when(_variant_kind(value).startswith("ARRAY"), joined).otherwise(_plain_content(value))
+
+    return let(content, text)
 
 
 # -- request and reply payloads -----------------------------------------------
@@ -229,7 +231,7 @@ def parts_payload(
     temperature: float,
     max_tokens: int,
     safety: list[tuple[str, str]] | None = None,
-    as_text: Callable[[Column], Column] = lambda content: content,
+    as_text: Callable[[Column], Column] | None = None,
 ) -> Column:
     """JSON body with a separate system instruction and text parts.
 
@@ -241,6 +243,9 @@ def parts_payload(
     def parts(text: Column) -> Column:
         return F.array(F.struct(text.alias("text")))
 
+    if as_text is not None:
+        texts = F.transform(messages, lambda m: F.struct(m["role"].alias("role"), as_text(m["content"]).alias("content")))
+        return let(texts, lambda plain: parts_payload(plain, temperature, max_tokens, safety))
     first = F.try_element_at(messages, F.lit(1))
     has_system = F.coalesce(first["role"] == "system", F.lit(False))
     rest = F.when(
@@ -252,13 +257,13 @@ def parts_payload(
             F.when(m["role"] == "assistant", F.lit("model"))
             .otherwise(F.lit("user"))
             .alias("role"),
-            parts(as_text(m["content"])).alias("parts"),
+            parts(m["content"]).alias("parts"),
         ),
     )
     return F.to_json(
         F.struct(
             F.when(
-                has_system, F.struct(parts(as_text(first["content"])).alias("parts"))
+                has_system, F.struct(parts(first["content"]).alias("parts"))
             ).alias("systemInstruction"),
             contents.alias("contents"),
             F.struct(
