@@ -244,7 +244,7 @@ select ord, len(m) >= 2 and m[1].role = 'user' and m[-1].role = 'assistant' mult
 from dialogue_messages where side = 'text'""",
 )
 def _(t):
-    parsed = t.view("dialogues").select("ord", TR.parse_transcript(F.col("text")).alias("m"))
+    parsed = t.heavy_view("dialogues").select("ord", TR.parse_transcript(F.col("text")).alias("m"))
     return parsed.select(
         "ord",
         TR.is_example(F.col("m"), False).alias("multi"),
@@ -269,7 +269,7 @@ select file_name, ord, cast(words as double) length, cast(h1 + h2 + h3 + h4 + h5
        cast(ordered + unordered as double) lists, cast(stars + underscores as double) bolds from ({_STYLE_SQL})""",
 )
 def _(t):
-    stored = t.view("answers_raw").select("file_name", "ord", S.style_metadata(F.col("answer")).alias("m"))
+    stored = t.heavy_view("answers_raw").select("file_name", "ord", S.style_metadata(F.col("answer")).alias("m"))
     return stored.select("file_name", "ord", S.metadata_features(F.col("m")).alias("f")).select(
         "file_name", "ord", "f.*"
     )
@@ -319,7 +319,7 @@ from replies"""
 
 @query("c1_verdict_label", f"select uid, game_no, score from ({LABEL_SQL})")
 def _(t):
-    return t.view("replies").select("uid", "game_no", V.parse_label(F.col("reply")).alias("score"))
+    return t.heavy_view("replies").select("uid", "game_no", V.parse_label(F.col("reply")).alias("score"))
 
 
 # The stated line/JSON/fallback rules, written with RE2 and list functions.
@@ -345,7 +345,7 @@ select instruction, ord, comparison,
 
 @query("c2_comparison_reply", COMPARISON_SQL)
 def _(t):
-    parsed = t.view("comparison_replies").select(
+    parsed = t.heavy_view("comparison_replies").select(
         "instruction", "ord", V.parse_comparison(F.col("reply")).alias("p")
     )
     return parsed.select("instruction", "ord", "p.comparison", "p.winner")
@@ -548,7 +548,7 @@ select file_name, ord, words token_len, h1, h2 + h3 + h4 + h5 + h6 deeper, order
 from ({_STYLE_SQL})""",
 )
 def _(t):
-    m = t.view("answers_raw").select("file_name", "ord", S.style_metadata(F.col("answer")).alias("m"))
+    m = t.heavy_view("answers_raw").select("file_name", "ord", S.style_metadata(F.col("answer")).alias("m"))
     h = F.col("m.header_count")
     return m.select(
         "file_name",

@@ -34,7 +34,7 @@ def lookup(t):
     Features are taken where the text is scanned, so the joins that settle which
     row counts move four numbers per answer instead of its text.
     """
-    scored = t.view("answers_raw").select(
+    scored = t.heavy_view("answers_raw").select(
         "file_name", "model", "uid", "ord", S.feature_vector(F.col("answer")).alias("features")
     )
     return SB.style_lookup(resolve_answers(scored))

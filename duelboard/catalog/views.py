@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from duelboard import constants as K
 from duelboard.operators.leaderboard import baselines
+from duelboard.session import spread_scan
 from duelboard.sources.readers import resolve_answers
 
 BASE_TABLES = (
@@ -269,6 +270,10 @@ class Tables:
             text = text.replace(f"__src_{t}", "{" + t + "}")
         return self.spark.sql(text, **aliases)
 
+    def heavy_view(self, name: str) -> DataFrame:
+        """A view over ``documents`` for work that costs much per byte of text."""
+        return self.view(name, {"documents": spread_scan(self.table("documents"))})
+
     # -- inputs in their stored shape ----------------------------------------
 
     def judgments(self) -> DataFrame:

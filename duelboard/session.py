@@ -55,6 +55,16 @@ def work_partitions(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """The rows of a scan over as many tasks as there are cores, if its files give fewer.
+
+    For work that costs much per byte, such as regular expressions over long texts. A
+    table of many files is returned as it is: its scan already has the tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000, max_bytes: int = 8_000_000) -> DataFrame:
     """Broadcast hint for a table shown to have few rows and few bytes of text in them.
 
