@@ -134,13 +134,16 @@ def _(t):
 @query(
     "p7_reject_preview",
     f"""
-with r as (select ord, concat('uid=', uid, ' ', {REASON_SQL}) txt from judgments_raw where {REASON_SQL} is not null),
+with r as (select ord, concat(regexp_replace(model, '^.*/', ''), '.jsonl: uid=', uid, ' ', {REASON_SQL},
+                              case when {REASON_SQL} = 'invalid_score_labels' then concat('=', g1, '/', g2) else '' end) txt
+           from judgments_raw where {REASON_SQL} is not null),
 p as (select string_agg(txt, ', ' order by ord) head from (select * from r order by ord limit 8))
 select count(*) total, (select head from p) || case when count(*) > 8
        then concat(', ... (+', count(*) - 8, ' more)') else '' end preview from r""",
 )
 def _(t):
-    return J.reject_preview(J.split_judgments(t.judgments())[1])
+    rejects = J.split_judgments(t.judgments())[1]
+    return J.reject_preview(rejects.withColumn("file_name", F.concat(F.regexp_replace("model", "^.*/", ""), F.lit(".jsonl"))))
 
 
 @query("p8_category_filter", "select uid, model, score from battles where category = 'math'")

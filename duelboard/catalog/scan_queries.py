@@ -382,9 +382,26 @@ def _(t):
 @query(
     "k8_generation_log",
     """
-select prompt_id, array_to_string(list(pos order by pos), ',') empty_indices from rollout_lines
-where response in ('', '<|eot_id|>') group by 1""",
+with e as (select prompt_id, array_to_string(list(pos order by pos), ',') empty_indices from rollout_lines
+           where response in ('', '<|eot_id|>') group by 1),
+c as (select prompt_id, md5(string_agg(response, '|' order by pos)) cleaned from rollout_lines group by 1)
+select prompt_id, empty_indices, concat('<', source, '>') prompt_text, source prompt, cleaned,
+       md5(array_to_string(list_concat(string_split(text, chr(10)),
+             case doc_id % 3 when 0 then [''] when 1 then ['<|eot_id|>'] else [] end), '|')) raw
+from e join c using (prompt_id) join documents on doc_id = prompt_id""",
 )
 def _(t):
-    log = W.generation_log(t.rollouts())
-    return log.select("prompt_id", F.array_join("empty_indices", ",").alias("empty_indices"))
+    texts = t.table("documents").select(
+        F.col("doc_id").alias("prompt_id"), F.concat(F.lit("<"), "source", F.lit(">")).alias("prompt_text"), F.split("text", "\n").alias("raw")
+    )
+    rows = t.rollouts().join(texts, "prompt_id")
+    rest = F.slice("responses", F.size("raw") + 1, F.size("responses"))
+    log = W.generation_log(rows.withColumn("raw_responses", F.concat("raw", rest)))
+    return log.select(
+        "prompt_id",
+        F.array_join("empty_indices", ",").alias("empty_indices"),
+        "prompt_text",
+        F.col("prompt_messages")[0]["content"].alias("prompt"),
+        F.md5(F.array_join("cleaned_responses", "|")).alias("cleaned"),
+        F.md5(F.array_join("raw_responses", "|")).alias("raw"),
+    )

@@ -291,14 +291,64 @@ def _fitted(t, rounds):
     return ready, PF.fit_rounds(ready, list(S.FEATURES), rounds=rounds)
 
 
+def _residuals(ready, fit, features):
+    """First-order conditions of round 0, from the exported coefficients alone: no code of the fit is used.
+
+    The features are standardised here with plain aggregates over the battles' counts.
+    """
+    n = F.sum("count")
+    mean = lambda f: F.sum(F.col(f) * F.col("count")) / n
+    means = ready.groupBy("category").agg(n.alias("n"), *[mean(f).alias(f"{f}_m") for f in features])
+    off = lambda f: F.col(f) - F.col(f"{f}_m")
+    spread = ready.join(means, "category").groupBy("category").agg(
+        *[F.sqrt(F.sum(off(f) ** 2 * F.col("count")) / (F.sum("count") - 1)).alias(f"{f}_s") for f in features]
+    )
+    effects = fit.effects.where("round = 0").groupBy("category").pivot("feature", list(features)).agg(F.first("effect"))
+    effects = effects.select("category", *[F.col(f).alias(f"{f}_e") for f in features])
+    rows = ready.where(~F.col("own")).join(means, "category").join(spread, "category").join(effects, "category")
+    rows = rows.join(fit.strengths.where("round = 0").select("category", "model", "strength"), ["category", "model"])
+    scaled = {f: off(f) / F.when(F.col(f"{f}_s") > 1e-9, F.col(f"{f}_s")).otherwise(1.0) for f in features}
+    logit = F.col("strength") + sum((scaled[f] * F.col(f"{f}_e") for f in features), F.lit(0.0))
+    left = F.col("count") * (F.col("score") - 1 / (1 + F.exp(-logit)))
+    terms = F.array(F.struct(F.col("model").alias("term"), left.alias("v")), *[F.struct(F.lit(f).alias("term"), (left * z).alias("v")) for f, z in scaled.items()])
+    per_term = rows.select("category", "n", F.explode(terms).alias("t")).groupBy("category", "n", "t.term").agg(F.sum("t.v").alias("v"))
+    return per_term.select("category", "term", (F.col("v") / F.col("n")).alias("residual"))
+
+
 @query("a7_pairwise_fit", _FIT_TERMS_SQL + "select category, term, 0.0::double residual, true converged from terms")
 def _(t):
     """Full-sample fit: at its coefficients every term's first-order residual per battle is zero."""
     ready, fit = _fitted(t, 0)
-    left = PF.fit_residuals(ready, fit, list(S.FEATURES)).join(fit.rounds, ["category", "round"])
+    left = _residuals(ready, fit, S.FEATURES).join(fit.rounds.where("round = 0"), "category")
     return left.select("category", "term", F.abs(F.round("residual", 5)).alias("residual"), "converged")
 
 
+def _plain_fit(t):
+    """A fit without style: its likelihood has a closed solution, the log odds of the mean score."""
+    battles = SB.counted_battles(_valid(t)).join(t.settings().select("category", F.col("baseline_short").alias("baseline")), "category")
+    ready = battles.select(
+        "category",
+        "model",
+        (F.col("model") == F.col("baseline")).alias("own"),
+        "score",
+        "count",
+        F.xxhash64("category", "model", "uid", "score").alias("row_key"),
+        F.lit(0.0).alias("nothing"),
+    )
+    return PF.fit_rounds(ready, ["nothing"], rounds=0)
+
+
+_PLAIN_SQL = """
+with fitted as (select b.category, b.model, avg(b.score) p from battles b join settings s using (category) where b.model <> s.baseline group by 1, 2)
+"""
+
+
+@query("a7_plain_strengths", _PLAIN_SQL + "select category, model, round(ln(p / (1 - p)), 4) strength from fitted")
+def _(t):
+    """Strengths of a fit without style against their closed form."""
+    return _plain_fit(t).strengths.select("category", "model", F.round("strength", 4).alias("strength"))
+
+
 @query("a7_fitted_terms")
 def _(t):
     """Coefficients of the full sample: strengths and style effects."""
@@ -324,22 +374,13 @@ def _(t):
     return _fitted(t, 100)[1].strengths.where("round > 0")
 
 
-@query(
-    "a9_win_probability",
-    _FIT_TERMS_SQL
-    + """
-select category, model, true inside, 1.0::double both_sides from fitted
-union all select distinct category, baseline, true, 1.0::double from settings join fitted using (category)""",
-)
+@query("a9_win_probability", _PLAIN_SQL + "select category, model, round(p, 4) chance, round(1 - p, 4) other from fitted")
 def _(t):
-    """Chances from fitted strengths: between 0 and 1, and both sides of a battle add up to one."""
-    _, fit = _fitted(t, 0)
-    base = t.settings().select("category", F.col("baseline_short").alias("model"), F.lit(0.0).alias("strength"))
-    strengths = fit.strengths.select("category", "model", "strength")
-    rows = strengths.unionByName(base.join(strengths.select("category").distinct(), "category", "left_semi"))
+    """Chances of beating and of losing to the baseline; without style they are the mean scores."""
+    strengths = _plain_fit(t).strengths
     chance = PF.win_probability(F.col("strength"), F.lit(0.0))
     other = PF.win_probability(F.lit(0.0), F.col("strength"))
-    return rows.select("category", "model", ((chance > 0) & (chance < 1)).alias("inside"), F.round(chance + other, 9).alias("both_sides"))
+    return strengths.select("category", "model", F.round(chance, 4).alias("chance"), F.round(other, 4).alias("other"))
 
 
 @query("a10_style_leaderboard")
@@ -353,18 +394,19 @@ def _(t):
     return SB.style_leaderboard(_valid(t), lookup(t), t.settings(), ["length"], rounds=100)
 
 
-@query(
-    "a10_style_board_checks",
+_BOARD_SQL = (
     _FIT_TERMS_SQL
     + """
 select category, model, true ordered, 0.0::double off_median, false is_base from fitted
-union all select distinct b.category, s.baseline, true, 0.0::double, true from battles b join settings s using (category)""",
+union all select distinct b.category, s.baseline, true, 0.0::double, true from battles b join settings s using (category)"""
 )
-def _(t):
-    """The board against the resampled fits: bounds in order, score equal to the median chance."""
+
+
+def _board_checks(t, controls):
+    """A board against the resampled fits: bounds in order, score equal to the median chance."""
     valid, styles, settings = _valid(t), lookup(t), t.settings()
-    board = SB.style_leaderboard(valid, styles, settings, rounds=9)
-    fits = PF.fit_rounds(SB.fit_input(valid, styles, settings), list(S.FEATURES), rounds=9).strengths.where("round > 0")
+    board = SB.style_leaderboard(valid, styles, settings, controls, rounds=9)
+    fits = PF.fit_rounds(SB.fit_input(valid, styles, settings), SB.control_columns(controls), rounds=9).strengths.where("round > 0")
     medians = fits.groupBy("category", "model").agg(F.percentile(PF.win_probability(F.col("strength")), F.lit(0.5)).alias("m"))
     off = F.round(F.abs(F.col("score") - F.coalesce("m", F.lit(0.5))), 6)
     ordered = (F.col("lower") <= F.col("score")) & (F.col("score") <= F.col("upper"))
@@ -373,6 +415,17 @@ def _(t):
     )
 
 
+@query("a10_style_board_checks", _BOARD_SQL)
+def _(t):
+    return _board_checks(t, ["length", "markdown"])
+
+
+@query("f5_markdown_board_checks", _BOARD_SQL)
+def _(t):
+    """The board controlled for markdown only."""
+    return _board_checks(t, ["markdown"])
+
+
 @query(
     "k7_text_leaderboard",
     """

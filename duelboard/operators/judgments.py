@@ -75,8 +75,15 @@ def split_judgments(judgments: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def reject_preview(rejects: DataFrame) -> DataFrame:
-    """One row: number of rejected judgments and the first few of them."""
-    text = F.concat(F.lit("uid="), F.col("uid"), F.lit(" "), F.col("reason"))
+    """One row: number of rejected judgments and the first few of them.
+
+    Each is named by its file, where the rows have one, its uid, the reason and, if its
+    labels are not known, these.
+    """
+    labels = F.concat(F.lit("="), _label(1), F.lit("/"), _label(2))
+    shown = F.when(F.col("reason") == "invalid_score_labels", F.concat("reason", labels)).otherwise(F.col("reason"))
+    file = [F.col("file_name"), F.lit(": ")] if "file_name" in rejects.columns else []
+    text = F.concat(*file, F.lit("uid="), F.coalesce("uid", F.lit("None")), F.lit(" "), shown)
     return preview_with_remainder(rejects, text, ["ord"], K.INVALID_PREVIEW)
 
 

@@ -69,10 +69,16 @@ def run_record(spark: SparkSession, fields: dict, versions: dict[str, str], ques
 
 
 def generation_log(rows: DataFrame, log_all: bool = False, limit: int | None = None, mode: str = "fixed") -> DataFrame:
-    """Rows whose generations came back empty (or all rows), in order, capped.
+    """What was asked and said where generations came back empty (or everywhere), in order, capped.
 
-    The cap is the log's size option.
+    prompt_id, prompt_messages, prompt_text, raw_responses, cleaned_responses and the
+    places of the empty ones. ``rows`` hold the cleaned ``responses``; the other columns
+    are null where they do not have them. The cap is the log's size option.
     """
-    marked = rows.withColumn("empty_indices", empty_indices(F.col("responses"), mode))
+    kinds = {"prompt_messages": "array<struct<role:string,content:string>>", "prompt_text": "string", "raw_responses": "array<string>"}
+    held = [F.col(c) if c in rows.columns else F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()]
+    marked = rows.select(
+        "prompt_id", *held, F.col("responses").alias("cleaned_responses"), empty_indices(F.col("responses"), mode).alias("empty_indices")
+    )
     chosen = marked if log_all else marked.where(F.size("empty_indices") > 0)
     return chosen if limit is None else chosen.orderBy("prompt_id").limit(int(limit))

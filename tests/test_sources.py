@@ -100,3 +100,5 @@ def test_generation_log_cap(spark):
     assert [r["prompt_id"] for r in W.generation_log(df).orderBy("prompt_id").collect()] == [1, 3, 5]
     assert W.generation_log(df, log_all=True, limit=4).count() == 4
     assert W.generation_log(df).select(F.max(F.size("empty_indices"))).first()[0] == 1
+    logged = W.generation_log(df.withColumn("prompt_text", F.lit("p")))
+    assert logged.columns == ["prompt_id", "prompt_messages", "prompt_text", "raw_responses", "cleaned_responses", "empty_indices"]
