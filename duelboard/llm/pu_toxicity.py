@@ -127,16 +127,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_
     are drawn from all of these, the prior is the share of toxic ones among the labelled
     rows. Equal texts count once. Texts are picked by the smallest hash of their id, up
     to the two bounds, so the pick is the same on every run and no order of the input
-    matters; ids without a text, null ids and null labels take no part.
+    matters. An id that stands for several texts brings each of them, whatever their
+    number; ids without a text, null ids and null labels take no part.
     """
     known = labels.select("doc_id", "toxic").na.drop().groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~in_fold(F.col("doc_id"), 0))
     share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    texts = docs.select("doc_id", "text").na.drop().where(~in_fold(F.col("doc_id"), 0))
-    narrow = texts.select("doc_id", F.xxhash64("text").alias("content"))
+    texts = docs.select("doc_id", "text").na.drop().where(~in_fold(F.col("doc_id"), 0)).withColumn("content", F.xxhash64("text"))
+    narrow = texts.select("doc_id", "content")
 
     def picked(rows: DataFrame, n: int) -> DataFrame:
         one_each = rows.groupBy("content").agg(F.min("doc_id").alias("doc_id"))
-        return one_each.select("doc_id", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(n).select("doc_id")
+        return one_each.select("doc_id", "content", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id", "content").limit(n).select("doc_id", "content")
 
     toxic = picked(narrow.join(known.where("toxic = 1"), "doc_id", "left_semi"), max_positive)
     free = picked(narrow, max_unlabelled)
@@ -148,11 +149,14 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_
                 part = batch.iloc[a:b]
                 numbers, offsets = features(part["text"].tolist())
                 own = [numbers[offsets[i] : offsets[i + 1]].tobytes() for i in range(len(part))]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "kind": part["kind"].to_numpy(), "own": own})
-
-    # at most max_positive + max_unlabelled ids, so the hint is bounded
-    rows = texts.join(F.broadcast(chosen), "doc_id").mapInPandas(drawn, "doc_id long, kind int, own binary").toPandas()
-    rows = rows.drop_duplicates(["doc_id", "kind"]).sort_values(["kind", "doc_id"])
+                yield part[["doc_id", "content", "kind"]].assign(own=own)
+
+    # at most max_positive + max_unlabelled pairs of id and text, so the hint is bounded; repeated rows meet before features are taken
+    rows = texts.join(F.broadcast(chosen), ["doc_id", "content"]).groupBy("doc_id", "content", "kind").agg(F.min("text").alias("text"))
+    rows = rows.mapInPandas(drawn, "doc_id long, content long, kind int, own binary").toPandas()
+    if len(rows) > max_positive + max_unlabelled:
+        raise AssertionError("more training texts than the two bounds allow")
+    rows = rows.sort_values(["kind", "doc_id", "content"])
     arrays = {k: [np.frombuffer(b, np.int32) for b in rows.loc[rows["kind"] == k, "own"]] for k in (0, 1)}
     return arrays[1], arrays[0], float(share or 0.0)
 
