@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duelboard.llm.components import components
-from duelboard.llm.tables import column, cut
+from duelboard.llm.tables import column, cut, free_name
 from duelboard.llm.wordkeys import in_blocks, mix, shingle_keys, word_keys
 
 SHINGLE_WORDS = 5
@@ -322,13 +322,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     first = F.min_by(F.struct("node", "check", "n"), F.struct("node", "check")).alias("first")
     named = texts.where("doc_id is not null").groupBy("class_node", "class_check", "doc_id").agg(first).select("doc_id", "first.*")
     classes = cut(named.unionByName(texts.where("doc_id is null").select("doc_id", "node", "check", "n")), "kept")
-    wanted = classes.select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"), F.col("check").alias("kept_check"), "n")
+    kept_id, kept_node, kept_check, copies, text_key = (free_name(docs, n) for n in ("kept_id", "kept_node", "kept_check", "copies", "text_key"))
+    wanted = classes.select(F.col("doc_id").alias(kept_id), F.col("node").alias(kept_node), F.col("check").alias(kept_check), F.col("n").alias(copies))
     key = column(docs, "doc_id")
     node, check = text_node(F.coalesce(column(docs, "text"), F.lit("\u0000null")))
-    same = (node == F.col("kept_node")) & (check == F.col("kept_check"))
-    single = docs.join(wanted.where("n = 1 or kept_id is null").drop("n"), key.eqNullSafe(F.col("kept_id")) & same, "left_semi")
-    repeated = wanted.where("n > 1 and kept_id is not null").drop("n")
+    same = (node == F.col(kept_node)) & (check == F.col(kept_check))
+    several = (F.col(copies) > 1) & F.col(kept_id).isNotNull()
+    single = docs.join(wanted.where(~several).drop(copies), key.eqNullSafe(F.col(kept_id)) & same, "left_semi")
+    repeated = wanted.where(several).drop(copies)
     if repeated.isEmpty():
         return single
-    again = docs.join(repeated, (key == F.col("kept_id")) & same, "left_semi")
-    return single.unionByName(again.withColumn("_text_key", node).dropDuplicates(["doc_id", "_text_key"]).drop("_text_key"))
+    again = docs.join(repeated, (key == F.col(kept_id)) & same, "left_semi")
+    return single.unionByName(again.withColumn(text_key, node).dropDuplicates(["doc_id", text_key]).drop(text_key))
