@@ -2,14 +2,19 @@
 
 An item that may differ in ``k`` places is split into ``k + 1`` pieces; by the pigeonhole
 principle at least one piece occurs unchanged. All pieces of a block of items form one
-automaton that reads each document once; around every piece hit, Myers' bit-parallel
-algorithm finds the smallest edit distance of the whole item to a part of the text.
+automaton that reads each document once. The pieces of an item are the leaves of a
+binary tree; a node of ``n`` pieces may differ in ``n - 1`` places. If a node is within
+its budget, so is one of its children (else both together exceed it), so a hit is
+followed from its piece upwards and given up at the first node that Myers' bit-parallel
+algorithm does not find around it. At the root, Myers gives the smallest edit distance
+of the whole item to a part of the text. No match is lost on the way.
 Texts are compared in lower case with white space runs as one space.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,9 +23,9 @@ from pyspark.sql import functions as F
 from duelboard.llm.tables import column, free_name
 
 #: Errors allowed per character of an item.
-ERROR_RATE = 0.07
+ERROR_RATE = 0.12
 #: Characters of items handled in one pass over the documents: bounds a task's automaton.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 
 
 def plain(text: str | None) -> str:
@@ -28,19 +33,37 @@ def plain(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
-def pieces(item: str, errors: int) -> list[tuple[int, str]]:
-    """(offset, piece): ``errors + 1`` pieces of nearly equal length that make up the item."""
-    n = errors + 1
-    cuts = [len(item) * i // n for i in range(n + 1)]
-    return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
+def piece_offsets(length: int, errors: int) -> list[int]:
+    """Borders of ``errors + 1`` pieces of nearly equal length that make up an item."""
+    return [length * i // (errors + 1) for i in range(errors + 2)]
 
 
-def myers(pattern_bits: dict[str, int], length: int, text: str, most: int) -> tuple[int, int] | None:
-    """(smallest distance, end) of the pattern to any part of ``text``, if at most ``most``; the first end of equal ones."""
+def ancestors(piece: int, n: int) -> list[tuple[int, int]]:
+    """Tree nodes (first piece, piece after the last) above a piece, the smallest first, the root left out."""
+    low, high, path = 0, n, []
+    while high - low > 1:
+        path.append((low, high))
+        middle = (low + high) // 2
+        low, high = (low, middle) if piece < middle else (middle, high)
+    return path[:0:-1]
+
+
+@lru_cache(maxsize=20_000)
+def sign_bits(pattern: str) -> dict[str, int]:
+    """For each sign of a pattern, the places it stands at."""
+    bits: dict[str, int] = {}
+    for i, sign in enumerate(pattern):
+        bits[sign] = bits.get(sign, 0) | 1 << i
+    return bits
+
+
+def myers(pattern: str, text: str, most: int, first: bool = False) -> int | None:
+    """Smallest distance of the pattern to any part of ``text``, if at most ``most``; ``first``: of the first such part."""
+    pattern_bits, length = sign_bits(pattern), len(pattern)
     ones, top = (1 << length) - 1, 1 << (length - 1)
     plus, minus, score = ones, 0, length
     best = None
-    for i, sign in enumerate(text):
+    for sign in text:
         equal = pattern_bits.get(sign, 0)
         x = equal | minus
         d0 = ((((x & plus) + plus) ^ plus) | x) & ones
@@ -53,13 +76,15 @@ def myers(pattern_bits: dict[str, int], length: int, text: str, most: int) -> tu
         up = up << 1 & ones  # a match may start anywhere, so the first row stays 0
         minus = up & d0
         plus = (down << 1 & ones) | (~(d0 | up) & ones)
-        if score <= most and (best is None or score < best[0]):
-            best = (score, i + 1)
+        if score <= most and (best is None or score < best):
+            best = score
+            if first:
+                break
     return best
 
 
 class Matcher:
-    """Automaton and bit masks of one block of items."""
+    """Automaton of the pieces of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
         import ahocorasick
@@ -70,12 +95,10 @@ class Matcher:
             if not text:
                 continue
             errors = int(len(text) * rate)
-            bits: dict[str, int] = {}
-            for i, sign in enumerate(text):
-                bits[sign] = bits.get(sign, 0) | 1 << i
-            for offset, piece in pieces(text, errors):
-                owners.setdefault(piece, []).append((len(self.items), offset))
-            self.items.append((item_id, text, errors, bits))
+            cuts = piece_offsets(len(text), errors)
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                owners.setdefault(text[a:b], []).append((len(self.items), k))
+            self.items.append((item_id, text, errors))
         self.automaton = ahocorasick.Automaton()
         for piece, own in owners.items():
             self.automaton.add_word(piece, (len(piece), own))
@@ -87,40 +110,76 @@ class Matcher:
         text = plain(text)
         if not self.items or not text:
             return []
-        starts: dict[int, list[int]] = {}
+        hits: dict[tuple[int, int], list[int]] = {}
         for end, (size, own) in self.automaton.iter(text):
-            for number, offset in own:
-                starts.setdefault(number, []).append(end + 1 - size - offset)
-        found = []
+            for owner in own:
+                hits.setdefault(owner, []).append(end + 1 - size)
+        starts: dict[int, set[int]] = {}
+        whole: set[int] = set()
+        for (number, piece), places in hits.items():
+            kept = [] if number in whole else self._climb(number, piece, places, text)
+            if not kept:
+                continue
+            if number not in starts and self.items[number][1] in text:
+                whole.add(number)
+            starts.setdefault(number, set()).update(kept)
+        found = [(self.items[number][0], 0) for number in whole]
         for number, places in starts.items():
-            item_id, item, errors, bits = self.items[number]
-            best = None
-            for low, high in _windows(sorted(places), len(item), errors, len(text)):
-                part = text[low:high]
-                if item in part:
-                    best = (0, 0)
-                    break
-                hit = myers(bits, len(item), part, errors)
-                if hit and (best is None or hit[0] < best[0]):
-                    best = hit
-            if best:
-                found.append((item_id, best[0]))
+            item_id, item, errors = self.items[number]
+            if number in whole:
+                continue
+            windows = _windows(sorted(places), len(item), errors, len(text))
+            distances = [d for a, b, _ in windows if (d := myers(item, text[a:b], errors)) is not None]
+            if distances:
+                found.append((item_id, min(distances)))
         return sorted(found)
 
+    def _climb(self, number: int, piece: int, places: list[int], text: str) -> list[int]:
+        """Where the item would start, for the places of a piece around which all nodes below the root are found."""
+        _, item, errors = self.items[number]
+        cuts, first = piece_offsets(len(item), errors), True
+        for low, high in ancestors(piece, errors + 1):
+            node, most, shift = item[cuts[low] : cuts[high]], high - low - 1, cuts[piece] - cuts[low]
+            if first:
+                places, first = _beside(node, shift, cuts[piece + 1] - cuts[low], most, places, text), False
+            kept = []
+            for a, b, own in _windows([p - shift for p in places], len(node), most, len(text)):
+                if myers(node, text[a:b], most, first=True) is not None:
+                    kept += own
+            if not kept:
+                return []
+            places = [p + shift for p in kept]
+        return [p - cuts[piece] for p in places]
+
+
+def _beside(node: str, start: int, stop: int, most: int, places: list[int], text: str) -> list[int]:
+    """Places of ``node[start:stop]`` beside which the rest of the node may follow with ``most`` errors.
+
+    The rest is split into ``most + 1`` parts, of which one must stand there unchanged,
+    moved by no more than ``most`` signs.
+    """
+    parts = []
+    for low, high in ((0, start), (stop, len(node))):
+        cuts = [low + (high - low) * i // (most + 1) for i in range(most + 2)]
+        parts += [(node[a:b], a - start - most, b - start + most) for a, b in zip(cuts, cuts[1:]) if high > low]
+    return [p for p in places if any(text.find(part, max(0, p + a), max(0, p + b)) >= 0 for part, a, b in parts)]
+
 
-def _windows(starts: list[int], length: int, errors: int, end: int) -> Iterator[tuple[int, int]]:
-    """Parts of the text around the given starts, grown by the errors on both sides; overlapping ones joined."""
-    low = high = None
+def _windows(starts: list[int], length: int, errors: int, end: int) -> Iterator[tuple[int, int, list[int]]]:
+    """Parts of the text around ascending starts, grown by the errors on both sides, with their starts; overlapping ones joined."""
+    low = high = 0
+    own: list[int] = []
     for start in starts:
         a, b = max(0, start - errors), min(end, start + length + errors)
-        if low is not None and a <= high:
+        if own and a <= high:
             high = max(high, b)
+            own.append(start)
             continue
-        if low is not None:
-            yield low, high
-        low, high = a, b
-    if low is not None:
-        yield low, high
+        if own:
+            yield low, high, own
+        low, high, own = a, b, [start]
+    if own:
+        yield low, high, own
 
 
 def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
