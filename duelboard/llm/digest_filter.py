@@ -4,7 +4,8 @@ The rules (host, path, verdict) are sorted by the xxhash of ``host + path``. Dig
 string offsets and the full strings lie in files that every executor fetches once and
 maps into memory, so the workers of a machine share their pages and load only what
 they touch. A URL asks for each of its parent domains with each path length that
-occurs in the rules; vectorised binary search finds equal digests, and the stored
+occurs in the rules beside a host of that length; the keys of all URLs of a batch are
+digested into one array and found by one vectorised binary search, and the stored
 string decides, so a digest collision cannot give a false match.
 """
 
@@ -28,6 +29,8 @@ VERDICTS = ("allow", "block")
 SEED = 42
 #: Rules that the driver holds at once while it writes the files.
 ROWS_AT_ONCE = 100_000
+#: Keys that a batch of URLs looks up at once: bounds the memory of a worker.
+KEYS_AT_ONCE = 200_000
 ENTRY = np.dtype([("offset", "<u8"), ("length", "<u4"), ("host", "<u4"), ("verdict", "u1")])
 
 
@@ -111,7 +114,23 @@ class RuleIndex:
     def __init__(self, paths: dict[str, str], shapes: list[tuple[int, int]]):
         read = lambda kind, dtype: np.memmap(paths[kind], dtype, "r") if os.path.getsize(paths[kind]) else np.zeros(0, dtype)
         self.digests, self.entries, self.strings = read("digests", "<i8"), read("entries", ENTRY), read("strings", "u1")
-        self.shapes = shapes
+        self.path_lengths: dict[int, list[int]] = {}
+        for host_length, path_length in shapes:
+            self.path_lengths.setdefault(host_length, []).append(path_length)
+        for lengths in self.path_lengths.values():
+            lengths.sort()
+
+    def keys_of(self, host: str, path: str) -> list[tuple[int, int, str, str]]:
+        """(length, host length, domain, path prefix) of all rules that could fit a URL."""
+        out, start = [], 0
+        while start >= 0:
+            size = len(host) - start
+            for n in self.path_lengths.get(size, ()):
+                if n > len(path):
+                    break
+                out.append((size + n, size, host[start:], path[:n]))
+            start = host.find(".", start) + 1 or -1  # after the last dot the loop ends
+        return out
 
     def find(self, texts: list[bytes], hosts: list[int]) -> np.ndarray:
         """Index of the entry with that full string and host length, -1 where there is none."""
@@ -138,16 +157,26 @@ class RuleIndex:
     def match(self, hosts: list[str], paths: list[str]) -> np.ndarray:
         """Entry of the longest rule that fits each URL, -1 where none fits."""
         best = np.full(len(hosts), -1)
-        for host_length, path_length in self.shapes:  # longest first
-            asked = [
-                i
-                for i, (h, p) in enumerate(zip(hosts, paths))
-                if best[i] < 0 and len(p) >= path_length and (len(h) == host_length or (len(h) > host_length and h[len(h) - host_length - 1] == "."))
-            ]
-            ends = [hosts[i][len(hosts[i]) - host_length :].encode() for i in asked]
-            found = self.find([e + paths[i][:path_length].encode() for e, i in zip(ends, asked)], [len(e) for e in ends])
-            for i, entry in zip(asked, found):
-                best[i] = entry
+        longest: dict[int, tuple[int, int]] = {}
+        texts: list[bytes] = []
+        host_bytes: list[int] = []
+        owners: list[tuple[int, int, int]] = []
+
+        def look_up() -> None:
+            for (i, *size), entry in zip(owners, self.find(texts, host_bytes)):
+                if entry >= 0 and tuple(size) > longest.get(i, (-1, -1)):
+                    best[i], longest[i] = entry, tuple(size)
+            texts.clear(), host_bytes.clear(), owners.clear()
+
+        for i, (host, path) in enumerate(zip(hosts, paths)):
+            for length, host_length, domain, prefix in self.keys_of(host, path):
+                head = domain.encode()
+                texts.append(head + prefix.encode())
+                host_bytes.append(len(head))
+                owners.append((i, length, host_length))
+                if len(owners) >= KEYS_AT_ONCE:
+                    look_up()
+        look_up()
         return best
 
     def rule(self, entry: int) -> tuple[str, str]:
