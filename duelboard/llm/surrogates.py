@@ -4,7 +4,10 @@ Entities are found by one pattern. Each distinct entity gets a surrogate derived
 secret key, so the same person or number is replaced alike in every document. A
 registry of all distinct entities is checked for collisions: two entities with one
 surrogate, or a surrogate that is itself a real entity, give way to the next draw until
-none is left. Only DataFrame functions are used.
+none is left. A given name has one gender: that of all its titled mentions, else that of
+the lists of given names, else none, and names that fit both are drawn. Where a text has
+a titled name, its later mentions without a title are replaced alike. Only DataFrame
+functions are used.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duelboard.functions.binding import let
 from duelboard.llm.tables import column, cut, free_name
 
 # Patterns of the entities, titles by gender, and names to draw from.
@@ -24,12 +28,21 @@ LATIN_FAMILY = ["Abel", "Berger", "Castro", "Dumont", "Ferrer", "Garnier", "Hans
 CYRILLIC_FEMALE = ["Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга"]
 CYRILLIC_MALE = ["Антон", "Борис", "Виктор", "Денис", "Иван", "Максим", "Олег", "Павел"]
 CYRILLIC_FAMILY = ["Белов", "Волков", "Громов", "Козлов", "Лебедев", "Морозов", "Орлов", "Соколов"]
+LATIN_NEUTRAL = ["Alex", "Charlie", "Dominique", "Jamie", "Jules", "Kim", "Noel", "Robin", "Sam", "Sasha", "Toni", "Yael"]
+CYRILLIC_NEUTRAL = ["Валя", "Женя", "Паша", "Саша", "Слава", "Шура"]
+#: Given names that tell a gender where no title does.
+FEMALE_GIVEN = ["Alice", "Amanda", "Ana", "Andrea", "Angela", "Anna", "Anne", "Barbara", "Carmen", "Catherine", "Charlotte", "Claire", "Emily", "Emma", "Eva", "Helen", "Ingrid", "Isabel", "Jane", "Jennifer", "Jessica", "Karen", "Katharina", "Linda", "Lisa", "Lucia", "Margaret", "Marie", "Mary", "Nancy", "Olivia", "Patricia", "Sarah", "Susan", "Teresa", "Ursula", "Екатерина", "Наталья", "Светлана", "Татьяна", "Юлия"]
+MALE_GIVEN = ["Alejandro", "Andrew", "Antonio", "Carlos", "Charles", "Christopher", "Daniel", "Diego", "Edward", "Fernando", "Francisco", "Frank", "Georg", "George", "Hans", "Henry", "James", "Jean", "John", "Jorge", "Jose", "Joseph", "José", "Juan", "Klaus", "Luis", "Manuel", "Mark", "Matthew", "Michael", "Miguel", "Paul", "Pedro", "Peter", "Philippe", "Pierre", "Richard", "Robert", "Stefan", "Thomas", "William", "Wolfgang", "Александр", "Алексей", "Андрей", "Владимир", "Дмитрий", "Михаил", "Сергей", "Николай"]
 LATIN_SYLLABLES = ["ba", "de", "fi", "go", "hu", "ka", "le", "mi", "no", "pu", "ra", "se", "ti", "vo", "wa", "zu"]
 CYRILLIC_SYLLABLES = ["ба", "де", "фи", "го", "ху", "ка", "ле", "ми", "но", "пу", "ра", "се", "ти", "во", "ва", "зу"]
 _SECRET_WORD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)"
 #: What stays of a secret: the sign and quote before it, or the prefix of an access key.
 SECRET_HEAD = r"[=:]\s{0,3}[\"']?|AKIA"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+#: A capitalised word outside of the entities, a mention of a name if the text has a titled one.
+MENTION = r"(?<![\p{L}\d_])\p{Lu}[\p{L}'’-]*"
+#: What a name ends with in the genitive; it stays.
+GENITIVE = r"(?:['’]s|['’-]+)$"
 _TITLE = "|".join(sorted(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES, key=len, reverse=True))
 # Each pattern but the first starts with one sign of a small class, which fails fast, and
 # looks behind that sign afterwards.
@@ -63,12 +76,17 @@ def _digits(raw: Column) -> Column:
     return F.regexp_replace(raw, r"\D", "")
 
 
+def _name_canon(name: Column) -> Column:
+    return F.lower(F.regexp_replace(name, GENITIVE, ""))
+
+
 def entity_parts(raw: Column) -> Column:
     """Array of (kind, canon, gender): what must be replaced alike wherever it occurs.
 
-    Case and format do not tell entities apart, nor does a country code: a phone number
-    is its last ten digits. A person has a given and a family name,
-    or only the latter, so "Mr. Smith" shares the family name of "Mr. John Smith".
+    Case, genitive and format do not tell entities apart, nor does a country code: a phone
+    number is its last ten digits. A person has a given and a family name, or only the
+    latter, so "Mr. Smith" shares the family name of "Mr. John Smith". The gender is that
+    of the title.
     """
     kind = entity_kind(raw)
     title = F.regexp_extract(raw, r"^([^ .]+)", 1)
@@ -81,10 +99,10 @@ def entity_parts(raw: Column) -> Column:
     person = F.when(
         F.size(names) > 1,
         F.array(
-            part(F.concat(F.lit("given-"), script(names[0])), F.lower(names[0]), gender),
-            part(F.concat(F.lit("family-"), script(family)), F.lower(family), none),
+            part(F.concat(F.lit("given-"), script(names[0])), _name_canon(names[0]), gender),
+            part(F.concat(F.lit("family-"), script(family)), _name_canon(family), none),
         ),
-    ).otherwise(F.array(part(F.concat(F.lit("family-"), script(family)), F.lower(family), none)))
+    ).otherwise(F.array(part(F.concat(F.lit("family-"), script(family)), _name_canon(family), none)))
     value = F.regexp_replace(raw, "^(?:" + SECRET_HEAD + ")", "")
     canon = F.when(kind == "email", F.lower(raw)).when(kind == "secret", value).when(kind == "ip", raw)
     canon = canon.when(kind == "phone", F.right(_digits(raw), F.lit(10))).otherwise(_digits(raw))
@@ -151,11 +169,12 @@ def surrogate(kind: Column, canon: Column, gender: Column, attempt: Column, key:
     out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", ten).when(kind == "card", F.concat(body, _luhn(body)))
     out = out.when(kind == "ssn", F.concat((_draw(stream, 0) % 8 + 1).cast("string"), _random_digits(stream, F.lit(8), 1)))
     out = out.when(kind == "secret", _shaped(canon, stream))
-    for script, female, male, family, syllables, ends in (
-        ("latin", LATIN_FEMALE, LATIN_MALE, LATIN_FAMILY, LATIN_SYLLABLES, ("a", "n")),
-        ("cyrillic", CYRILLIC_FEMALE, CYRILLIC_MALE, CYRILLIC_FAMILY, CYRILLIC_SYLLABLES, ("а", "н")),
+    for script, female, male, neutral, family, syllables, ends in (
+        ("latin", LATIN_FEMALE, LATIN_MALE, LATIN_NEUTRAL, LATIN_FAMILY, LATIN_SYLLABLES, ("a", "n", "i")),
+        ("cyrillic", CYRILLIC_FEMALE, CYRILLIC_MALE, CYRILLIC_NEUTRAL, CYRILLIC_FAMILY, CYRILLIC_SYLLABLES, ("а", "н", "и")),
     ):
-        given = F.when(gender == "f", _drawn_name(female, syllables, ends[0], stream, attempt)).otherwise(_drawn_name(male, syllables, ends[1], stream, attempt))
+        of = lambda names, ending: _drawn_name(names, syllables, ending, stream, attempt)  # noqa: B023, E731
+        given = F.when(gender == "f", of(female, ends[0])).when(gender == "m", of(male, ends[1])).otherwise(of(neutral, ends[2]))
         out = out.when(kind == f"given-{script}", given).when(kind == f"family-{script}", _drawn_name(family, syllables, ends[1], stream, attempt))
     return out
 
@@ -174,6 +193,22 @@ def _in_case(name: Column, piece: Column) -> Column:
     return F.when((F.length(name) > 1) & (name == F.upper(name)), F.upper(piece)).otherwise(F.initcap(piece))
 
 
+def resolved_genders(parts: DataFrame) -> DataFrame:
+    """(kind, canon, gender), one row per kind and canon, of parts with the genders of their titles.
+
+    Titles of both genders make a name neutral, as does a name without a telling title
+    that is in no list or in both.
+    """
+    lower = lambda names: [n.lower() for n in names]
+    female, male = (
+        F.col("kind").startswith("given-") & F.col("canon").isin(lower(names)) for names in (LATIN_FEMALE + CYRILLIC_FEMALE + FEMALE_GIVEN, LATIN_MALE + CYRILLIC_MALE + MALE_GIVEN)
+    )
+    titled = parts.groupBy("kind", "canon").agg(F.max(F.col("gender") == "f").alias("f"), F.max(F.col("gender") == "m").alias("m"))
+    known = F.when(F.col("f") & F.col("m"), "n").when(F.col("f"), "f").when(F.col("m"), "m")
+    listed = F.when(female & ~male, "f").when(male & ~female, "m").when(F.col("kind").startswith("given-"), "n").otherwise("")
+    return titled.select("kind", "canon", F.coalesce(known, listed).alias("gender"))
+
+
 def registry(parts: DataFrame, key: str) -> DataFrame:
     """(kind, canon, gender, surrogate) of all distinct parts (kind, canon, gender), free of collisions.
 
@@ -200,34 +235,67 @@ def registry(parts: DataFrame, key: str) -> DataFrame:
         )
 
 
+def _renamed(gap: Column, names: Column) -> Column:
+    """(text, number of mentions) of the text between two entities, its mentions of known names replaced."""
+    words, rest = F.regexp_extract_all(gap, F.lit(MENTION), 0), F.split(gap, MENTION, -1)
+
+    def rename(word: Column) -> Column:
+        new = F.element_at(names, _name_canon(word))
+        return F.struct(F.coalesce(F.concat(_in_case(word, new), F.regexp_extract(word, GENITIVE, 0)), word).alias("word"), new.isNotNull().alias("known"))
+
+    def fuse(own: Column) -> Column:
+        text = F.array_join(F.zip_with(rest, own, lambda gap, new: F.concat(gap, F.coalesce(new["word"], F.lit("")))), "")
+        return F.struct(text.alias("text"), F.size(F.filter(own, lambda new: new["known"])).alias("n"))
+
+    return let(F.transform(words, rename), fuse)
+
+
 def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with every entity of ``text`` replaced; all other columns and texts are unchanged.
 
-    Equal entities get equal surrogates in all rows, different ones different ones. Null
-    and empty texts hold no entity. ``count`` names an added column with the number of
-    entities replaced. Repeated rows are replaced alike.
+    Equal entities get equal surrogates in all rows, different ones different ones; a
+    capitalised word that is part of a titled name in the same text is replaced like it,
+    with or without a title. Null and empty texts hold no entity; long ones are read
+    whole. ``count`` names an added column with the number of entities and mentions
+    replaced. Repeated rows, and rows of a repeated id, are each replaced by their own text.
     """
     content, columns = column(docs, text), docs.columns
     has = holds_entity(content)
     marked = docs.where(has)
     found = F.regexp_extract_all(content, F.lit(ENTITY), 0)
-    raws = marked.select(F.xxhash64(content).alias("h"), F.explode(F.array_distinct(found)).alias("raw")).distinct()
+    raws = cut(marked.select(F.xxhash64(content).alias("h"), F.explode(F.array_distinct(found)).alias("raw")).distinct(), "raws")
     entities = cut(raws.select("raw").distinct().withColumn("kind_of", entity_kind(F.col("raw"))).withColumn("parts", entity_parts(F.col("raw"))), "entities")
     parts = entities.select("raw", "kind_of", F.posexplode("parts").alias("place", "part")).select("raw", "kind_of", "place", "part.*")
-    names = registry(parts.select("kind", "canon", "gender"), key)
-    pieces = parts.join(names, ["kind", "canon", "gender"]).groupBy("raw", "kind_of").agg(F.sort_array(F.collect_list(F.struct("place", "surrogate"))).alias("pieces"))
+    names = registry(resolved_genders(parts), key).drop("gender")
+    pieces = parts.join(names, ["kind", "canon"]).groupBy("raw", "kind_of").agg(F.sort_array(F.collect_list(F.struct("place", "surrogate", "kind", "canon"))).alias("pieces"))
     raw, first = F.col("raw"), F.col("pieces")[0]["surrogate"]
     title = F.regexp_extract(raw, r"^[^ .]+\.? ", 0)
     words = F.split(F.regexp_replace(raw, r"^[^ .]+\.? ", ""), " ")
-    person = F.concat(title, F.concat_ws(" ", F.transform("pieces", lambda p, i: _in_case(F.get(words, i), p["surrogate"]))))
-    replaced = cut(pieces.select("raw", F.when(F.col("kind_of") == "person", person).otherwise(_in_format(raw, F.col("kind_of"), first)).alias("new")), "replaced")
-    maps = raws.join(replaced, "raw").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("raw", "new"))).alias("map"))
-    h, by = free_name(docs, "entity_h"), free_name(docs, "entity_map")
-    joined = marked.withColumn(h, F.xxhash64(content)).join(maps.select(F.col("h").alias(h), F.col("map").alias(by)), h)
+    renamed = F.transform("pieces", lambda p, i: F.concat(_in_case(F.get(words, i), p["surrogate"]), F.regexp_extract(F.get(words, i), GENITIVE, 0)))
+    person = F.concat(title, F.concat_ws(" ", renamed))
+    is_person = F.col("kind_of") == "person"
+    new = F.when(is_person, person).otherwise(_in_format(raw, F.col("kind_of"), first)).alias("new")
+    replaced = cut(pieces.select("raw", new, F.when(is_person, F.col("pieces")).alias("pieces")), "replaced")
+    own = cut(raws.join(replaced, "raw"), "replacements")
+    maps = own.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("raw", "new"))).alias("map"))
+    people = own.where("pieces is not null").select("h", F.explode("pieces").alias("piece")).groupBy("h", F.col("piece.canon").alias("canon"))
+    # a word that is both a given and a family name in a text counts as the latter
+    people = people.agg(F.min(F.struct("piece.kind", "piece.surrogate"))["surrogate"].alias("name"))
+    people = people.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("canon", "name"))).alias("names"))
+    h, by, known, done = (free_name(docs, name) for name in ("entity_h", "entity_map", "entity_names", "entity_done"))
+    maps = maps.join(people, "h", "left").select(F.col("h").alias(h), F.col("map").alias(by), F.col("names").alias(known))
+    joined = marked.withColumn(h, F.xxhash64(content)).join(maps, h)
     body = F.col("`" + text.replace("`", "``") + "`")
     ents, gaps = F.regexp_extract_all(body, F.lit(ENTITY), 0), F.split(body, ENTITY, -1)
-    fused = F.zip_with(gaps, ents, lambda gap, ent: F.concat(gap, F.coalesce(F.element_at(F.col(by), ent), F.lit(""))))
+    gaps = F.transform(gaps, lambda gap: F.when(F.col(known).isNotNull(), _renamed(gap, F.col(known))).otherwise(F.struct(gap.alias("text"), F.lit(0).alias("n"))))
+    swap = lambda ent: F.when(ent.isNull(), "").otherwise(F.coalesce(F.element_at(F.col(by), ent), ent))
+
+    def fuse(gaps: Column) -> Column:
+        whole = F.array_join(F.zip_with(gaps, ents, lambda gap, ent: F.concat(gap["text"], swap(ent))), "")
+        return F.struct(whole.alias("text"), (F.size(ents) + F.aggregate(gaps, F.lit(0), lambda n, gap: n + gap["n"])).alias("n"))
+
     keep = lambda df, value, n: df.select(
         *[value.alias(c) if c == text else F.col("`" + c.replace("`", "``") + "`") for c in columns], *([n.cast("int").alias(count)] if count else [])
     )
-    return keep(joined, F.array_join(fused, ""), F.size(ents)).unionByName(keep(docs.where(~has), body, F.lit(0)))
+    fused = joined.withColumn(done, let(gaps, fuse))
+    return keep(fused, F.col(done)["text"], F.col(done)["n"]).unionByName(keep(docs.where(~has), body, F.lit(0)))
