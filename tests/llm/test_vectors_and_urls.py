@@ -120,6 +120,18 @@ def test_url_digest_collisions_are_settled_by_the_string(tmp_path):
         digest_filter.xxhash.xxh64_intdigest = real
 
 
+def test_urls_with_many_rule_shapes(spark, monkeypatch):
+    monkeypatch.setattr(digest_filter, "KEYS_AT_ONCE", 50)
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    rules = {(f"{word(rng.randint(1, 4))}.{rng.choice(['com', 'co.uk'])}", "/" + word(rng.randint(0, 5))) for _ in range(300)}
+    rules = [(h, p, rng.choice(["allow", "block"])) for h, p in rules]
+    index_rules = digest_filter.write_rules(spark.createDataFrame(rules, "host string, path string, verdict string"))
+    urls = [f"http://{word(2)}.{h}{p}{word(2)}" for h, p, _ in rules] + [f"http://{word(9)}.com/{word(9)}" for _ in range(50)]
+    for r in digest_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), index_rules).collect():
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute_rule(r["url"], rules), r["url"]
+
+
 def test_no_rules(spark):
     files = digest_filter.write_rules(spark.createDataFrame([], "host string, path string, verdict string"))
     row = digest_filter.judge_urls(spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string"), files).first()
