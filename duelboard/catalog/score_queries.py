@@ -374,13 +374,30 @@ def _(t):
     return _fitted(t, 100)[1].strengths.where("round > 0")
 
 
-@query("a9_win_probability", _PLAIN_SQL + "select category, model, round(p, 4) chance, round(1 - p, 4) other from fitted")
+@query(
+    "a9_win_probability",
+    _FIT_TERMS_SQL
+    + """,
+plain as (select b.category, b.model, avg(b.score) p from battles b join settings s using (category) where b.model <> s.baseline group by 1, 2),
+styled as (select category, model, true inside, 1.0::double both_sides from fitted
+           union all select distinct category, baseline, true, 1.0::double from settings join fitted using (category))
+select category, model, inside, both_sides, round(p, 4) chance, round(1 - p, 4) other from styled full join plain using (category, model)""",
+)
 def _(t):
-    """Chances of beating and of losing to the baseline; without style they are the mean scores."""
-    strengths = _plain_fit(t).strengths
+    """Chances from strengths fitted with style and without.
+
+    With style, of all models and baselines: between 0 and 1, and both sides of a battle add
+    up to one. Without, the chances of beating and of losing to the baseline are the mean scores.
+    """
+    _, fit = _fitted(t, 0)
+    base = t.settings().select("category", F.col("baseline_short").alias("model"), F.lit(0.0).alias("strength"))
+    strengths = fit.strengths.select("category", "model", "strength")
+    rows = strengths.unionByName(base.join(strengths.select("category").distinct(), "category", "left_semi"))
     chance = PF.win_probability(F.col("strength"), F.lit(0.0))
     other = PF.win_probability(F.lit(0.0), F.col("strength"))
-    return strengths.select("category", "model", F.round(chance, 4).alias("chance"), F.round(other, 4).alias("other"))
+    styled = rows.select("category", "model", ((chance > 0) & (chance < 1)).alias("inside"), F.round(chance + other, 9).alias("both_sides"))
+    plain = _plain_fit(t).strengths.select("category", "model", F.round(chance, 4).alias("chance"), F.round(other, 4).alias("other"))
+    return styled.join(plain, ["category", "model"], "full_outer")
 
 
 @query("a10_style_leaderboard")
