@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -13,6 +13,8 @@ from duelboard import constants as K
 from duelboard import schemas
 from duelboard.functions.prompts import repair_failure, repair_messages
 from duelboard.functions.verdicts import parse_label
+from duelboard.operators.keyed import alike
+from duelboard.session import bound_batches
 
 
 def call_judge(requests: DataFrame, make_reply: Callable, columns: list[str], again: int = 1) -> DataFrame:
@@ -26,6 +28,7 @@ def call_judge(requests: DataFrame, make_reply: Callable, columns: list[str], ag
     answers a single request.
     """
     kept = requests.select(*columns)
+    bound_batches(requests.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
 
     def run(batches):
@@ -104,7 +107,11 @@ def apply_repairs(
 ) -> DataFrame:
     """Fill missing scores from the repair replies (uid, game_no, repair_reply and, if kept, repair_messages)."""
     parsed = repairs.withColumn("repair_score", parse_label(F.col("repair_reply"), patterns))
-    joined = labelled.join(parsed, ["uid", "game_no"], "left")
+    named = parsed.withColumnsRenamed({"uid": "_uid", "game_no": "_game_no"})
+    # dealt by uid alone, as the games of a question meet by it next: their prompts are moved once
+    same = (F.col("uid") == F.col("_uid")) & alike(F.col("game_no"), F.col("_game_no"))
+    joined = labelled.join(named, same, "left").drop("_uid", "_game_no")
+    joined = joined.select("uid", "game_no", *[c for c in joined.columns if c not in ("uid", "game_no")])
     score = F.coalesce("score", "repair_score")
     return (
         joined.withColumn("repaired", F.col("score").isNull() & F.col("repair_score").isNotNull())
@@ -172,6 +179,9 @@ def batch_scores(make_scorer: Callable):
     ``make_scorer()`` runs once per Python worker and returns
     ``f(list[(prompt, response)]) -> list[float]``.
     """
+    if session := SparkSession.getActiveSession():
+        bound_batches(session)
+
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         scorer = make_scorer()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from duelboard.functions.prompts import judge_messages, judge_prompt, message
 from duelboard.functions.style import style_metadata
 from duelboard.operators.judgments import is_complete
-from duelboard.operators.keyed import without
+from duelboard.operators.keyed import alike, without
 from duelboard.session import broadcast_if_small
 
 
@@ -91,7 +91,8 @@ def with_answers(
     """Pending questions with the target's and the baseline's answer text.
 
     Each side reads only the models it needs; with ``baselines`` given, the
-    filter reaches the scan and prunes a layout partitioned by model.
+    filter reaches the scan and prunes a layout partitioned by model. Both joins deal by
+    uid alone, which is how resolved answers lie, so texts are not moved for them.
     """
     own = answers.where(F.col("model") == target).select(
         "uid", F.col("answer").alias("target_answer")
@@ -99,10 +100,11 @@ def with_answers(
     others = answers if baselines is None else answers.where(F.col("model").isin(baselines))
     base = others.select(
         "uid",
-        F.col("model").alias("baseline"),
+        F.col("model").alias("_model"),
         F.col("answer").alias("baseline_answer"),
     )
-    return pending.join(own, "uid").join(base, ["uid", "baseline"])
+    paired = pending.join(own, "uid").join(base, "uid").where(alike(F.col("baseline"), F.col("_model"))).drop("_model")
+    return paired.select("uid", "baseline", *[c for c in paired.columns if c not in ("uid", "baseline")])
 
 
 def swapped_games(paired: DataFrame) -> DataFrame:

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of an Arrow batch, see ``bound_batches``.
+ARROW_BYTES = "4m"
+
 
 def build_session(app_name: str = "duelboard", **conf: str) -> SparkSession:
     """Session with the settings the operators are tuned for.
@@ -46,6 +49,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of few bytes for Python workers that hold long texts, where the session has set nothing.
+
+    A worker holds a batch several times over (as it came, as objects, as it leaves), so
+    Spark's own bound lets four workers take gigabytes.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("64MB", "67108864b", "67108864"):
+        spark.conf.set(name, ARROW_BYTES)
+
+
 def work_partitions(spark: SparkSession) -> int:
     """Partitions for work whose cost the row bytes do not show.
 

@@ -19,6 +19,7 @@ from duelboard.operators.keyed import (
     first_rows,
     keep_first,
     keep_last,
+    last_dealt,
 )
 from duelboard.sources.folders import path_exists
 
@@ -98,8 +99,12 @@ def resolve_answers(rows: DataFrame) -> DataFrame:
     a later file replaces an earlier one of the same model, and the last row of a
     uid wins.
     """
-    current = current_files(rows).where(F.col("uid").isNotNull())
-    return keep_last(current, ["model", "uid"])
+    return last_answers(current_files(rows))
+
+
+def last_answers(current: DataFrame) -> DataFrame:
+    """The last row per model and uid of the rows of current files."""
+    return last_dealt(current.where(F.col("uid").isNotNull()), ["model", "uid"], "uid")
 
 
 def read_answers(spark: SparkSession, directory: str) -> DataFrame:
