@@ -10,7 +10,7 @@ from duelboard import constants as K
 from duelboard.functions.prompts import comparison_prompt
 from duelboard.functions.text import is_falsy, seed_from_key
 from duelboard.functions.verdicts import parse_comparison, settle_winner
-from duelboard.operators.keyed import first_rows, keep_first, without
+from duelboard.operators.keyed import alike, first_rows, keep_first, settle_frequent, without
 
 
 def select_candidates(paths: dict[str, str | None], keys: list[str]) -> list[str]:
@@ -47,15 +47,19 @@ def common_instructions(candidates: DataFrame, names: list[str]) -> DataFrame:
     """instruction and the outputs of all candidates, for instructions that all have.
 
     One grouping of instructions and row numbers does the first-row-wins rule and the
-    N-way intersection; the output texts are fetched for the rows that it has picked.
+    N-way intersection; the output texts are fetched for the rows that it has picked. They
+    are dealt by instruction alone, so each text is moved once and whatever follows per
+    instruction moves none. Of frequent instructions only the picked rows are dealt.
     """
     usable = usable_outputs(candidates).where(F.col("name").isin(names))
     firsts = [F.min(F.when(F.col("name") == name, F.col("ord"))).alias(f"ord_{i}") for i, name in enumerate(names)]
     present = [F.max(F.col("name") == name).alias(f"has_{i}") for i, name in enumerate(names)]
-    rows = usable.groupBy("instruction").agg(*firsts, *present).where(_everywhere(names))
+    grouped = usable.groupBy("instruction").agg(*firsts, *present, F.count(F.lit(1)).alias("n"))
+    rows = grouped.where(_everywhere(names)).drop("n")
     for i, name in enumerate(names):
-        own = usable.where(F.col("name") == name).select("instruction", F.col("ord").alias(f"ord_{i}"), F.col("output").alias(f"output_{i}"))
-        rows = rows.join(own, ["instruction", f"ord_{i}"])
+        own = usable.where(F.col("name") == name).select("instruction", "ord", F.col("output").alias(f"output_{i}"))
+        own = settle_frequent(own, grouped.select("instruction", F.col(f"ord_{i}").alias("ord"), "n"), ["instruction"])
+        rows = rows.join(own, "instruction").where(alike(F.col("ord"), F.col(f"ord_{i}"))).drop("ord")
     outputs = [F.struct(F.lit(name).alias("name"), F.col(f"output_{i}").alias("output")) for i, name in enumerate(names)]
     return rows.select("instruction", F.array(*outputs).alias("outputs"))
 

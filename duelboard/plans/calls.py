@@ -39,10 +39,12 @@ def ask_once(requests: DataFrame, make_reply: Callable, log: str, keys: list[str
     spark, run = requests.sparkSession, uuid.uuid4().hex
     wanted = requests.withColumn("request", request_digest(keys, sent))
     schema = StructType([*wanted.schema.fields, StructField("reply", StringType()), StructField("error", StringType())])
-    asked = _written(wanted.select("request"), f"{log}/asked/run={run}")
-    pending = without(wanted, logged_calls(spark, log, schema).where(F.col("reply").isNotNull()), ["request"])
-    slices = 1
-    if every is not None:  # the slices come from one stored table, so that prompts are built once
+    logged = path_exists(spark, f"{log}/calls")
+    pending, slices = wanted, 1
+    if logged:  # the requests come from one stored table, so that prompts are built once
+        wanted = _written(wanted, f"{log}/wanted/run={run}")
+        pending = without(wanted, logged_calls(spark, log, schema).where(F.col("reply").isNotNull()), ["request"])
+    if every is not None:
         pending = _written(pending, f"{log}/pending/run={run}")
         slices = max(1, math.ceil(pending.count() / every))
     for number in range(slices):
@@ -50,8 +52,10 @@ def ask_once(requests: DataFrame, make_reply: Callable, log: str, keys: list[str
         made = call_judge(part, make_reply, wanted.columns)
         made.select(schema.names).write.option("compression", "zstd").parquet(f"{log}/calls/run={run}-{number}")
     calls = logged_calls(spark, log, schema)
+    if not logged:  # this run's calls are all that was asked, and nothing has to be matched
+        return calls.where(F.col("run").startswith(run)).drop("request", "run")
     final = calls.where(F.col("reply").isNotNull() | F.col("run").startswith(run))
-    return final.join(asked, "request", "left_semi").drop("request", "run")
+    return final.join(wanted.select("request"), "request", "left_semi").drop("request", "run")
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
