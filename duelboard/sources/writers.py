@@ -9,12 +9,13 @@ from duelboard.functions.text import safe_name
 from duelboard.operators.pairs import empty_indices
 
 
-def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "none") -> None:
     """Replace ``path`` with the rows; readers see the old or the new files.
 
-    With ``partition_by`` only the partitions present in ``df`` are replaced.
+    With ``partition_by`` only the partitions present in ``df`` are replaced. Compressed
+    files are read whole by a task each: there are as many as writing tasks.
     """
-    writer = df.write.mode("overwrite").option("ignoreNullFields", False)
+    writer = df.write.mode("overwrite").option("ignoreNullFields", False).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.json(path)
