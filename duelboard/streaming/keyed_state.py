@@ -8,11 +8,9 @@ expires: a first arrival is kept however late it comes.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from duelboard.sources.folders import path_exists
 
@@ -20,57 +18,22 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """State in RocksDB, which keyed processors need; set only where the session has another store."""
+    """State in RocksDB, so that it need not fit into memory; set only where the session has another store."""
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
 
-def one_per_key(order: str, last: bool) -> StatefulProcessor:
-    """Processor that passes on the best row of a key's first batch, and nothing of that key afterwards.
-
-    The class is made here so that it travels with its code: the process that prepares
-    state schemas on the driver does not see the path of this package in every set-up.
-    """
-
-    class OnePerKey(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.seen = handle.getValueState("seen", "stored boolean")
-
-        def handleInitialState(self, key: tuple, initialState: Row, timerValues) -> None:
-            self.seen.update((True,))
-
-        def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            if self.seen.exists():
-                return
-            best = None
-            for row in rows:
-                if best is None or self.before(row[order], best[order]):
-                    best = row
-            self.seen.update((True,))
-            yield best
-
-        @staticmethod
-        def before(a, b) -> bool:
-            return a is not None and (b is None or (a > b if last else a < b))
+def best_rows(stream: DataFrame, keys: list[str], order: str, last: bool) -> DataFrame:
+    """One row per key: the best by ``order`` in ``best``, and the least and the greatest ``_arrival`` of its rows.
 
-        def close(self) -> None:
-            pass
-
-    return OnePerKey()
-
-
-def thinned(stream: DataFrame, keys: list[str], order: str, last: bool = False) -> DataFrame:
-    """The best row per key of each Arrow batch, before anything is shuffled.
-
-    A key that makes up much of the input then sends one row per Arrow batch.
+    Rows without an order come after all others. The aggregate merges before the shuffle,
+    so a key that makes up much of the input sends one row per task.
     """
-
-    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            best = rows.sort_values(order, ascending=not last, na_position="last", kind="stable")
-            yield best.drop_duplicates(keys)
-
-    return stream.mapInPandas(thin, stream.schema)
+    row, at = F.struct(*[c for c in stream.columns if c not in ("_stored", "_arrival")]), F.col(order)
+    best = F.max_by(row, F.struct(at.isNotNull(), at)) if last else F.min_by(row, F.struct(at.isNull(), at))
+    return stream.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
+        best.alias("best"), F.min("_arrival").alias("since"), F.max("_arrival").alias("until"), F.max("_stored").alias("stored")
+    )
 
 
 def one_row_per_key(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: str = "ord", last: bool = False) -> None:
@@ -78,23 +41,31 @@ def one_row_per_key(stream: DataFrame, table: str, checkpoint: str, keys: list[s
 
     Takes the available input and stops. Rows go to ``run=<id>/batch=<id>``, the run being
     named after the checkpoint. A replayed batch starts from the same state and writes its
-    own directory again. A new checkpoint on an existing table takes the table's keys as
-    its initial state, once, and overwrites nothing. Rows with a null key make one key.
+    own directory again. A new checkpoint on an existing table takes the table's keys as a
+    second source, once, and overwrites nothing. Rows with a null key make one key.
+
+    A key is new if all its rows arrived in one batch, told by the time that Spark notes
+    in the checkpoint for each batch and uses again when the batch is replayed.
     """
     spark = stream.sparkSession
     use_rocksdb(spark)
     run = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
-    stored = None
-    if not path_exists(spark, f"{checkpoint}/commits") and path_exists(spark, table):
-        stored = spark.read.parquet(table)
-        if "run" in stored.columns:  # what an uncommitted first batch of this checkpoint has left will be written again
-            stored = stored.where(stored["run"] != f"r{run}")
-        stored = stored.select(*keys).distinct().groupBy(*keys)
-    grouped = thinned(stream, keys, order, last).groupBy(*keys)
-    chosen = grouped.transformWithState(one_per_key(order, last), stream.schema, "append", "none", stored)
+    held = f"{checkpoint}/held"
+    if not path_exists(spark, f"{held}/_SUCCESS"):
+        known = spark.createDataFrame([], stream.schema)
+        if path_exists(spark, table):
+            known = spark.read.parquet(table)
+            known = known.where(known["run"] != f"r{run}") if "run" in known.columns else known
+        known.select(*keys).distinct().write.mode("overwrite").parquet(held)
+    schema = StructType([stream.schema[k] for k in keys])
+    others = [F.lit(None).cast(f.dataType).alias(f.name) if f.name not in keys else F.col(f.name) for f in stream.schema]
+    before = spark.readStream.schema(schema).parquet(held).select(*others, F.lit(True).alias("_stored"))
+    rows = stream.withColumn("_stored", F.lit(False)).unionByName(before)
+    picked = best_rows(rows.withColumn("_arrival", F.current_timestamp()), keys, order, last)
+    chosen = picked.where((F.col("since") == F.col("until")) & ~F.col("stored")).select("best.*")
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/run=r{run}/batch={batch_id}")
 
-    query = chosen.writeStream.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).foreachBatch(save).start()
+    query = chosen.writeStream.option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).foreachBatch(save).start()
     query.awaitTermination()
