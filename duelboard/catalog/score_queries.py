@@ -18,8 +18,8 @@ from duelboard.operators import style_board as SB
 from duelboard.operators import tally as TA
 from duelboard.operators.quantiles import exact_quantiles
 from duelboard.plans.report import leaderboard_report
-from duelboard.session import scratch_dir
-from duelboard.sources.readers import resolve_answers
+from duelboard.session import bound_batches, scratch_dir
+from duelboard.sources.readers import current_files, last_answers
 
 NAMES = ["chosen", "sft", "beta_dpo"]
 
@@ -34,10 +34,11 @@ def lookup(t):
     Features are taken where the text is scanned, so the joins that settle which
     row counts move four numbers per answer instead of its text.
     """
-    scored = t.heavy_view("answers_raw").select(
-        "file_name", "model", "uid", "ord", S.feature_vector(F.col("answer")).alias("features")
-    )
-    return SB.style_lookup(resolve_answers(scored))
+    bound_batches(t.spark)
+    current = current_files(t.heavy_view("answers_raw"))  # texts of replaced files are not looked at
+    counted = current.withColumn("_words", S.counted_words()(F.col("answer")))
+    features = S.feature_vector(F.col("answer"), F.col("_words")).alias("features")
+    return SB.style_lookup(last_answers(counted.select("file_name", "first_file", "model", "uid", "ord", features)))
 
 
 # -- battles and scores -------------------------------------------------------
