@@ -16,6 +16,7 @@ def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None,
     files are read whole by a task each: there are as many as writing tasks.
     """
     writer = df.write.mode("overwrite").option("ignoreNullFields", False).option("compression", compression)
+    writer = writer.option("zlib.compress.level", "BEST_SPEED")  # of gzip: higher levels take most of the time of a write
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.json(path)
