@@ -41,9 +41,10 @@ def call_judge(requests: DataFrame, make_reply: Callable, columns: list[str], ag
                     raise RuntimeError("reply count differs from request count")
                 return said
             except Exception as exc:
-                if len(pdf) == 1:
-                    return [exc]
-                return [send(pdf.iloc[i : i + 1])[0] for i in range(len(pdf))]
+                failed = exc.with_traceback(None)  # a traceback would keep the texts of its frames
+            if len(pdf) == 1:
+                return [failed]
+            return [send(pdf.iloc[i : i + 1])[0] for i in range(len(pdf))]
 
         for pdf in batches:
             said = send(pdf)

@@ -122,3 +122,22 @@ def test_chances_cover_the_baselines(spark):
 
     sql = load_catalog()[1]["a9_win_probability"]
     assert "both_sides" in sql and "select distinct category, baseline" in sql and "chance" in sql
+
+
+def test_failed_calls_do_not_keep_their_texts(spark):
+    from duelboard.operators.replies import call_judge
+
+    def make():
+        class Told(RuntimeError):
+            pass
+
+        def reply(pdf):
+            if len(pdf) > 1:
+                raise RuntimeError("batch")
+            error = Told("row")
+            raise error
+
+        return reply
+
+    rows = call_judge(spark.range(6).selectExpr("id", "'t' messages"), make, ["id", "messages"]).collect()
+    assert {r["error"] for r in rows} == {"Told: row"} and len(rows) == 6 and all(r["reply"] is None for r in rows)
