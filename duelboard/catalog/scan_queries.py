@@ -24,9 +24,9 @@ from duelboard.sources.judged_lines import scan_judged_lines
 QUESTION_ORD = schemas.QUESTION + ", ord bigint"
 
 
-def _stored(t, df, name: str, partition_by=None, compression="none") -> str:
+def _stored(t, df, name: str, partition_by=None, **how) -> str:
     path = scratch_dir(t.spark, name)
-    W.write_jsonl(df, path, partition_by, compression)
+    W.write_jsonl(df, path, partition_by, **how)
     return path
 
 
@@ -63,10 +63,11 @@ def _(t):
 
 @query("s3_answers_directory", "select model, uid, ord, answer from answers")
 def _(t):
-    path = _stored(t, t.view("answers_raw"), "answers", ["file_name"], "gzip")  # seven answers a document
-    schema = "model string, uid string, ord bigint, answer string, file_name string"
+    answers = W.with_places(t.view("answers_raw"))  # seven answers a document
+    path = _stored(t, answers, "answers", ["file_name"], compression="zstd", open_files=8)
+    schema = "model string, uid string, ord bigint, answer string, place bigint, file_name string"
     rows = R.read_jsonl(t.spark, path, schema)
-    return R.resolve_answers(rows).select("model", "uid", "ord", "answer")
+    return R.resolve_answers(rows, "place").select("model", "uid", "ord", "answer")
 
 
 @query(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,19 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, ARROW_BYTES)
 
 
+@contextlib.contextmanager
+def conf_held(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings for the work done inside; afterwards they are as before."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def work_partitions(spark: SparkSession) -> int:
     """Partitions for work whose cost the row bytes do not show.
 

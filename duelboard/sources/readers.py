@@ -20,7 +20,10 @@ from duelboard.operators.keyed import (
     keep_first,
     keep_last,
     last_dealt,
+    replaced_places,
+    unless_marked,
 )
+from duelboard.session import scratch_dir
 from duelboard.sources.folders import path_exists
 
 
@@ -28,9 +31,10 @@ def read_jsonl(spark: SparkSession, path, schema: str, mode: str = "FAILFAST") -
     """JSON-lines rows; a malformed line fails the read.
 
     Lines end at LF or CRLF only, so U+2028 inside a string stays in its row.
-    Blank lines are skipped.
+    Blank lines are skipped. Files ending in .zstd are read as such, see ``writers.write_jsonl``.
     """
-    return spark.read.schema(schema).option("mode", mode).option("lineSep", "\n").json(path)
+    reader = spark.read.schema(schema).option("mode", mode).option("lineSep", "\n")
+    return reader.option("io.compression.codecs", K.ZSTD_CODEC).json(path)
 
 
 def read_jsonl_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -92,14 +96,29 @@ def read_json_outputs(
     return keep_first(usable, ["instruction"]).withColumn("name", F.lit(name))
 
 
-def resolve_answers(rows: DataFrame) -> DataFrame:
+def resolve_answers(rows: DataFrame, place: str | None = None) -> DataFrame:
     """Answer rows of all files -> one row per model and uid.
 
     ``rows`` has file_name, ord, model, uid. A file's first row names its model,
     a later file replaces an earlier one of the same model, and the last row of a
     uid wins.
+
+    With ``place``, a column that was stored with the rows (``writers.with_places``), texts
+    are not shuffled: the other columns are read first and tell which places to leave out.
     """
-    return last_answers(current_files(rows))
+    if place is None:
+        return last_answers(current_files(rows))
+    index = stored_index(rows.select("file_name", "model", "uid", "ord", place))
+    known = lambda df: current_files(df, heads=index).where(F.col("uid").isNotNull())
+    marks = replaced_places(known(index).select("model", "uid", "ord", place), ["model", "uid"], place)
+    return unless_marked(known(rows), marks, place).drop(place)
+
+
+def stored_index(rows: DataFrame) -> DataFrame:
+    """Short rows that several steps need, stored so that the files with the texts are read for them once."""
+    path = scratch_dir(rows.sparkSession, "index")
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def last_answers(current: DataFrame) -> DataFrame:

@@ -5,21 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duelboard import constants as K
 from duelboard.functions.text import safe_name
 from duelboard.operators.pairs import empty_indices
+from duelboard.session import conf_held
 
 
-def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "none") -> None:
+def write_jsonl(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, compression: str = "none", open_files: int = 0
+) -> None:
     """Replace ``path`` with the rows; readers see the old or the new files.
 
     With ``partition_by`` only the partitions present in ``df`` are replaced. Compressed
-    files are read whole by a task each: there are as many as writing tasks.
+    files are read whole by a task each: there are as many as writing tasks. A task of at
+    most ``open_files`` partitions writes its rows as they come; otherwise it sorts them by
+    partition first, and wide rows spill.
     """
-    writer = df.write.mode("overwrite").option("ignoreNullFields", False).option("compression", compression)
-    writer = writer.option("zlib.compress.level", "BEST_SPEED")  # of gzip: higher levels take most of the time of a write
+    writer = df.write.mode("overwrite").option("ignoreNullFields", False)
+    writer = writer.option("compression", K.ZSTD_CODEC if compression == "zstd" else compression)
+    writer = writer.option("parquet.compression.codec.zstd.level", K.ZSTD_LEVEL)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.json(path)
+    with conf_held(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(open_files)} if open_files else {}):
+        writer.json(path)
+
+
+def with_places(df: DataFrame, place: str = "place") -> DataFrame:
+    """Adds a number to each row, another for each, to be written with it; those of a writing task follow each other."""
+    return df.withColumn(place, F.monotonically_increasing_id())
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:

@@ -1,9 +1,11 @@
 """Steps that must not gather, move twice or repeat their texts as the input grows."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from duelboard.functions import style as S
 from duelboard.functions.text import word_count
 from duelboard.operators import keyed
@@ -11,6 +13,8 @@ from duelboard.operators import multiway as M
 from duelboard.operators import requests as Q
 from duelboard.plans.calls import ask_once
 from duelboard.session import bound_batches
+from duelboard.sources import readers as R
+from duelboard.sources import writers as W
 from duelboard.sources.readers import resolve_answers
 from duelboard.streaming import keyed_state
 
@@ -48,6 +52,47 @@ def test_answers_of_a_file_do_not_meet_in_one_task(spark):
     assert rows == [("m", "a", "z", "f1"), ("o", "a", "w", "f3"), ("o", "b", "v", "f3"), ("o", "b", "v", "f3")]
 
 
+def shuffled_columns(df):
+    """What each exchange of a plan is given."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+
+
+def test_stored_answers_are_not_shuffled_to_pick_them(spark, tmp_path):
+    found = E.queries()["s3_answers_directory"](spark, "/root/testdata/sf0.001")
+    assert not any("answer#" in columns for columns in shuffled_columns(found))
+
+    odd = [("f4", None, "a", None, "r"), ("f4", "p", "a", 2, "s"), ("f4", None, "b", None, "t"), ("f4", "q", "b", None, "u"), ("f4", "p", None, 9, "o")]
+    rows = spark.createDataFrame(ANSWERS + odd, answers(spark).schema).repartition(3, "answer")
+    held = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    for open_files in (0, 1, 9):
+        path = tmp_path / f"files{open_files}"
+        W.write_jsonl(W.with_places(rows), str(path), ["file_name"], "zstd", open_files)
+        assert {p.suffix for p in path.glob("*/part-*")} == {".zstd"}
+        read = R.read_jsonl(spark, str(path), "model string, uid string, ord bigint, answer string, place bigint, file_name string")
+        columns = ["file_name", "first_file", "model", "uid", "ord", "answer"]
+        want = resolve_answers(rows).select(columns)
+        got = resolve_answers(read, "place").select(columns)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert any("answer#" in x for x in shuffled_columns(want)) and not any("answer#" in x for x in shuffled_columns(got))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == held
+
+
+def test_marks_of_replaced_places(spark):
+    """Places in several tasks, words and runs, at both ends of each."""
+    rows = spark.range(30_000).selectExpr("id", "id % 7001 k", "(id % 3 << 33) + id div 3 place", "if(id % 11 = 0, null, id div 7001 % 3) ord")
+    marks = keyed.replaced_places(rows, ["k"], "place")
+    assert marks.select(F.max(F.size("words")), F.min(F.size("words"))).first() == (64, 64)
+    kept = {r["id"] for r in keyed.unless_marked(rows, marks, "place").collect()}
+    last = {}
+    for r in rows.collect():
+        last[r["k"]] = max(last.get(r["k"], -1), -1 if r["ord"] is None else r["ord"])
+    assert kept == {r["id"] for r in rows.collect() if (-1 if r["ord"] is None else r["ord"]) == last[r["k"]]}
+    places = spark.createDataFrame([(p,) for p in (0, 63, 64, 4095, 4096, 4159, (1 << 33) + 63)], "place bigint")
+    one = spark.createDataFrame([(p, 1, o) for p in (63, 4095, 4096) for o in (1,)] + [((1 << 33) + 63, 1, 1), (0, 1, 2)], "place bigint, k int, ord int")
+    assert {r["place"] for r in keyed.unless_marked(places, keyed.replaced_places(one, ["k"], "place"), "place").collect()} == {0, 64, 4159}
+
+
 def test_frequent_keys_send_their_picked_rows_only(spark, monkeypatch):
     monkeypatch.setattr(keyed, "HOT_ROWS", 2)
     rows = spark.createDataFrame([("h", i, i) for i in range(50)] + [("c", i, i) for i in range(2)] + [(None, 7, 7)] * 3, "k string, ord bigint, v bigint")
