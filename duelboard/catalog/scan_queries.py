@@ -63,9 +63,11 @@ def _(t):
 
 @query("s3_answers_directory", "select model, uid, ord, answer from answers")
 def _(t):
-    answers = W.with_places(t.view("answers_raw"))  # seven answers a document
+    documents = t.table("documents").sortWithinPartitions("lang")  # texts of a language compress better side by side
+    answers = W.with_places(t.view("answers_raw", {"documents": documents}))  # seven answers a document
+    answers = answers.select("file_name", "model", "uid", "ord", "place", "answer")
     path = _stored(t, answers, "answers", ["file_name"], compression="zstd", open_files=8)
-    schema = "model string, uid string, ord bigint, answer string, place bigint, file_name string"
+    schema = "model string, uid string, ord bigint, place bigint, answer string, file_name string"
     rows = R.read_jsonl(t.spark, path, schema)
     return R.resolve_answers(rows, "place").select("model", "uid", "ord", "answer")
 

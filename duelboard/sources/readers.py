@@ -110,14 +110,14 @@ def resolve_answers(rows: DataFrame, place: str | None = None) -> DataFrame:
         return last_answers(current_files(rows))
     index = stored_index(rows.select("file_name", "model", "uid", "ord", place))
     known = lambda df: current_files(df, heads=index).where(F.col("uid").isNotNull())
-    marks = replaced_places(known(index).select("model", "uid", "ord", place), ["model", "uid"], place)
+    marks = replaced_places(known(index).select("file_name", "uid", "ord", place), ["file_name", "uid"], place)  # a file of each model
     return unless_marked(known(rows), marks, place).drop(place)
 
 
 def stored_index(rows: DataFrame) -> DataFrame:
     """Short rows that several steps need, stored so that the files with the texts are read for them once."""
     path = scratch_dir(rows.sparkSession, "index")
-    rows.write.option("compression", "zstd").parquet(path)
+    rows.write.option("compression", "zstd").option("parquet.writer.version", "v2").parquet(path)  # v2: numbers as differences
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
